@@ -87,6 +87,7 @@ SELECT target_dept, target_muni, ref_dept, ref_muni, dist_km FROM (
 WHERE rn = 1"""
 
 
+COUNTED = "ano, semana, departamento, municipio, enfermedad, coalesce(casos_totales, 0) AS casos_totales"
 MASTER_COLUMNS = """ano, semana, departamento, municipio, enfermedad, casos_totales, temperatura_promedio,
     precipitacion_promedio, calidad_aire_promedio, vacunacion, cantidad_hospitales, latitud, longitud, brote"""
 
@@ -234,9 +235,9 @@ SELECT variable, grupo, count(*) AS filas FROM (
     FROM raw_air
     UNION ALL SELECT {norm('par_metro')}, {PARAMETER.format(norm('par_metro'))} FROM raw_cli) GROUP BY 1, 2""")
 sql("enforce_schema", ["vsp"], """
-SELECT ano, semana, departamento, municipio, enfermedad, casos_totales, CAST(NULL AS DOUBLE) AS temperatura_promedio,
+SELECT ano, semana, departamento, municipio, enfermedad, coalesce(casos_totales, 0) AS casos_totales, CAST(NULL AS DOUBLE) AS temperatura_promedio,
     CAST(NULL AS DOUBLE) AS precipitacion_promedio, CAST(NULL AS DOUBLE) AS calidad_aire_promedio, 'NO_REPORTA' AS vacunacion,
-    CAST(NULL AS BIGINT) AS cantidad_hospitales, CAST(NULL AS DOUBLE) AS latitud, CAST(NULL AS DOUBLE) AS longitud,
+    CAST(0 AS BIGINT) AS cantidad_hospitales, CAST(NULL AS DOUBLE) AS latitud, CAST(NULL AS DOUBLE) AS longitud,
     CAST(NULL AS VARCHAR) AS brote FROM vsp""")
 sql("join_key", ["vsp"], """
 SELECT ano || '_' || semana || '_' || departamento || '_' || municipio AS join_key, count(*) AS filas FROM vsp GROUP BY 1""")
@@ -264,7 +265,7 @@ _REJECTS = "\nUNION ALL ".join(
     f"SELECT '{name}' AS rule, count(*) AS rejected FROM lecturas WHERE ({test}) IS NOT TRUE"
     for name, test in [*_RANGES.items(), ("any_rule", _ALL_RANGES)]
 )
-sql("filter_categories", ["vsp"], "SELECT * FROM vsp WHERE enfermedad IN ('DENGUE', 'ZIKA')")
+sql("filter_categories", ["vsp"], f"SELECT {COUNTED} FROM vsp WHERE enfermedad IN ('DENGUE', 'ZIKA')")
 sql("sanity_filters", ["lecturas"], f"SELECT * FROM lecturas WHERE {_ALL_RANGES}")
 sql("sanity_rejects", ["lecturas"], _REJECTS)
 sql("drop_incomplete", ["completo"], f"SELECT {MASTER_COLUMNS} FROM completo")
@@ -318,18 +319,18 @@ WHERE rn = 1"""
 sql("nearest_within_radius", [], _nearest(star.TARGET_POINTS, star.REFERENCE_POINTS, 50))
 sql("nearest_dense", [], _nearest(star.REFERENCE_POINTS, star.TARGET_POINTS, 500))
 sql("coordinate_reference", ["geo"], "SELECT * FROM geo")
-sql("left_join_dims", ["vsp", "geo", "hosp"], """
-SELECT * FROM vsp LEFT JOIN geo USING (departamento, municipio) LEFT JOIN hosp USING (departamento, municipio)""")
+sql("left_join_dims", ["vsp", "geo", "hosp"], f"""
+SELECT {COUNTED}, latitud, longitud, coalesce(cantidad_hospitales, 0) AS cantidad_hospitales FROM vsp LEFT JOIN geo USING (departamento, municipio) LEFT JOIN hosp USING (departamento, municipio)""")
 sql("neighbor_map", ["a_clima", "a_aire"], f"""
 SELECT target_dept, target_muni, ref_dept, ref_muni, {half_up('dist_km', 6)} AS dist_km, fuente FROM
     (SELECT *, 'clima' AS fuente FROM a_clima UNION ALL SELECT *, 'aire' FROM a_aire)""")
 sql("impute_from_neighbor_week", ["vsp", "a_clima", "clima"], f"""
-SELECT v.*, {half_up('c.temperatura_promedio', 6)} AS temperatura_promedio, {half_up('c.precipitacion_promedio', 6)} AS precipitacion_promedio
+SELECT v.* REPLACE (coalesce(casos_totales, 0) AS casos_totales), {half_up('c.temperatura_promedio', 6)} AS temperatura_promedio, {half_up('c.precipitacion_promedio', 6)} AS precipitacion_promedio
 FROM vsp v LEFT JOIN a_clima m ON m.target_dept = v.departamento AND m.target_muni = v.municipio
 LEFT JOIN clima c ON c.semana = v.semana AND c.departamento = coalesce(m.ref_dept, v.departamento)
     AND c.municipio = coalesce(m.ref_muni, v.municipio)""")
 sql("impute_from_neighbor_year", ["vsp", "a_aire", "aire"], f"""
-SELECT v.*, {half_up('a.calidad_aire_promedio', 6)} AS calidad_aire_promedio, {half_up('a.temperatura_promedio_aire', 6)} AS temperatura_promedio_aire
+SELECT v.* REPLACE (coalesce(casos_totales, 0) AS casos_totales), {half_up('a.calidad_aire_promedio', 6)} AS calidad_aire_promedio, {half_up('a.temperatura_promedio_aire', 6)} AS temperatura_promedio_aire
 FROM vsp v LEFT JOIN a_aire m ON m.target_dept = v.departamento AND m.target_muni = v.municipio
 LEFT JOIN aire a ON a.ano = v.ano AND a.departamento = coalesce(m.ref_dept, v.departamento)
     AND a.municipio = coalesce(m.ref_muni, v.municipio)""")
@@ -362,7 +363,7 @@ FROM libres LEFT JOIN (SELECT * FROM mejor WHERE rn = 1) USING (nombre)""")
 
 sql("cases_by_key", ["raw_vig"], f"""
 SELECT {whole('ano')} AS ano, {whole('semana')} AS semana, departamento_ocurrencia AS departamento,
-    municipio_ocurrencia AS municipio, nombre_evento AS enfermedad, CAST(sum({whole('conteo')}) AS BIGINT) AS casos_totales
+    municipio_ocurrencia AS municipio, nombre_evento AS enfermedad, CAST(coalesce(sum({whole('conteo')}), 0) AS BIGINT) AS casos_totales
 FROM raw_vig GROUP BY 1, 2, 3, 4, 5""")
 sql("outbreak_threshold", ["umbrales"], "SELECT * FROM umbrales")
 sql("outbreak_label", ["marcado"], "SELECT * FROM marcado")
@@ -380,7 +381,7 @@ SELECT municipio, {half_up("avg(ene) FILTER (medida = 'temperatura_promedio')",
 FROM (SELECT municipio, ene, {PARAMETER.format(norm('par_metro'))} AS medida FROM raw_cli) WHERE medida IS NOT NULL GROUP BY 1""")
 sql("expand_weeks", ["aire"], """
 SELECT ano, departamento, municipio, CAST(w AS INTEGER) AS semana FROM aire, range(1, 53) s(w)""")
-sql("surveillance_weekly", ["vsp"], "SELECT * FROM vsp")
+sql("surveillance_weekly", ["vsp"], f"SELECT {COUNTED} FROM vsp")
 sql("climate_weekly", ["clima"], f"""
 SELECT CAST(semana AS INTEGER) AS semana, departamento, municipio, {half_up('temperatura_promedio', 6)} AS temperatura_promedio,
     {half_up('precipitacion_promedio', 6)} AS precipitacion_promedio, latitud, longitud FROM clima""")

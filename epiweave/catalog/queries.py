@@ -28,6 +28,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def _counted(df: DataFrame, *more: str) -> DataFrame:
+    """Show missing counts as 0, as the master table does."""
+    return cleaning.fill_nulls(df, {c: 0 for c in ("casos_totales", *more)})
+
+
 # ---- sources and sinks -------------------------------------------------------------------
 
 
@@ -201,7 +206,7 @@ def categorize_case(spark, sf_dir):
 def enforce_schema(spark, sf_dir):
     """Conformed cases under the master schema: the constant is set, absent columns are null."""
     base = cleaning.add_constant(tables.cases(spark, sf_dir), "vacunacion", fixed.VACCINATION_CONSTANT)
-    return cleaning.enforce_schema(base, schemas.MASTER)
+    return _counted(cleaning.enforce_schema(base, schemas.MASTER), "cantidad_hospitales")
 
 
 @query
@@ -239,7 +244,7 @@ def round_metrics(spark, sf_dir):
 
 @query
 def filter_categories(spark, sf_dir):
-    return filters.filter_categories(tables.cases(spark, sf_dir), "enfermedad", ["DENGUE", "ZIKA"])
+    return _counted(filters.filter_categories(tables.cases(spark, sf_dir), "enfermedad", ["DENGUE", "ZIKA"]))
 
 
 @query
@@ -349,9 +354,9 @@ def coordinate_reference(spark, sf_dir):
 @query
 def left_join_dims(spark, sf_dir):
     """Cases with coordinates and provider counts of their place."""
-    return joins.left_join_dims(
+    return _counted(joins.left_join_dims(
         tables.cases(spark, sf_dir), [tables.geo(spark, sf_dir), tables.providers(spark, sf_dir)]
-    )
+    ), "cantidad_hospitales")
 
 
 def _maps(spark, sf_dir):
@@ -369,7 +374,7 @@ def neighbor_map(spark, sf_dir):
 @query
 def impute_from_neighbor_week(spark, sf_dir):
     climate = tables.climate(spark, sf_dir).drop("latitud", "longitud")
-    cases = tables.cases(spark, sf_dir)
+    cases = _counted(tables.cases(spark, sf_dir))
     filled = joins.impute_from_neighbor(cases, _maps(spark, sf_dir)[0], climate, ["semana"])
     return cleaning.round_metrics(filled, {"temperatura_promedio": 6, "precipitacion_promedio": 6})
 
@@ -377,7 +382,7 @@ def impute_from_neighbor_week(spark, sf_dir):
 @query
 def impute_from_neighbor_year(spark, sf_dir):
     air = tables.air(spark, sf_dir).select("ano", *PLACE, "calidad_aire_promedio", "temperatura_promedio_aire")
-    cases = tables.cases(spark, sf_dir)
+    cases = _counted(tables.cases(spark, sf_dir))
     filled = joins.impute_from_neighbor(cases, _maps(spark, sf_dir)[1], air, ["ano"])
     return cleaning.round_metrics(filled, {"calidad_aire_promedio": 6, "temperatura_promedio_aire": 6})
 
@@ -402,7 +407,9 @@ def cases_by_key(spark, sf_dir):
         "municipio": ("municipio_ocurrencia", "string"), "enfermedad": ("nombre_evento", "string"),
         "casos_totales": ("conteo", "int"),
     })
-    return typed.groupBy("ano", "semana", *PLACE, "enfermedad").agg(F.sum("casos_totales").alias("casos_totales"))
+    return _counted(
+        typed.groupBy("ano", "semana", *PLACE, "enfermedad").agg(F.sum("casos_totales").alias("casos_totales"))
+    )
 
 
 @query
@@ -451,7 +458,7 @@ def expand_weeks(spark, sf_dir):
 
 @query
 def surveillance_weekly(spark, sf_dir):
-    return conformed.surveillance_weekly(star.raw_surveillance(spark, sf_dir))
+    return _counted(conformed.surveillance_weekly(star.raw_surveillance(spark, sf_dir)))
 
 
 @query

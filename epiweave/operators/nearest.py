@@ -14,146 +14,146 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiweave.fixed import EARTH_RADIUS_KM, IMPUTE_RADIUS_KM
-from epiweave.functions.geo import chord_to_km, half_chord, haversine_km
+from epiweave.functions.geo import haversine_sql, km_of_angles
 from epiweave.session import materialize
 
 SPLIT = 4
 MAX_DEPTH = 10
+PARTS = SPLIT * SPLIT
 # Bounds are compared with this slack, far above rounding noise and far below any distance
 # that matters; a looser bound keeps more candidates and cannot lose one.
 SLACK_KM = 1e-6
 
 
 class _Grid:
-    """Cell numbering for one radius. Bands are rows of latitude; each has its own cell width,
-    since a degree of longitude shrinks towards the poles, and wraps around the globe."""
+    """Cell numbering for one radius, as SQL text. Bands are rows of latitude; each has its own
+    cell width, since a degree of longitude shrinks towards the poles, and wraps around."""
 
     def __init__(self, radius_km: float):
-        self.angle = radius_km / EARTH_RADIUS_KM
-        self.height = min(math.degrees(self.angle) * (1 + 1e-9), 180.0)
-
-    def band(self, lat: Column) -> Column:
-        return F.floor(lat / self.height).cast("int")
-
-    def columns(self, band: Column) -> Column:
-        """Number of cells around the globe in a band: as many as keep a cell wider than the
-        reach of a target in this band or the next."""
-        far_lat = (F.greatest(F.abs(band), F.abs(band + 1)) + 1) * self.height
-        cosine = F.cos(F.radians(F.least(far_lat, F.lit(89.9))))
-        sine = math.sin(min(self.angle, math.pi / 2)) / cosine
-        reach = F.degrees(F.asin(F.least(F.lit(1.0), sine))) * (1 + 1e-9)
-        return F.when(far_lat + self.height >= 90, 1).otherwise(
-            F.greatest(F.lit(1), F.floor(360.0 / reach).cast("int"))
-        )
+        angle = radius_km / EARTH_RADIUS_KM
+        self.sine = math.sin(min(angle, math.pi / 2))
+        self.height = min(math.degrees(angle) * (1 + 1e-9), 180.0)
+
+    def band(self, lat: str) -> str:
+        return f"cast(floor({lat} / {self.height!r}D) as int)"
+
+    @property
+    def columns(self) -> str:
+        """Cells around the globe in ``band``: as many as keep a cell wider than the reach of a
+        target in the band or the next, and a single one close to a pole."""
+        far = f"((greatest(abs(band), abs(band + 1)) + 1) * {self.height!r}D)"
+        reach = f"degrees(asin(least(1D, {self.sine!r}D / cos(radians(least({far}, 89.9D)))))) * 1.000000001D"
+        return f"if({far} + {self.height!r}D >= 90D, 1, greatest(1, cast(floor(360D / ({reach})) as int)))"
+
+    @staticmethod
+    def turn(lon: str) -> str:
+        """Position around the globe in [0, 1)."""
+        return f"pmod({lon} + 180D, 360D) / 360D"
 
-    def column(self, lon: Column, columns: Column) -> Column:
-        share = F.pmod(lon + 180.0, F.lit(360.0)) / 360.0
-        return F.least(F.floor(share * columns).cast("int"), columns - 1)
+    def column(self, lon: str) -> str:
+        return f"least(cast(floor({self.turn(lon)} * n) as int), n - 1)"
 
     def locate(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
         """Add the point's own cell."""
         return (
-            df.withColumn("band", self.band(F.col(lat)))
-            .withColumn("_n", self.columns(F.col("band")))
-            .withColumn("slot", self.column(F.col(lon), F.col("_n")))
-            .drop("_n")
+            df.selectExpr("*", f"{self.band(lat)} as band")
+            .selectExpr("*", f"{self.columns} as n")
+            .selectExpr("*", f"{self.column(lon)} as slot")
         )
 
     def reach(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
         """One row per cell a point can reach: three bands, three cells in each."""
-        own = self.band(F.col(lat))
-        steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        banded = df.withColumn("band", F.explode(F.transform(steps, lambda s: own + s)))
-        sized = banded.withColumn("_n", self.columns(F.col("band")))
-        middle = self.column(F.col(lon), F.col("_n"))
-        slots = F.array_distinct(F.transform(steps, lambda s: F.pmod(middle + s, F.col("_n"))))
-        return sized.withColumn("slot", F.explode(slots)).drop("_n")
-
-    def sub_cell(self, lat: str, lon: str, depth: int) -> Column:
-        """Position inside the cell after ``depth`` splits, as one number that grows a digit
-        pair per split, so a sub-cell's parent is found by integer division."""
-        parts = SPLIT**depth
-        n = self.columns(F.col("band"))
-        y = F.pmod(F.col(lat) / self.height, F.lit(1.0)) * parts
-        x = F.pmod(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / 360.0 * n, F.lit(1.0)) * parts
-        y, x = (F.least(F.floor(v), F.lit(parts - 1)).cast("long") for v in (y, x))
-        code = F.lit(0).cast("long")
-        for level in range(depth):
-            unit = SPLIT ** (depth - 1 - level)
-            digit_y = F.floor(y / unit) % SPLIT
-            digit_x = F.floor(x / unit) % SPLIT
-            code = code * (SPLIT * SPLIT) + digit_y * SPLIT + digit_x
-        return code.cast("long")
-
-
-def _usable(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    lat_col, lon_col = F.col(lat).cast("double"), F.col(lon).cast("double")
-    ok = lat_col.isNotNull() & lon_col.isNotNull() & ~F.isnan(lat_col) & ~F.isnan(lon_col)
-    return df.where(ok).withColumns({lat: lat_col, lon: lon_col})
-
-
-def _depth_needed(refs: DataFrame, grid: _Grid, leaf_size: int) -> int:
+        own = self.band(lat)
+        slots = f"array_distinct(transform(array(-1, 0, 1), s -> pmod({self.column(lon)} + s, n)))"
+        return (
+            df.selectExpr("*", f"explode(array({own} - 1, {own}, {own} + 1)) as band")
+            .selectExpr("*", f"{self.columns} as n")
+            .selectExpr("*", f"explode({slots}) as slot")
+            .drop("n")
+        )
+
+    def sub_cell(self, lat: str, lon: str) -> str:
+        """Position inside the cell after all splits, one base-``PARTS`` digit per split, so that
+        a sub-cell's parent is found by integer division."""
+        side = SPLIT**MAX_DEPTH
+        y = f"least(cast(floor(pmod({lat} / {self.height!r}D, 1D) * {side}) as bigint), {side - 1}L)"
+        x = f"least(cast(floor(pmod({self.turn(lon)} * n, 1D) * {side}) as bigint), {side - 1}L)"
+        units = [(SPLIT**d, PARTS**d) for d in range(MAX_DEPTH)]
+        digits = [f"(({y} div {u}) % {SPLIT} * {SPLIT} + ({x} div {u}) % {SPLIT}) * {p}L" for u, p in units]
+        return " + ".join(digits)
+
+
+def _cell(depth: int) -> str:
+    """The sub-cell at a depth, from the deepest one."""
+    return f"deepest div {PARTS ** (MAX_DEPTH - depth)}L"
+
+
+def _usable(df: DataFrame, columns: dict[str, str], lat: str, lon: str) -> DataFrame:
+    """Rename, and keep the rows that have a position."""
+    named = df.selectExpr(
+        *[f"`{src}` as {out}" for out, src in columns.items()],
+        f"cast(`{lat}` as double) as lat", f"cast(`{lon}` as double) as lon",
+    )
+    return named.where("lat is not null and lon is not null and not isnan(lat) and not isnan(lon)")
+
+
+def _depth_needed(refs: DataFrame, leaf_size: int) -> int:
     """Fewest splits after which no sub-cell holds more than ``leaf_size`` references."""
     crowd = refs.groupBy("band", "slot").count().agg(F.max("count")).first()[0] or 0
     if crowd <= leaf_size:
         return 0
-    crowded = (
-        refs.withColumn("deepest", grid.sub_cell("ref_lat", "ref_lon", MAX_DEPTH))
-        .groupBy("band", "slot", "deepest").count()
-        .withColumn("depth", F.explode(F.sequence(F.lit(1), F.lit(MAX_DEPTH))))
-        .withColumn("cell", F.expr(f"deepest div cast(pow({SPLIT * SPLIT}, {MAX_DEPTH} - depth) as bigint)"))
+    steps = ", ".join(f"struct({d} as depth, {_cell(d)} as cell)" for d in range(1, MAX_DEPTH + 1))
+    fits = (
+        refs.groupBy("band", "slot", "deepest").count()
+        .selectExpr("band", "slot", "count", f"inline(array({steps}))")
         .groupBy("depth", "band", "slot", "cell").agg(F.sum("count").alias("n"))
         .groupBy("depth").agg(F.max("n").alias("n"))
+        .where(F.col("n") <= leaf_size).agg(F.min("depth")).first()[0]
     )
-    fits = crowded.where(F.col("n") <= leaf_size).agg(F.min("depth")).first()[0]
     return MAX_DEPTH if fits is None else fits
 
 
 def _boxes(refs: DataFrame, depth: int) -> DataFrame:
     """Bounding box and one actual point of every non-empty cell at a depth."""
-    per_level = SPLIT * SPLIT
-    shift = per_level ** (MAX_DEPTH - depth)
-    cell = F.expr(f"deepest div {shift}L").alias("cell")
     return (
-        refs.groupBy("band", "slot", cell)
+        refs.groupBy("band", "slot", F.expr(_cell(depth)).alias("cell"))
         .agg(
             F.min("ref_lat").alias("lat_lo"), F.max("ref_lat").alias("lat_hi"),
             F.min("ref_lon").alias("lon_lo"), F.max("ref_lon").alias("lon_hi"),
-            F.min(F.struct("ref_lat", "ref_lon")).alias("sample"),
+            F.min_by("ref_lat", "deepest").alias("one_lat"), F.min_by("ref_lon", "deepest").alias("one_lon"),
         )
-        .withColumn("parent", F.expr(f"cell div {per_level}L"))
+        .withColumn("parent", F.expr(f"cell div {PARTS}L"))
     )
 
 
-def _closest_possible(lat: Column, lon: Column) -> Column:
-    """Lower bound of the distance from a point to anything in the row's box."""
-    gap_lat = F.greatest(F.lit(0.0), F.col("lat_lo") - lat, lat - F.col("lat_hi"))
-    inside = lon.between(F.col("lon_lo"), F.col("lon_hi"))
-    turn = [F.abs(F.pmod(lon - F.col(edge) + 180.0, F.lit(360.0)) - 180.0) for edge in ("lon_lo", "lon_hi")]
-    gap_lon = F.when(inside, F.lit(0.0)).otherwise(F.least(*turn))
-    least_cos = F.least(F.cos(F.radians("lat_lo")), F.cos(F.radians("lat_hi")))
-    return chord_to_km(half_chord(gap_lat, gap_lon, F.cos(F.radians(lat)) * least_cos))
+def _closest_possible() -> str:
+    """Lower bound of the distance from (lat, lon) to anything in the row's box: each term of
+    the haversine at its least over the box."""
+    gap_lat = "greatest(0D, lat_lo - lat, lat - lat_hi)"
+    edges = ", ".join(f"abs(pmod(lon - {edge} + 180D, 360D) - 180D)" for edge in ("lon_lo", "lon_hi"))
+    gap_lon = f"if(lon between lon_lo and lon_hi, 0D, least({edges}))"
+    cosines = "cos(radians(lat)) * least(cos(radians(lat_lo)), cos(radians(lat_hi)))"
+    return km_of_angles(gap_lat, gap_lon, cosines)
 
 
 def _descend(points: DataFrame, refs: DataFrame, grid: _Grid, depth: int, max_km: float) -> DataFrame:
     """Candidate (point, leaf cell) pairs that can hold the nearest reference."""
-    lat, lon = F.col("lat"), F.col("lon")
-    per_point = Window.partitionBy("lat", "lon")
-    found = grid.reach(points, "lat", "lon").withColumn("cell", F.lit(0).cast("long"))
+    sure = haversine_sql("lat", "lon", "one_lat", "one_lon")
+    found = grid.reach(points, "lat", "lon").selectExpr("*", "0L as cell")
     for level in range(1, depth + 1):
-        boxes = _boxes(refs, level)
-        sure = haversine_km(lat, lon, F.col("sample.ref_lat"), F.col("sample.ref_lon"))
         found = (
             found.withColumnRenamed("cell", "parent")
-            .join(boxes, ["band", "slot", "parent"])
-            .withColumn("closest", _closest_possible(lat, lon))
-            .where(F.col("closest") <= max_km + SLACK_KM)
-            .withColumn("best", F.min(sure).over(per_point))
-            .where(F.col("closest") <= F.col("best") + SLACK_KM)
+            .join(_boxes(refs, level), ["band", "slot", "parent"])
+            .selectExpr(
+                "lat", "lon", "band", "slot", "cell", f"{_closest_possible()} as closest", f"{sure} as sure"
+            )
+            .where(f"closest <= {max_km + SLACK_KM!r}D")
+            .selectExpr("*", "min(sure) over (partition by lat, lon) as best")
+            .where(f"closest <= best + {SLACK_KM!r}D")
             .select("lat", "lon", "band", "slot", "cell")
         )
     return found
@@ -176,35 +176,27 @@ def nearest_within(
     dept, muni = keys
     grid = _Grid(max_km)
     # Copies of one position collapse before any join, however many rows share it.
+    positions = _usable(refs, {"ref_dept": dept, "ref_muni": muni}, lat, lon)
     ref_points = grid.locate(
-        _usable(refs, lat, lon)
-        .groupBy(F.col(lat).alias("ref_lat"), F.col(lon).alias("ref_lon"))
-        .agg(F.min(F.struct(F.col(dept).alias("ref_dept"), F.col(muni).alias("ref_muni"))).alias("ref")),
+        positions.groupBy(F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"))
+        .agg(F.expr("min(struct(ref_dept, ref_muni))").alias("ref")),
         "ref_lat", "ref_lon",
-    )
-    target_rows = _usable(targets, lat, lon).select(
-        F.col(dept).alias("target_dept"), F.col(muni).alias("target_muni"),
-        F.col(lat).alias("lat"), F.col(lon).alias("lon"),
-    ).distinct()
+    ).selectExpr("*", f"{grid.sub_cell('ref_lat', 'ref_lon')} as deepest")
+    target_rows = _usable(targets, {"target_dept": dept, "target_muni": muni}, lat, lon).distinct()
     points = target_rows.select("lat", "lon").distinct()
 
-    depth = _depth_needed(ref_points, grid, leaf_size)
+    depth = _depth_needed(ref_points, leaf_size)
     if depth:
-        ref_points = materialize(
-            ref_points.withColumn("deepest", grid.sub_cell("ref_lat", "ref_lon", MAX_DEPTH)),
-            "nearest-refs",
-        )
+        ref_points = materialize(ref_points, "nearest-refs")
         candidates = _descend(points, ref_points, grid, depth, max_km)
-        shift = (SPLIT * SPLIT) ** (MAX_DEPTH - depth)
-        leaves = ref_points.withColumn("cell", F.expr(f"deepest div {shift}L"))
-        pairs = candidates.join(leaves, ["band", "slot", "cell"])
+        pairs = candidates.join(ref_points.selectExpr("*", f"{_cell(depth)} as cell"), ["band", "slot", "cell"])
     else:
         pairs = grid.reach(points, "lat", "lon").join(ref_points, ["band", "slot"])
 
-    km = haversine_km(F.col("lat"), F.col("lon"), F.col("ref_lat"), F.col("ref_lon"))
+    km = haversine_sql("lat", "lon", "ref_lat", "ref_lon")
     best = (
-        pairs.select("lat", "lon", F.struct(km.alias("dist_km"), "ref").alias("hit"))
-        .where(F.col("hit.dist_km") <= max_km)
+        pairs.selectExpr("lat", "lon", f"struct({km} as dist_km, ref) as hit")
+        .where(f"hit.dist_km <= {float(max_km)!r}D")
         .groupBy("lat", "lon").agg(F.min("hit").alias("hit"))
     )
     return (

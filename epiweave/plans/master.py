@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from epiweave.operators.label import outbreak_label
 from epiweave.operators.nearest import nearest_within
 from epiweave.plans import conformed
 from epiweave.schemas import MASTER
-from epiweave.session import materialize
+from epiweave.session import materialize, together
 
 
 @dataclass(frozen=True)
@@ -29,13 +31,19 @@ class Conformed:
 
 def conform(surveillance: DataFrame, climate: DataFrame, air: DataFrame, providers: DataFrame) -> Conformed:
     """Run the source jobs once and store their results. Each is read several times below, and
-    the raw sources are by far the larger side."""
-    return Conformed(
-        materialize(conformed.surveillance_weekly(surveillance), "cases"),
-        materialize(conformed.climate_weekly(climate), "climate"),
-        materialize(conformed.air_quality_yearly(air), "air"),
-        materialize(conformed.providers_per_place(providers), "providers"),
-    )
+    the raw sources are by far the larger side. The jobs do not depend on each other and are
+    submitted together, so small ones fill the executors a large one leaves idle."""
+    jobs = {
+        "cases": lambda: conformed.surveillance_weekly(surveillance),
+        "climate": lambda: conformed.climate_weekly(climate),
+        "air": lambda: conformed.air_quality_yearly(air),
+        "providers": lambda: conformed.providers_per_place(providers),
+    }
+    return Conformed(**together({name: partial(_stored, name, job) for name, job in jobs.items()}))
+
+
+def _stored(name: str, job: Callable[[], DataFrame]) -> DataFrame:
+    return materialize(job(), name)
 
 
 def climate_places(climate: DataFrame) -> DataFrame:
@@ -58,12 +66,14 @@ def coordinate_reference(climate: DataFrame, air: DataFrame) -> DataFrame:
 
 
 def neighbor_maps(src: Conformed, geo: DataFrame, max_km: float = IMPUTE_RADIUS_KM) -> tuple[DataFrame, DataFrame]:
-    """Nearest climate place and nearest air place of each surveillance place."""
+    """Nearest climate place and nearest air place of each surveillance place, stored: a row per
+    place at most, and each is joined to every case."""
     targets = src.cases.select(*PLACE).distinct().join(geo, PLACE)
-    return (
-        nearest_within(targets, climate_places(src.climate), max_km),
-        nearest_within(targets, air_places(src.air), max_km),
-    )
+    found = together({
+        "climate": lambda: materialize(nearest_within(targets, climate_places(src.climate), max_km), "near-climate"),
+        "air": lambda: materialize(nearest_within(targets, air_places(src.air), max_km), "near-air"),
+    })
+    return found["climate"], found["air"]
 
 
 def master_joined(src: Conformed, max_km: float = IMPUTE_RADIUS_KM) -> DataFrame:

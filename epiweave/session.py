@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from collections.abc import Callable
 
@@ -78,3 +79,10 @@ def stored_table(
     _write(df, path, partition_by)
     _stored[key] = (path, df.schema)
     return _read(spark, *_stored[key])
+
+
+def together(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Submit independent jobs at the same time and wait for all of them."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}

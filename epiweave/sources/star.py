@@ -31,8 +31,8 @@ TOWN = """CASE n_nationkey WHEN 2 THEN 'Bogotá D.C.' WHEN 6 THEN 'Santa Martha'
 
 # Sixty-fourths and eighths of a degree are exact in binary, so means of equal positions are
 # exact as well and do not depend on the order of summation.
-LATITUDE = f"CAST(-4 + (n_nationkey * 37 % 136) / 8.0 + ({SEGMENT}) * 11 / 64.0 AS DOUBLE)"
-LONGITUDE = f"CAST(-81 + (n_nationkey * 53 % 104) / 8.0 + ({SEGMENT}) * 7 / 64.0 AS DOUBLE)"
+LATITUDE = f"CAST(-4 + (n_nationkey * 37 % 136) / 8e0 + ({SEGMENT}) * 11 / 64e0 AS DOUBLE)"
+LONGITUDE = f"CAST(-81 + (n_nationkey * 53 % 104) / 8e0 + ({SEGMENT}) * 7 / 64e0 AS DOUBLE)"
 
 # One line per order line, with its place.
 LINES = """
@@ -43,7 +43,7 @@ LINES = """
 
 SURVEILLANCE = f"""
 SELECT CAST(year(o_orderdate) AS STRING) AS ano,
-    CAST(CAST(ceil(dayofyear(o_orderdate) / 7.0) AS INT) AS STRING) AS semana,
+    CAST(CAST(ceil(dayofyear(o_orderdate) / 7e0) AS INT) AS STRING) AS semana,
     {REGION_SHORT} AS departamento_ocurrencia,
     CASE o_orderkey % 5
         WHEN 0 THEN {TOWN} || ' ' || c_mktsegment
@@ -60,8 +60,8 @@ FROM {LINES} JOIN {{part}} ON l_partkey = p_partkey
 """
 
 _CLIMATE_VALUE = """CASE l_returnflag WHEN 'A' THEN l_quantity
-    WHEN 'N' THEN CAST(floor(l_extendedprice / 100.0) AS DOUBLE)
-    ELSE CAST(floor(l_discount * 100.0) AS DOUBLE) END"""
+    WHEN 'N' THEN CAST(floor(l_extendedprice / 100e0) AS DOUBLE)
+    ELSE CAST(floor(l_discount * 100e0) AS DOUBLE) END"""
 
 CLIMATE = f"""
 SELECT translate(upper({REGION_LONG}), 'AIO', '┴═Ë') AS departamento,
@@ -70,10 +70,13 @@ SELECT translate(upper({REGION_LONG}), 'AIO', '┴═Ë') AS departamento,
         WHEN 'N' THEN 'PRECIPITACIÓN' ELSE 'HUMEDAD RELATIVA' END AS par_metro,
     CASE l_linestatus WHEN 'O' THEN '1991-2020' ELSE '1981-2010' END AS ao,
     {LATITUDE} AS latitud, {LONGITUDE} AS longitud,
-    {", ".join(f"avg(CASE WHEN month(l_shipdate) = {i + 1} THEN {_CLIMATE_VALUE} END) AS {m}"
+    {", ".join(f"max(CASE WHEN mes = {i + 1} THEN valor END) AS {m}"
                for i, m in enumerate("ene feb mar abr may jun jul ago sep oct nov dic".split()))}
-FROM {LINES}
-WHERE n_nationkey % 3 <> 0 AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
+FROM (SELECT n_nationkey, n_name, n_regionkey, c_mktsegment, l_returnflag, l_linestatus,
+        month(l_shipdate) AS mes, avg({_CLIMATE_VALUE}) AS valor
+    FROM {LINES}
+    WHERE n_nationkey % 3 <> 0 AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
+    GROUP BY n_nationkey, n_name, n_regionkey, c_mktsegment, l_returnflag, l_linestatus, month(l_shipdate)) m
 GROUP BY n_nationkey, n_name, n_regionkey, c_mktsegment, l_returnflag, l_linestatus
 """
 
@@ -83,7 +86,7 @@ SELECT CAST(year(o_orderdate) AS STRING) AS a_o,
     upper({TOWN} || ' ' || c_mktsegment) AS nombre_del_municipio,
     CASE l_linenumber WHEN 1 THEN 'PM10' WHEN 2 THEN 'PM2.5' WHEN 3 THEN 'TAire10'
         WHEN 4 THEN 'O3' WHEN 5 THEN 'RUIDO' WHEN 6 THEN 'TAire2' ELSE 'PST' END AS variable,
-    avg(CAST(floor(l_tax * 1000.0) + l_linenumber AS DOUBLE)) AS promedio,
+    avg(CAST(floor(l_tax * 1000e0) + l_linenumber AS DOUBLE)) AS promedio,
     {LATITUDE} AS latitud, {LONGITUDE} AS longitud
 FROM {LINES}
 WHERE n_nationkey % 4 <> 0 AND c_mktsegment IN ('FURNITURE', 'HOUSEHOLD')
@@ -103,11 +106,11 @@ READINGS = """
 SELECT l_orderkey, l_linenumber, l_suppkey,
     CASE WHEN l_linenumber = 6 THEN NULL ELSE l_quantity END AS temperatura_promedio,
     l_quantity / 2 AS temperatura_promedio_aire,
-    CAST(floor(l_extendedprice / 64.0) - 32 AS DOUBLE) AS precipitacion_promedio,
+    CAST(floor(l_extendedprice / 64e0) - 32 AS DOUBLE) AS precipitacion_promedio,
     CASE WHEN l_returnflag = 'N' AND l_linenumber = 2 THEN NULL
-        ELSE CAST(floor(l_tax * 10000.0) - 50 AS DOUBLE) END AS calidad_aire_promedio,
-    CAST(-6 + (l_suppkey * 7919 % 22000) / 1024.0 AS DOUBLE) AS latitud,
-    CAST(-83 + (l_suppkey * 4729 % 19000) / 1024.0 AS DOUBLE) AS longitud,
+        ELSE CAST(floor(l_tax * 10000e0) - 50 AS DOUBLE) END AS calidad_aire_promedio,
+    CAST(-6 + (l_suppkey * 7919 % 22000) / 1024e0 AS DOUBLE) AS latitud,
+    CAST(-83 + (l_suppkey * 4729 % 19000) / 1024e0 AS DOUBLE) AS longitud,
     CAST(CAST(l_quantity AS INT) - 2 AS BIGINT) AS casos_totales
 FROM {lineitem}
 """
@@ -115,14 +118,14 @@ FROM {lineitem}
 # Customers and suppliers as points in the country's bounding box.
 TARGET_POINTS = """
 SELECT n_name AS departamento, c_name AS municipio,
-    CAST(-5 + (c_custkey * 7919 % 20000) / 1000.0 AS DOUBLE) AS latitud,
-    CAST(-82 + (c_custkey * 104729 % 17000) / 1000.0 AS DOUBLE) AS longitud
+    CAST(-5 + (c_custkey * 7919 % 20000) / 1000e0 AS DOUBLE) AS latitud,
+    CAST(-82 + (c_custkey * 104729 % 17000) / 1000e0 AS DOUBLE) AS longitud
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 """
 REFERENCE_POINTS = """
 SELECT n_name AS departamento, s_name AS municipio,
-    CAST(-5 + (s_suppkey * 7919 % 20000) / 1000.0 AS DOUBLE) AS latitud,
-    CAST(-82 + (s_suppkey * 104729 % 17000) / 1000.0 AS DOUBLE) AS longitud
+    CAST(-5 + (s_suppkey * 7919 % 20000) / 1000e0 AS DOUBLE) AS latitud,
+    CAST(-82 + (s_suppkey * 104729 % 17000) / 1000e0 AS DOUBLE) AS longitud
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
