@@ -67,15 +67,18 @@ def climate_weekly(
         cleaning.category_by_substring(normalize_text("par_metro"), parameters).alias("medida"),
         "latitud", "longitud",
         *MONTHS,
-    ).where(F.col("medida").isNotNull())
+    )
 
     def mean_of(measure: str, column: str):
         return F.avg(F.when(F.col("medida") == measure, F.col(column).cast("double")))
 
+    # Places without a listed parameter are dropped by a count and not by a filter on the rows:
+    # Catalyst would move such a filter, text rules included, below whatever made the raw rows.
     per_place = rows.groupBy(*PLACE).agg(
+        F.count("medida").alias("_listed"),
         *[mean_of(m, month).alias(f"{m}_{month}") for m in measures for month in MONTHS],
         *[mean_of(m, axis).alias(f"{axis}_{m}") for m in measures for axis in ("latitud", "longitud")],
-    )
+    ).where(F.col("_listed") > 0)
 
     def over_parameters(axis: str):
         present = F.filter(F.array(*[F.col(f"{axis}_{m}") for m in measures]), lambda v: v.isNotNull())
