@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from epiweave.fixed import SOURCE_PAGE_ROWS
 from epiweave.functions.text import table_name
 from epiweave.operators.cleaning import normalize_headers_landing
-from epiweave.sources.readers import FALLBACK_ENCODING, invalid_utf8_files, list_files
+from epiweave.sources.readers import FALLBACK_ENCODING, as_path, invalid_utf8_files, list_files
 
 
 def land_source(df: DataFrame, path: str) -> None:
@@ -45,13 +45,12 @@ def ingest_folder(
     conforming them is the source jobs' work.
     """
     report = []
-    bad = {p.rsplit("/", 1)[-1] for p in invalid_utf8_files(spark, folder)}
+    bad = invalid_utf8_files(spark, folder)
     for path in sorted(list_files(spark, folder, "*.csv"), key=lambda p: p.rsplit("/", 1)[-1]):
-        file_name = path.rsplit("/", 1)[-1]
-        name = table_name(file_name)
+        name = table_name(path.rsplit("/", 1)[-1])
         try:
-            encoding = FALLBACK_ENCODING if file_name in bad else "UTF-8"
-            df = spark.read.options(header=True, encoding=encoding, escape='"').csv(path)
+            encoding = FALLBACK_ENCODING if path in bad else "UTF-8"
+            df = spark.read.options(header=True, encoding=encoding, escape='"').csv(as_path(path))
             if not df.columns:
                 raise ValueError("no header row")
             rows = F.count(F.lit(1))

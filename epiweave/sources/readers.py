@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,18 +37,26 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> list[str]:
     return sorted(r.path for r in files.collect())
 
 
+def as_path(file: str) -> str:
+    """A listed file as a path to read: characters of glob patterns are taken literally."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
+
+
 def _path() -> Column:
     return F.input_file_name()
 
 
-def invalid_utf8_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> list[str]:
-    """Files that hold at least one line that is not UTF-8. Lines are checked in parallel and
-    only the names of the offending files come back."""
+def invalid_utf8_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> set[str]:
+    """Files that hold at least one line that is not UTF-8, as :func:`list_files` names them.
+
+    Lines are checked in parallel and only the names of the offending files come back. Spark
+    reports those percent-encoded and with a longer URI prefix.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
     )
     bad = lines.where(~F.is_valid_utf8("value")).select(_path().alias("path")).distinct()
-    return sorted(r.path for r in bad.collect())
+    return {unquote(r.path).replace("file:///", "file:/", 1) for r in bad.collect()}
 
 
 def read_source_any_encoding(
@@ -56,16 +66,10 @@ def read_source_any_encoding(
 
     Every byte is valid Latin-1, so no file is left unread.
     """
-    files = list_files(spark, folder, glob)
-    # Both listings come from Spark but spell the URI authority differently ("file:/", "file:///").
-    def bare(uri: str) -> str:
-        return uri.replace("file:///", "file:/", 1)
-
-    bad = {bare(p) for p in invalid_utf8_files(spark, folder, glob)}
-    groups = {
-        "UTF-8": [p for p in files if bare(p) not in bad],
-        FALLBACK_ENCODING: [p for p in files if bare(p) in bad],
-    }
+    bad = invalid_utf8_files(spark, folder, glob)
+    groups: dict[str, list[str]] = {"UTF-8": [], FALLBACK_ENCODING: []}
+    for file in list_files(spark, folder, glob):
+        groups[FALLBACK_ENCODING if file in bad else "UTF-8"].append(as_path(file))
     parts = [read_source(spark, paths, schema, enc, multi_line) for enc, paths in groups.items() if paths]
     if not parts:
         return spark.createDataFrame([], schema)
