@@ -226,7 +226,7 @@ SELECT departamento_ocurrencia AS original, count(*) AS filas, {dept('departamen
 FROM raw_vig GROUP BY 1""")
 sql("project_cast", ["raw_vig"], f"""
 SELECT {whole('ano')} AS ano, {whole('semana')} AS semana, departamento_ocurrencia AS departamento, nombre_evento AS enfermedad,
-    CAST(sum({whole('conteo')}) AS BIGINT) AS casos, count(*) - count({whole('conteo')}) AS sin_dato,
+    CAST(coalesce(sum({whole('conteo')}), 0) AS BIGINT) AS casos, count(*) - count({whole('conteo')}) AS sin_dato,
     count(DISTINCT municipio_ocurrencia) AS municipios
 FROM raw_vig GROUP BY 1, 2, 3, 4""")
 sql("categorize_case", ["raw_air", "raw_cli"], f"""
@@ -304,6 +304,10 @@ SELECT {MASTER_COLUMNS} FROM maestro WHERE {_found('nation|santa', False)}
 # ---- joins and geography -----------------------------------------------------------------
 
 
+PARTS["clientes"] = ([], raw(star.TARGET_POINTS))
+PARTS["proveedores"] = ([], raw(star.REFERENCE_POINTS))
+
+
 def _nearest(targets: str, refs: str, radius: int) -> str:
     distance = km("t.latitud", "t.longitud", "r.latitud", "r.longitud")
     return f"""
@@ -311,13 +315,13 @@ SELECT target_dept, target_muni, ref_dept, ref_muni, {half_up('dist_km', 6)} AS
     SELECT *, row_number() OVER (PARTITION BY target_dept, target_muni ORDER BY dist_km, ref_dept, ref_muni) AS rn
     FROM (SELECT t.departamento AS target_dept, t.municipio AS target_muni, r.departamento AS ref_dept,
             r.municipio AS ref_muni, {distance} AS dist_km
-        FROM ({raw(targets)}) t, ({raw(refs)}) r)
+        FROM {targets} t, {refs} r)
     WHERE dist_km <= {radius})
 WHERE rn = 1"""
 
 
-sql("nearest_within_radius", [], _nearest(star.TARGET_POINTS, star.REFERENCE_POINTS, 50))
-sql("nearest_dense", [], _nearest(star.REFERENCE_POINTS, star.TARGET_POINTS, 500))
+sql("nearest_within_radius", ["clientes", "proveedores"], _nearest("clientes", "proveedores", 50))
+sql("nearest_dense", ["clientes", "proveedores"], _nearest("proveedores", "clientes", 500))
 sql("coordinate_reference", ["geo"], "SELECT * FROM geo")
 sql("left_join_dims", ["vsp", "geo", "hosp"], f"""
 SELECT {COUNTED}, latitud, longitud, coalesce(cantidad_hospitales, 0) AS cantidad_hospitales FROM vsp LEFT JOIN geo USING (departamento, municipio) LEFT JOIN hosp USING (departamento, municipio)""")

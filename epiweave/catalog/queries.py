@@ -184,7 +184,7 @@ def project_cast(spark, sf_dir):
         "casos_totales": ("conteo", "int"),
     })
     return typed.groupBy("ano", "semana", "departamento", "enfermedad").agg(
-        F.sum("casos_totales").alias("casos"), F.count_if(F.col("casos_totales").isNull()).alias("sin_dato"),
+        analytics.total("casos_totales").alias("casos"), F.count_if(F.col("casos_totales").isNull()).alias("sin_dato"),
         F.count_distinct("municipio").alias("municipios"),
     )
 

@@ -2,12 +2,10 @@
 
 import os
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from check import compare
-from epiweave.sources.star import TABLES
+from check import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -15,10 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 @pytest.fixture(scope="module")
 def con():
-    connection = duckdb.connect()
-    for table in TABLES:
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
-    return connection
+    return connect(SF_DIR)
 
 
 def test_every_query_has_a_statement():
