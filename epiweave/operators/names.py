@@ -13,19 +13,12 @@ def region_key(col: Column | str, aliases: dict[str, str] = REGION_ALIASES) -> C
     return harmonize(match_key(col), aliases)
 
 
-def _substrings(key: str, shortest: int) -> Column:
-    """All distinct substrings of at least ``shortest`` characters, the whole text included."""
-    size = F.length(key)
-    starts = F.sequence(F.lit(1), size - shortest + 1)
-    pieces = F.flatten(
-        F.transform(
-            starts,
-            lambda s: F.transform(
-                F.sequence(F.lit(shortest), size - s + 1), lambda n: F.substring(F.col(key), s, n)
-            ),
-        )
-    )
-    return F.when(size >= shortest, F.array_distinct(pieces))
+def _substrings(key: str, shortest: int, longest: str) -> Column:
+    """Distinct substrings of ``shortest`` to ``longest`` characters, null if there are none."""
+    return F.expr(f"""if(length({key}) >= {shortest} and {longest} >= {shortest}, array_distinct(flatten(
+        transform(sequence(1, length({key}) - {shortest} + 1), s -> transform(
+            sequence({shortest}, greatest({shortest}, least(length({key}) - s + 1, {longest}))),
+            n -> substring({key}, s, n))))), null)""")
 
 
 def resolve_names(
@@ -40,9 +33,10 @@ def resolve_names(
 
     The same comparison key after aliases wins. Otherwise one key must contain the other and
     the contained one must have at least ``shortest`` characters; the longest contained key
-    wins, then the region's name. Containment is found by equality on substrings of one side:
-    a key of L characters has fewer than L*L/2 of them, names times regions never meet, and
-    each substring leads to one region, so the joins cannot multiply rows.
+    wins, then the region's name. Containment is found by equality on substrings of one side,
+    no longer than the longest region, so a long name costs in proportion to its length. Names
+    times regions never meet, and each substring leads to one region, so the joins cannot
+    multiply rows.
     """
     wanted = (
         names.select(F.col(name).alias("name")).where(F.col("name").isNotNull()).distinct()
@@ -58,13 +52,15 @@ def resolve_names(
     by_plain = regions.where(F.length("region_plain") >= shortest).groupBy("region_plain").agg(
         F.min("region").alias("inner_region")
     )
+    longest = by_plain.agg(F.max(F.length("region_plain"))).scalar()
     by_part = (
-        regions.withColumn("part", F.explode(_substrings("region_plain", shortest)))
+        regions.withColumn("part", F.explode(_substrings("region_plain", shortest, "length(region_plain)")))
         .groupBy("part").agg(F.min("region").alias("outer_region"))
     )
     # Regions named inside the name; a name of fewer characters has no such part.
     inner = (
-        wanted.select("name", F.explode(_substrings("name_plain", shortest)).alias("region_plain"))
+        wanted.select("name", "name_plain", longest.alias("longest"))
+        .select("name", F.explode(_substrings("name_plain", shortest, "longest")).alias("region_plain"))
         .join(by_plain, "region_plain")
         .groupBy("name")
         .agg(F.min_by("inner_region", F.struct(-F.length("region_plain"), "inner_region")).alias("inner_region"))

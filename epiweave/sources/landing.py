@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from epiweave.fixed import SOURCE_PAGE_ROWS
@@ -21,18 +21,16 @@ def land_source(df: DataFrame, path: str) -> None:
 def land_json_pages(df: DataFrame, folder: str, page: str, page_rows: int = SOURCE_PAGE_ROWS) -> None:
     """Write records as numbered page files, each a JSON array.
 
-    ``page`` names the page-number column; a page has at most ``page_rows`` records, so the
-    array of one page is of bounded size.
+    ``page`` names the page-number column. Pages are counted first, and more than ``page_rows``
+    records in one is an error, so no task ever gathers an array larger than that.
     """
+    largest = df.groupBy(page).count().agg(F.max("count")).first()[0] or 0
+    if largest > page_rows:
+        raise ValueError(f"a page holds {largest} records, more than the page size {page_rows}")
     fields = [c for c in df.columns if c != page]
     body = F.to_json(F.collect_list(F.struct(*fields)), {"ignoreNullFields": "false"})
-    arrays = df.groupBy(page).agg(F.count("*").alias("_n"), body.alias("value"))
-    sized = arrays.select(
-        F.format_string("page-%06d", F.col(page)).alias("page_file"),
-        F.when(F.col("_n") <= page_rows, F.col("value"))
-        .otherwise(F.raise_error(F.lit("a page holds more records than the page size"))).alias("value"),
-    )
-    sized.write.mode("overwrite").partitionBy("page_file").text(folder)
+    arrays = df.groupBy(F.format_string("page-%06d", F.col(page)).alias("page_file")).agg(body.alias("value"))
+    arrays.write.mode("overwrite").partitionBy("page_file").text(folder)
 
 
 def ingest_folder(
@@ -40,9 +38,9 @@ def ingest_folder(
 ) -> DataFrame:
     """Load every CSV file of a folder into a table of its own, in name order.
 
-    ``save(df, table)`` stores one table. A file that fails is reported and skipped. Returns
-    (table_name, status, rows, columns), one row per file. Values stay text, as landed;
-    conforming them is the source jobs' work.
+    ``save(df, table)`` stores one table with a single job, which also counts the rows. A file
+    that fails is reported and skipped. Returns (table_name, status, rows, columns), one row per
+    file. Values stay text, as landed; conforming them is the source jobs' work.
     """
     report = []
     bad = invalid_utf8_files(spark, folder)
@@ -53,9 +51,9 @@ def ingest_folder(
             df = spark.read.options(header=True, encoding=encoding, escape='"').csv(as_path(path))
             if not df.columns:
                 raise ValueError("no header row")
-            rows = F.count(F.lit(1))
-            save(df, name)
-            report.append((name, "ok", df.agg(rows).first()[0], len(df.columns)))
+            counted = Observation()
+            save(df.observe(counted, F.count(F.lit(1)).alias("rows")), name)
+            report.append((name, "ok", counted.get["rows"], len(df.columns)))
         except Exception as error:
             report.append((name, f"error: {type(error).__name__}", None, None))
     return spark.createDataFrame(report, "table_name string, status string, rows bigint, columns int")

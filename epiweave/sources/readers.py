@@ -6,7 +6,7 @@ import re
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,19 +99,20 @@ def _pages(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
 
 
 def _status(pages: DataFrame, page_rows: int) -> DataFrame:
-    """Rows per page and whether the page is part of the dataset. The dataset ends at the first
-    missing, unreadable, empty or short page; a short page is still part of it."""
+    """Rows per page and whether the page is part of the dataset. The dataset starts at page 0
+    and ends at the first page that is short, unreadable or without a successor."""
     per_page = pages.groupBy("_page").agg(
         F.count_if(~F.col("_unreadable")).alias("rows"), F.bool_or("_unreadable").alias("unreadable")
     )
-    # One row per page of tens of thousands of records, so the ordered pass is short.
-    order = Window.orderBy("_page")
-    broken = F.col("unreadable") | (F.col("_page") != F.row_number().over(order) - 1)
-    ended = F.bool_or("ends").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        per_page.withColumn("broken", broken)
-        .withColumn("ends", F.col("broken") | (F.col("rows") < page_rows))
-        .withColumn("used", ~F.col("broken") & ~F.coalesce(ended, F.lit(False)))
+    successors = per_page.select((F.col("_page") - 1).alias("_page"), F.lit(True).alias("followed"))
+    stops = F.col("unreadable") | (F.col("rows") < page_rows) | F.col("followed").isNull()
+    ends = (
+        per_page.join(successors, "_page", "left")
+        .agg(F.min("_page").alias("first"), F.min(F.when(stops, F.col("_page"))).alias("last"))
+        .select(F.when(F.col("first") == 0, F.col("last")))
+    )
+    return per_page.withColumn("last", ends.scalar()).withColumn(
+        "used", F.coalesce((F.col("_page") <= F.col("last")) & ~F.col("unreadable"), F.lit(False))
     )
 
 

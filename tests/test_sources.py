@@ -52,7 +52,7 @@ def test_pages_end_at_short_missing_or_unreadable(spark, tmp_path):
 
 def test_page_size_is_enforced(spark):
     rows = spark.range(5).withColumn("page", F.lit(0))
-    with pytest.raises(Exception, match="more records"):
+    with pytest.raises(Exception, match="more than the page size"):
         landing.land_json_pages(rows, work_path(spark, "pages"), "page", 4)
 
 
