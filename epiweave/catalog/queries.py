@@ -87,7 +87,12 @@ def ingest_folder_report(spark, sf_dir):
         part = customers.where(F.col("c_mktsegment") == segment)
         sinks.write_csv(part, f"{folder}/{segment}")
     target = work_path(spark, "lake")
-    report = landing.ingest_folder(spark, folder, lambda df, name: sinks.write_table(df, f"{target}/{name}", []))
+
+    def save(df, name):
+        sinks.write_table(df, f"{target}/{name}", [])
+        return spark.read.parquet(f"{target}/{name}")
+
+    report = landing.ingest_folder(spark, folder, save)
     return report.groupBy("status", "columns").agg(F.sum("rows").alias("rows"))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from epiweave.operators.filters import TEXT_COLUMNS, with_match_keys
 from epiweave.plans import conformed, master
 from epiweave.schemas import MASTER
-from epiweave.session import stored_table
+from epiweave.session import stored_table, together
 from epiweave.sources import star
 
 
@@ -32,7 +34,8 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> master.Conformed:
-    return master.Conformed(*[f(spark, sf_dir) for f in (cases, climate, air, providers)])
+    jobs = {"cases": cases, "climate": climate, "air": air, "providers": providers}
+    return master.Conformed(**together({name: partial(job, spark, sf_dir) for name, job in jobs.items()}))
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:

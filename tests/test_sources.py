@@ -66,6 +66,7 @@ def test_ingest_reports_failures(spark, tmp_path):
         if name == "dos":
             raise RuntimeError("no")
         saved[name] = [tuple(r) for r in df.orderBy("id").collect()]
+        return df
 
     got = [tuple(r) for r in landing.ingest_folder(spark, str(tmp_path), save).collect()]
     assert got == [("uno__a__+[1]", "ok", 2, 2), ("dos", "error: RuntimeError", None, None)]
