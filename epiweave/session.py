@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from collections.abc import Callable
 
@@ -14,6 +15,8 @@ from pyspark.sql.types import StructType
 
 _local_dirs: dict[str, str] = {}
 _stored: dict[tuple, tuple[str, StructType]] = {}
+_scopes: dict[tuple[str, str], list[str]] = {}
+_open_scopes: list[list[str]] = []
 
 
 def work_root(spark: SparkSession) -> str:
@@ -36,7 +39,33 @@ def work_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{work_root(spark)}/epiweave/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_root(spark)}/epiweave/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _open_scopes:
+        paths.append(path)
+    return path
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that :func:`work_path` named, on whatever file system they are."""
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def replacing(spark: SparkSession, scope: str):
+    """Tables stored inside the block replace those of the last block with this name.
+
+    A result that reads stored tables stays readable after its block, until the next one begins.
+    """
+    key = (spark.sparkContext.applicationId, scope)
+    discard(spark, _scopes.pop(key, []))
+    paths = _scopes[key] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes[:] = [held for held in _open_scopes if held is not paths]
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str] | None) -> None:
