@@ -161,46 +161,51 @@ def _open_blocks(members: DataFrame, clusters: DataFrame, classes: DataFrame) ->
     spot = F.xxhash64("id")
     targets = rows.select(
         "key", F.pmod(spot, blocks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), ask_blocks - 1)).alias("j"),
-        F.lit(False).alias("asks"), "id", "n", "cluster", (~asks).alias("leading"), "sig",
+        F.lit(False).alias("asks"), "id", "n", "cluster", (~asks).alias("leading"), "band", "sig",
     )
     asking = rows.where(asks).select(
         "key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), F.pmod(spot, ask_blocks).cast("int").alias("j"),
-        F.lit(True).alias("asks"), "id", "n", "cluster", F.lit(False).alias("leading"), "sig",
+        F.lit(True).alias("asks"), "id", "n", "cluster", F.lit(False).alias("leading"), "band", "sig",
     )
     return targets.unionByName(asking)
 
 
-def _group_pairs(rows: pa.Table, width: int, percent: int, miss: float, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of different clusters in one group that may be linked, at most ``most`` per pair of clusters
-    (the likeliest first), and whether there were more."""
+def _group_pairs(rows: pa.Table, width: int, band_rows: int, percent: int, miss: float, most: int | None) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of different clusters in one group that may be linked, and whether some were left out.
+
+    A pair counts in the first band that it shares only. ``most`` limits the pairs of each asking cluster to
+    the likeliest ones; the caller comes back for the rest.
+    """
     ask = rows.column("asks").to_numpy()
     ids, n, cluster, leading = (rows.column(c).to_numpy() for c in ("id", "n", "cluster", "leading"))
+    band = int(rows.column("band")[0].as_py())
     sig = matrix(rows.column("sig").combine_chunks(), width)
+    earlier = sig[:, : band * band_rows].reshape(len(sig), band, band_rows)
     targets, found = np.flatnonzero(~ask), []
     for q in np.flatnonzero(ask):
         t = targets[(cluster[targets] != cluster[q]) & (leading[targets] | (ids[targets] < ids[q]))]
         t = t[(100 * np.minimum(n[t], n[q]) >= percent * np.maximum(n[t], n[q]))]
         if len(t):
             at, equal = similar_enough(sig[t], np.broadcast_to(sig[q], (len(t), width)), percent / 100, miss)
-            found += [(cluster[t[k]], cluster[q], -e, ids[t[k]], ids[q]) for k, e in zip(at, equal)]
-    found = sorted((min(f[0], f[1]), max(f[0], f[1]), *f[2:]) for f in found)
+            first = ~(earlier[t[at]] == earlier[q]).all(axis=2).any(axis=1)
+            found += [(cluster[q], -e, ids[t[k]], ids[q]) for k, e in zip(at[first], equal[first])]
     out, cut, seen = [], False, {}
-    for low, high, _, a, b in found:
-        seen[low, high] = seen.get((low, high), 0) + 1
-        if seen[low, high] <= most:
+    for asking, _, a, b in sorted(found):
+        seen[asking] = seen.get(asking, 0) + 1
+        if most is None or seen[asking] <= most:
             out.append((min(a, b), max(a, b)))
         else:
             cut = True
     return out, cut
 
 
-def block_pairs(blocks: DataFrame, width: int, percent: int, miss: float, most: int) -> DataFrame:
+def block_pairs(blocks: DataFrame, width: int, band_rows: int, percent: int, miss: float, most: int | None) -> DataFrame:
     """(a, b, cut) from all groups; a row with a = b only says that its group has more pairs."""
     names = ["key", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            pairs, cut = _group_pairs(table, width, percent, miss, most)
+            pairs, cut = _group_pairs(table, width, band_rows, percent, miss, most)
             rows = [(a, b, False) for a, b in pairs] + ([(0, 0, True)] if cut else [])
             if rows:
                 a, b, c = zip(*rows)
@@ -226,15 +231,17 @@ def block_pairs(blocks: DataFrame, width: int, percent: int, miss: float, most:
 
 
 def cluster(
-    classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingle: int, percent: int, width: int, miss: float, most: int = 16
+    classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingle: int, percent: int, width: int, band_rows: int, miss: float, first: int = 2
 ) -> DataFrame:
     """(id, component) of all classes that are linked with another one.
 
-    ``classes`` has id, n (size of the set), keys (band hashes) and sig (``width`` bytes). ``fetch``
-    turns ids into (id, text). Links are pairs with 100 * intersection >= percent * union.
+    ``classes`` has id, n (size of the set), keys (band hashes) and sig (``width`` bytes, those of the bands first). ``fetch``
+    turns ids into (id, text). Links are pairs with 100 * intersection >= percent * union. Inside buckets the
+    ``first`` likeliest pairs of each cluster are confirmed before all others: most clusters merge by
+    them, and pairs within one cluster need no comparison.
     """
     threshold = percent / 100
-    buckets = classes.select("id", "n", F.explode("keys").alias("key"))
+    buckets = classes.select("id", "n", F.posexplode("keys").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).where("size > 1").drop("size")
     members = materialize(buckets.join(shared, "key"), "buckets")
     texts = materialize(fetch(materialize(members.select("id").distinct(), "candidates")), "texts")
@@ -243,19 +250,19 @@ def cluster(
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"), "n").distinct()
     stars = stars.join(one, "a").where(f"100 * least(n, n_a) >= {percent} * greatest(n, n_a)").join(two, "b")
     tested = materialize(verify(prune(stars, width, threshold, miss), texts, shingle, percent), "verified")
-    while True:
-        clusters = materialize(components(tested.where("linked")), "clusters")
-        met = materialize(block_pairs(_open_blocks(members, clusters, classes), width, percent, miss, most), "met")
+    clusters = materialize(components(tested.where("linked")), "clusters")
+    for most in (first, None):
+        met = materialize(block_pairs(_open_blocks(members, clusters, classes), width, band_rows, percent, miss, most), "met")
         new = met.where("not cut").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         more = materialize(verify(new, texts, shingle, percent), "verified")
-        links = more.where("linked").count()
-        if links:
-            clusters = materialize(components(clusters.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more.where("linked").select("a", "b"))), "clusters")
+        links = more.where("linked").select("a", "b")
+        if not links.isEmpty():
+            stars = clusters.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            clusters = materialize(components(stars.unionByName(links)), "clusters")
         if met.where("cut").isEmpty():
-            return clusters
+            break
         tested = tested.unionByName(more)
-        if not links:
-            most *= 16
+    return clusters
 
 
 def fetch_documents(docs: DataFrame) -> Callable[[DataFrame], DataFrame]:

@@ -25,12 +25,12 @@ from epiweave.llm.words import binary
 from epiweave.session import materialize
 
 SHINGLE, PERCENT = 5, 80
-#: 32 bands of 5 hashes miss a pair at similarity 0.8 with probability 3e-6.
-ROWS, BANDS = 5, 32
-MISS = 1e-6
+#: 32 bands of 5 hashes miss a pair at similarity 0.8 with probability 3e-6. As many hashes again sharpen the comparison.
+ROWS, BANDS, HASHES = 5, 32, 320
+MISS = 1e-3
 
 
-def sign(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame:
+def sign(docs: DataFrame, shingle: int, rows: int, bands: int, hashes: int) -> DataFrame:
     """doc_id, n_shingles and, for texts with words, a digest of the set, band hashes and signature bytes."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,8 +39,8 @@ def sign(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame:
             some = np.flatnonzero(sizes)
             keys, sig, digests = ([None] * part.num_rows for _ in range(3))
             if len(some):
-                found = signatures(sets, np.concatenate([bounds[some], bounds[-1:]]), rows * bands)
-                for i, k, s in zip(some, band_keys(found, rows).view(np.int64), packed(found)):
+                found = signatures(sets, np.concatenate([bounds[some], bounds[-1:]]), hashes)
+                for i, k, s in zip(some, band_keys(found[:, : rows * bands], rows).view(np.int64), packed(found)):
                     keys[i], sig[i] = k, s.tobytes()
                     digests[i] = hashlib.blake2b(sets[bounds[i] : bounds[i + 1]].tobytes(), digest_size=16).digest()
             yield pa.RecordBatch.from_arrays(
@@ -54,19 +54,20 @@ def sign(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS, miss: float = MISS
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS, hashes: int = HASHES,
+    miss: float = MISS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
     Documents are linked if 100 * intersection >= percent * union of their sets of ``shingle``-word shingles.
     """
-    signed = materialize(sign(docs, shingle, rows, bands), "signed")
+    signed = materialize(sign(docs, shingle, rows, bands, hashes), "signed")
     known = signed.where("digest is not null and doc_id is not null")
     classes = materialize(
         known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")),
         "classes",
     )
-    clusters = cluster(classes, fetch_documents(docs), shingle, percent, rows * bands, miss)
+    clusters = cluster(classes, fetch_documents(docs), shingle, percent, hashes, rows, miss)
     roots = classes.select("digest", "id").join(clusters, "id", "left").select("digest", F.coalesce("component", "id").alias("root"))
     found = signed.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))

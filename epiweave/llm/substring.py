@@ -162,7 +162,7 @@ def repeats(
     rows, bands = tune(percent / 100, recall, MOST_HASHES)
     found = materialize(units(docs), "units")
     classes = materialize(line_classes(docs, shingle, rows, bands, LEAST), "lines")
-    clusters = cluster(classes, fetch_lines(docs, found), shingle, percent, rows * bands, MISS)
+    clusters = cluster(classes, fetch_lines(docs, found), shingle, percent, rows * bands, rows, MISS)
     holders = found.groupBy("id").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_doc"))
     linked = holders.join(if_small(clusters), "id")
     first = linked.groupBy("component").agg(F.min("owner").alias("owner"))
