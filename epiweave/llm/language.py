@@ -134,12 +134,14 @@ def positions(network: Network, x: np.ndarray, mask: np.ndarray, tapes: dict | N
     return logits.reshape(*x.shape, -1), total.reshape(x.shape), hf, hb
 
 
-def train(network: Network, x: np.ndarray, mask: np.ndarray, y: np.ndarray, updates: int = 160, runs: int = 192, rate: float = 0.02, seed: int = 6) -> Network:
-    """Adam on the mean cross-entropy of all letter positions. x, mask: (runs, steps); y: language of each run."""
+def train(network: Network, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray, updates: int = 160, runs: int = 192, rate: float = 0.02, seed: int = 6) -> Network:
+    """Adam on the mean cross-entropy of all letter positions. x, mask: (runs, steps); y: language
+    of each run; weight: how often a run is drawn, relative to the others."""
     rng, p = np.random.default_rng(seed), network.p
+    upto = np.cumsum(weight / weight.sum())
     m, v = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
     for step in range(1, updates + 1):
-        pick = rng.integers(0, len(x), runs)
+        pick = np.minimum(np.searchsorted(upto, rng.random(runs)), len(x) - 1)
         xs, ms = np.ascontiguousarray(x[pick].T), np.ascontiguousarray(mask[pick].T)
         counted = (ms & LETTER[xs]).astype(np.float32)
         tapes: dict[str, list] = {"f": [], "b": []}
@@ -208,12 +210,11 @@ def learn(docs: DataFrame, allowed: Column, limit: int = SAMPLE) -> Network | No
     offsets = np.concatenate([[0], np.cumsum([len(r.text.encode()) for r in rows])])
     start, size = cut(data, offsets)
     x, mask = side_by_side(data, start, size)
-    label = np.array([languages.index(r.lang) for r in rows])[np.searchsorted(offsets, start, "right") - 1]
-    # every language gives equally many runs
-    each = [np.flatnonzero(label == k) for k in range(len(languages))]
-    most = max(len(e) for e in each)
-    keep = np.concatenate([np.resize(e, most) for e in each if len(e)])
-    return train(start_weights(languages), x.T[keep], mask.T[keep], label[keep])
+    text = np.searchsorted(offsets, start, "right") - 1
+    label = np.array([languages.index(r.lang) for r in rows])
+    # languages are drawn equally often, and so are the documents of a language, however long
+    weight = 1 / (np.bincount(text)[text] * np.bincount(label[np.unique(text)])[label[text]])
+    return train(start_weights(languages), x.T, mask.T, label[text], weight)
 
 
 def identify(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFrame:
