@@ -187,15 +187,20 @@ def sql(name: str, reads: list[str], statement: str) -> None:
 # ---- sources and sinks -------------------------------------------------------------------
 
 sql("scan_csv_roundtrip", ["raw_vig"], "SELECT *, count(*) AS filas FROM raw_vig GROUP BY ALL")
-sql("scan_encoding_fallback", [], "SELECT doc_id, lang, text FROM documents")
-sql("scan_json_pages", [], "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+sql("scan_encoding_fallback", [], "SELECT * FROM documents")
+sql("scan_json_pages", [], "SELECT * FROM orders")
 sql("json_pages_report", [], """
-SELECT CAST(o_orderkey // 2000 AS INTEGER) AS page, count(*) AS rows,
-    coalesce(min(count(*)) OVER (ORDER BY o_orderkey // 2000 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 2000) = 2000 AS used
-FROM orders GROUP BY o_orderkey // 2000""")
+WITH paginas AS (SELECT CASE WHEN p = 3 AND o_orderkey % 2 = 0 THEN 1000 WHEN p = 5 THEN 1002 ELSE p END AS page, count(*) AS rows
+    FROM (SELECT o_orderkey, o_orderkey // 2000 AS p FROM orders) GROUP BY 1)
+SELECT CAST(page AS INTEGER) AS page, rows,
+    CASE WHEN page = (SELECT max(page) FROM paginas) THEN 'last' WHEN rows < 2000 THEN 'short' ELSE 'ok' END AS status FROM paginas
+UNION ALL
+SELECT DISTINCT CAST(page + 1 AS INTEGER), 0, 'gap' FROM (SELECT page FROM paginas UNION ALL SELECT -1)
+WHERE page + 1 NOT IN (SELECT page FROM paginas) AND page < (SELECT max(page) FROM paginas)""")
 sql("ingest_folder_report", [], """
-SELECT 'ok' AS status, 5 AS columns, count(*) AS rows FROM customer
-WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""")
+SELECT 'Segmento-' || coalesce(c_mktsegment, 'NINGUNO') || ' (2024).csv' AS file,
+    'segmento_' || lower(coalesce(c_mktsegment, 'NINGUNO')) || '__2024_' AS table_name, 'ok' AS status, 5 AS columns, count(*) AS rows
+FROM customer GROUP BY c_mktsegment""")
 sql("table_meta", ["maestro"], """
 SELECT CAST(position AS INTEGER) AS position, column_name, data_type, (SELECT count(*) FROM maestro) AS total_rows
 FROM (VALUES (1, 'ano', 'int'), (2, 'semana', 'int'), (3, 'departamento', 'string'), (4, 'municipio', 'string'),
@@ -203,7 +208,7 @@ FROM (VALUES (1, 'ano', 'int'), (2, 'semana', 'int'), (3, 'departamento', 'strin
     (8, 'precipitacion_promedio', 'double'), (9, 'calidad_aire_promedio', 'double'), (10, 'vacunacion', 'string'),
     (11, 'cantidad_hospitales', 'bigint'), (12, 'latitud', 'double'), (13, 'longitud', 'double'),
     (14, 'brote', 'string')) c(position, column_name, data_type)""")
-for _name in ("sink_roundtrip_csv", "sink_roundtrip_parquet", "master_dataset"):
+for _name in ("sink_roundtrip_csv", "sink_roundtrip_parquet", "master_dataset", "master_from_landed_csv"):
     sql(_name, ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro")
 sql("guarded_export", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE enfermedad = 'DENGUE' AND ano >= 1998")
 
@@ -275,21 +280,21 @@ sql("null_audit", ["unido"], "\nUNION ALL ".join(
     f"CAST(round(CAST((count(*) - count({c})) * 100.0 / count(*) AS DECIMAL(30, 12)), 1) AS DOUBLE) AS pct FROM unido"
     for c in MASTER_COLUMNS.replace("\n", " ").replace(" ", "").split(",")
 ))
-_QUALITY_KEYS = ["ano", "semana", "nombre_evento", "conteo"]
+_QUALITY_KEYS = ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento", "conteo"]
 sql("key_quality_report", ["raw_vig"], "\nUNION ALL ".join(
     ["SELECT 'rows' AS check_name, count(*) AS value FROM raw_vig"]
     + [f"SELECT 'nulls_{c}', count(*) FROM raw_vig WHERE {'TRY_CAST(conteo AS DOUBLE)' if c == 'conteo' else c} IS NULL" for c in _QUALITY_KEYS]
     + ["""SELECT 'duplicates', (SELECT count(*) FROM raw_vig) - (SELECT count(*) FROM
-        (SELECT DISTINCT ano, semana, nombre_evento, TRY_CAST(conteo AS DOUBLE) AS c FROM raw_vig))"""]
+        (SELECT DISTINCT ano, semana, departamento_ocurrencia, municipio_ocurrencia, nombre_evento, TRY_CAST(conteo AS DOUBLE) AS c FROM raw_vig))"""]
 ))
 
 
 def _found(needle: str, literal: bool) -> str:
-    test = "contains(upper({0}), '{1}')" if literal else "regexp_matches(upper({0}), '{1}')"
-    return "(" + " OR ".join(test.format(c, needle.upper()) for c in ("departamento", "municipio", "enfermedad")) + ")"
+    test = "contains(upper({0}), upper('{1}'))" if literal else "regexp_matches({0}, '{1}', 'i')"
+    return "(" + " OR ".join(test.format(c, needle) for c in ("departamento", "municipio", "enfermedad")) + ")"
 
 
-sql("search_text", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE {_found('nation_1.* auto|cartagena', False)}")
+sql("search_text", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE {_found(r'nation_\d1?.* auto|cartagena', False)}")
 sql("search_text_literal", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE {_found('d.c.', True)}")
 sql("filter_set_normalized", ["maestro"], f"""
 SELECT {MASTER_COLUMNS} FROM maestro
@@ -378,11 +383,12 @@ sql("unpivot_months", ["raw_cli"], f"""
 SELECT departamento, municipio, par_metro, ao, {_MONTH_NAME} AS month_name, {half_up(_MONTH_VALUE, 6)} AS valor
 FROM raw_cli, range(1, 13) m(i)""")
 sql("month_to_week", ["raw_cli", "meses"], f"""
-SELECT municipio, par_metro, ao, CAST(semana AS INTEGER) AS semana, {half_up(_MONTH_VALUE, 6)} AS valor FROM raw_cli, meses""")
+SELECT departamento, municipio, par_metro, ao, CAST(semana AS INTEGER) AS semana, {half_up(_MONTH_VALUE, 6)} AS valor FROM raw_cli, meses""")
 sql("pivot_parameters", ["raw_cli"], f"""
-SELECT municipio, {half_up("avg(ene) FILTER (medida = 'temperatura_promedio')", 6)} AS temperatura_promedio,
-    {half_up("avg(ene) FILTER (medida = 'precipitacion_promedio')", 6)} AS precipitacion_promedio
-FROM (SELECT municipio, ene, {PARAMETER.format(norm('par_metro'))} AS medida FROM raw_cli) WHERE medida IS NOT NULL GROUP BY 1""")
+SELECT departamento, municipio, month_name, {half_up("avg(valor) FILTER (medida = 'temperatura_promedio')", 6)} AS temperatura_promedio,
+    {half_up("avg(valor) FILTER (medida = 'precipitacion_promedio')", 6)} AS precipitacion_promedio
+FROM (SELECT departamento, municipio, {_MONTH_NAME} AS month_name, {_MONTH_VALUE} AS valor, {PARAMETER.format(norm('par_metro'))} AS medida
+    FROM raw_cli, range(1, 13) m(i)) WHERE medida IS NOT NULL GROUP BY 1, 2, 3""")
 sql("expand_weeks", ["aire"], """
 SELECT ano, departamento, municipio, CAST(w AS INTEGER) AS semana FROM aire, range(1, 53) s(w)""")
 sql("surveillance_weekly", ["vsp"], f"SELECT {COUNTED} FROM vsp")

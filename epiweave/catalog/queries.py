@@ -48,7 +48,7 @@ def scan_csv_roundtrip(spark, sf_dir):
 @query
 def scan_encoding_fallback(spark, sf_dir):
     """Documents landed in two encodings by language; the reader tells them apart."""
-    docs = star.load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = star.load(spark, sf_dir, "documents")
     folder = work_path(spark, "encodings")
     options = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     latin = F.col("lang").isin("fr", "es")
@@ -57,23 +57,26 @@ def scan_encoding_fallback(spark, sf_dir):
     return readers.read_source_any_encoding(spark, folder, docs.schema, multi_line=True)
 
 
+def _landed_pages(spark, sf_dir) -> tuple[str, DataFrame, int]:
+    """Orders as pages of records: the fourth page is short, and the sixth has landed under a later number."""
+    rows = star.load(spark, sf_dir, "orders")
+    folder, size = work_path(spark, "pages"), 2000
+    page = F.expr(f"cast(o_orderkey div {size} as int)")
+    page = F.when((page == 3) & (F.col("o_orderkey") % 2 == 0), 1000).when(page == 5, 1002).otherwise(page)
+    landing.land_json_pages(rows.withColumn("page", page), folder, "page", size)
+    return folder, rows, size
+
+
 @query
 def scan_json_pages(spark, sf_dir):
-    """Orders landed as numbered pages of JSON records and read back."""
-    rows = star.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    folder = work_path(spark, "pages")
-    size = 2000
-    paged = rows.withColumn("page", F.expr(f"cast(o_orderkey div {size} as int)"))
-    landing.land_json_pages(paged, folder, "page", size)
+    """Orders landed as numbered pages of JSON records and read back, past a short page and gaps."""
+    folder, rows, size = _landed_pages(spark, sf_dir)
     return readers.read_json_pages(spark, folder, rows.schema, size)
 
 
 @query
 def json_pages_report(spark, sf_dir):
-    rows = star.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    folder = work_path(spark, "pages")
-    size = 2000
-    landing.land_json_pages(rows.withColumn("page", F.expr(f"cast(o_orderkey div {size} as int)")), folder, "page", size)
+    folder, rows, size = _landed_pages(spark, sf_dir)
     return readers.json_pages_report(spark, folder, rows.schema, size)
 
 
@@ -82,17 +85,16 @@ def ingest_folder_report(spark, sf_dir):
     """Customer files, one per market segment, loaded into a table each."""
     folder = work_path(spark, "ingest")
     customers = star.load(spark, sf_dir, "customer")
-    for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
-        part = customers.where(F.col("c_mktsegment") == segment)
-        sinks.write_csv(part, f"{folder}/{segment}")
+    for (segment,) in customers.select("c_mktsegment").distinct().collect():
+        part = customers.where(F.col("c_mktsegment").eqNullSafe(segment))
+        sinks.write_csv(part, f"{folder}/Segmento-{segment or 'NINGUNO'} (2024).csv")
     target = work_path(spark, "lake")
 
     def save(df, name):
         sinks.write_table(df, f"{target}/{name}", [])
         return spark.read.parquet(f"{target}/{name}")
 
-    report = landing.ingest_folder(spark, folder, save)
-    return report.groupBy("status", "columns").agg(F.sum("rows").alias("rows"))
+    return landing.ingest_folder(spark, folder, save)
 
 
 @query
@@ -282,14 +284,15 @@ def key_quality_report(spark, sf_dir):
     """Keys of the raw surveillance rows, before duplicates are summed."""
     raw = cleaning.normalize_headers(star.raw_surveillance(spark, sf_dir))
     return quality.key_quality_report(
-        raw.withColumn("conteo", F.col("conteo").try_cast("double")), ["ano", "semana", "nombre_evento", "conteo"]
+        raw.withColumn("conteo", F.col("conteo").try_cast("double")),
+        ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento", "conteo"],
     )
 
 
 @query
 def search_text(spark, sf_dir):
     """Regular-expression search."""
-    return filters.search_text(tables.serving(spark, sf_dir), "nation_1.* auto|cartagena")
+    return filters.search_text(tables.serving(spark, sf_dir), r"nation_\d1?.* auto|cartagena")
 
 
 @query
@@ -439,18 +442,18 @@ def unpivot_months(spark, sf_dir):
 @query
 def month_to_week(spark, sf_dir):
     clima = star.raw_climate(spark, sf_dir)
-    long = reshape.unpivot_months(clima, ["municipio", "par_metro", "ao"])
+    long = reshape.unpivot_months(clima, ["departamento", "municipio", "par_metro", "ao"])
     return cleaning.round_metrics(reshape.months_to_weeks(long), {"valor": 6})
 
 
 @query
 def pivot_parameters(spark, sf_dir):
-    """Mean January value per climate parameter, a column each."""
-    clima = star.raw_climate(spark, sf_dir).select(
-        "municipio", cleaning.category_by_substring(normalize_text("par_metro"), fixed.CLIMATE_PARAMETERS).alias("medida"), "ene"
-    )
+    """Mean value per place, month and climate parameter, a column for each parameter."""
+    clima = star.raw_climate(spark, sf_dir)
+    kind = cleaning.category_by_substring(normalize_text("par_metro"), fixed.CLIMATE_PARAMETERS)
+    long = reshape.unpivot_months(clima.withColumn("medida", kind), ["departamento", "municipio", "medida"])
     measures = list(fixed.CLIMATE_PARAMETERS.values())
-    wide = reshape.pivot_mean(clima.where(F.col("medida").isNotNull()), ["municipio"], "medida", measures, "ene")
+    wide = reshape.pivot_mean(long.where(F.col("medida").isNotNull()), ["departamento", "municipio", "month_name"], "medida", measures, "valor")
     return cleaning.round_metrics(wide, {m: 6 for m in measures})
 
 
@@ -497,6 +500,20 @@ def master_dataset(spark, sf_dir):
     )
 
 
+@query
+def master_from_landed_csv(spark, sf_dir):
+    """All four sources landed as CSV files with their own headers and a column more, read by name, to the master table."""
+    landed = {
+        "vigilancia": (star.raw_surveillance(spark, sf_dir), schemas.SURVEILLANCE_RAW), "clima": (star.raw_climate(spark, sf_dir), schemas.CLIMATE_RAW),
+        "aire": (star.raw_air(spark, sf_dir), schemas.AIR_RAW), "prestadores": (star.raw_providers(spark, sf_dir), schemas.PROVIDERS_RAW),
+    }
+    folder, read = work_path(spark, "landed-csv"), []
+    for name, (rows, schema) in landed.items():
+        sinks.write_csv(rows.select(F.lit("sin uso").alias("Código"), *[F.col(f"`{c}`") for c in reversed(rows.columns)]), f"{folder}/{name}.csv")
+        read.append(readers.read_source(spark, f"{folder}/{name}.csv", schema))
+    return master.master_dataset(*read)
+
+
 # ---- reports over the master table -------------------------------------------------------
 
 

@@ -162,7 +162,7 @@ def geo_pivot(df: DataFrame, diseases: list[str] = TARGET_DISEASES) -> DataFrame
 
     Rows of other diseases are left out, and so is the null region. If no row has a listed
     disease, the result is the plain total per region with zeros per disease. Both readings
-    come from one aggregation, and the choice between them is a flag on the small result.
+    come from one aggregation; whether any row has a listed disease is a scalar.
     """
     kind = F.upper(F.trim(F.col("enfermedad")))
     listed = kind.isin(diseases)
@@ -171,7 +171,7 @@ def geo_pivot(df: DataFrame, diseases: list[str] = TARGET_DISEASES) -> DataFrame
         total().alias("_all"),
         *[total(F.when(kind == d, F.col(CASES))).alias(d.lower()) for d in diseases],
     )
-    any_listed = F.max("_has_listed").over(Window.partitionBy())
+    any_listed = df.agg(F.max(F.coalesce(listed, F.lit(False)))).scalar()
     columns = [F.col(d.lower()) for d in diseases]
     return (
         per_region.withColumn("_any", any_listed)
@@ -185,7 +185,7 @@ def geo_pivot(df: DataFrame, diseases: list[str] = TARGET_DISEASES) -> DataFrame
 def geo_share_of_max(df: DataFrame) -> DataFrame:
     """Cases per region as a share of the largest region, the divisor never below 1."""
     per_region = cases_by(df.where(F.col("departamento").isNotNull()), "departamento")
-    largest = F.max("casos").over(Window.partitionBy())
+    largest = per_region.agg(F.max("casos")).scalar()
     return per_region.withColumn("share", F.col("casos") / F.greatest(F.lit(1), largest))
 
 
@@ -236,9 +236,11 @@ def compare_categories(df: DataFrame, selected: list[str] | None = None) -> Data
 def facet_values(df: DataFrame, facets: tuple[str, ...] = ("departamento", "enfermedad", "ano", "brote")) -> DataFrame:
     """Distinct values of each facet as (facet, value) text rows, blanks left out.
 
-    All facets are read in one scan; map tasks reduce them to their distinct values.
+    All facets are read in one scan. Rows are reduced to distinct combinations before they are spread
+    into values, and those again to distinct ones.
     """
     present = [c for c in facets if c in df.columns]
+    df = df.select(*present).distinct()
     pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in present])
     return (
         df.select(F.inline(pairs)).where(F.trim("value") != "").distinct().orderBy("facet", "value")

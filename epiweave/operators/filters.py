@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -38,8 +37,6 @@ class FilterSpec:
             value = getattr(self, name)
             if value is not None and (isinstance(value, bool) or not isinstance(value, int)):
                 raise TypeError(f"{name} must be an integer, got {value!r}")
-        if self.q.strip() and not self.literal:
-            re.compile(self.q)
 
 
 def filter_categories(df: DataFrame, column: str, values: list[str]) -> DataFrame:
@@ -51,12 +48,12 @@ def _any(parts: list[Column]) -> Column:
 
 
 def text_search(columns: list[str], q: str, literal: bool = False) -> Column:
-    """True where any column contains the upper-cased search text; null text never matches."""
-    needle = q.strip().upper()
+    """True where any column contains the search text or pattern, whatever the case; null text never matches."""
+    needle = q.strip()
 
     def hit(name: str) -> Column:
-        value = F.upper(F.col(name).cast("string"))
-        return value.contains(needle) if literal else value.rlike(needle)
+        value = F.col(name).cast("string")
+        return F.upper(value).contains(needle.upper()) if literal else value.rlike("(?iu)" + needle)
 
     return _any([F.coalesce(hit(c), F.lit(False)) for c in columns])
 
@@ -67,6 +64,8 @@ def search_text(df: DataFrame, q: str, columns: list[str] | None = None, literal
         return df
     if not present:
         return df.where(F.lit(False))
+    if not literal:  # the executors' own grammar decides, before the scan
+        df.sparkSession.range(1).select(F.lit("").rlike("(?iu)" + q.strip())).collect()
     return df.where(text_search(present, q, literal))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from epiweave.fixed import EXPORT_MAX_ROWS
+from epiweave.session import materialize
 
 
 class ExportTooLarge(ValueError):
@@ -33,21 +33,15 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
         df.write.mode("overwrite").parquet(path)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
-    """Replace a catalog table."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+def guarded_export(df: DataFrame, path: str, max_rows: int | None = None) -> int:
+    """Write a selection as CSV; returns its rows.
 
-
-def guarded_export(df: DataFrame, path: str, max_rows: int = EXPORT_MAX_ROWS) -> int:
-    """Write a selection as CSV unless it has more than ``max_rows`` rows; returns its rows.
-
-    Counting stops one row past the limit.
+    With ``max_rows`` (an interactive export passes ``EXPORT_MAX_ROWS``) a larger selection is refused
+    before anything is written. The selection is stored once, counted by partial sums, and written from there.
     """
-    rows = df.limit(max_rows + 1).count()
-    if rows > max_rows:
-        raise ExportTooLarge(f"the selection has more than {max_rows} rows; filter it further")
-    write_csv(df, path)
+    stored = materialize(df, "export")
+    rows = stored.count()
+    if max_rows is not None and rows > max_rows:
+        raise ExportTooLarge(f"the selection has {rows} rows, more than {max_rows}; filter it further")
+    write_csv(stored, path)
     return rows

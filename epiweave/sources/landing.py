@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from epiweave.fixed import SOURCE_PAGE_ROWS
 from epiweave.functions.text import table_name
 from epiweave.operators.cleaning import normalize_headers_landing
-from epiweave.sources.readers import FALLBACK_ENCODING, as_path, invalid_utf8_files, list_files
+from epiweave.sources.readers import FALLBACK_ENCODING
 
 
 def land_source(df: DataFrame, path: str) -> None:
@@ -33,27 +35,61 @@ def land_json_pages(df: DataFrame, folder: str, page: str, page_rows: int = SOUR
     arrays.write.mode("overwrite").partitionBy("page_file").text(folder)
 
 
+def landed_files(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
+    """(name, path, bytes) of the CSV files of a folder, not of folders below it, by name.
+
+    A folder called like a file, as Spark writes one, counts as one file. Only names are read.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(conf)
+    entries = []
+    for status in system.listStatus(place):
+        path = status.getPath()
+        if path.getName().lower().endswith(".csv"):
+            entries.append((path.getName(), path.toString(), system.getContentSummary(path).getLength()))
+    return sorted(entries)
+
+
+def as_path(file: str) -> str:
+    """A listed file as a path to read: characters of glob patterns are taken literally."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in file)
+
+
+def _load(spark: SparkSession, path: str, size: int, name: str, save: Callable[[DataFrame, str], DataFrame]) -> tuple[str, int | None, int | None]:
+    if not size:
+        return "error: empty file", None, None
+    try:
+        valid = spark.read.text(as_path(path)).agg(F.bool_and(F.is_valid_utf8("value"))).first()[0]
+        encoding = "UTF-8" if valid else FALLBACK_ENCODING
+        df = spark.read.options(header=True, encoding=encoding, escape='"', multiLine=True).csv(as_path(path))
+        if not df.columns:
+            raise ValueError("no header row")
+        stored = save(df, name)
+        return "ok", stored.count(), len(stored.columns)
+    except Exception as error:
+        return f"error: {type(error).__name__}", None, None
+
+
 def ingest_folder(
-    spark: SparkSession, folder: str, save: Callable[[DataFrame, str], DataFrame]
+    spark: SparkSession, folder: str, save: Callable[[DataFrame, str], DataFrame], at_once: int = 4
 ) -> DataFrame:
-    """Load every CSV file of a folder into a table of its own, in name order.
+    """Load every CSV file of a folder into a table of its own; ``at_once`` files at a time.
 
     ``save(df, table)`` stores one table and returns it, so that rows are counted where counting
-    is cheap. A file that fails is reported and skipped. Returns (table_name, status, rows,
-    columns), one row per file. Values stay text, as landed; conforming them is the source
-    jobs' work.
+    is cheap. Returns (file, table_name, status, rows, columns), one row per file. A file that fails or is
+    empty is reported and skipped. Files whose names give the same table are found before
+    anything is written, and none of them is loaded. Values stay text, as landed.
     """
-    report = []
-    bad = invalid_utf8_files(spark, folder)
-    for path in sorted(list_files(spark, folder, "*.csv"), key=lambda p: p.rsplit("/", 1)[-1]):
-        name = table_name(path.rsplit("/", 1)[-1])
-        try:
-            encoding = FALLBACK_ENCODING if path in bad else "UTF-8"
-            df = spark.read.options(header=True, encoding=encoding, escape='"').csv(as_path(path))
-            if not df.columns:
-                raise ValueError("no header row")
-            stored = save(df, name)
-            report.append((name, "ok", stored.count(), len(stored.columns)))
-        except Exception as error:
-            report.append((name, f"error: {type(error).__name__}", None, None))
-    return spark.createDataFrame(report, "table_name string, status string, rows bigint, columns int")
+    files = landed_files(spark, folder)
+    named = Counter(table_name(name) for name, _, _ in files)
+
+    def one(file: tuple[str, str, int]) -> tuple:
+        name, path, size = file
+        table = table_name(name)
+        result = ("error: name collision", None, None) if named[table] > 1 else _load(spark, path, size, table, save)
+        return (name, table, *result)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        report = list(pool.map(one, files))
+    return spark.createDataFrame(report, "file string, table_name string, status string, rows bigint, columns int")

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epiweave.fixed import SOURCE_PAGE_ROWS
+from epiweave.functions.text import header_name
 
 FALLBACK_ENCODING = "ISO-8859-1"
 
@@ -19,44 +16,35 @@ def read_source(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, encoding: str = "UTF-8",
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header row. A cell that does not fit its type is null. ``multi_line`` allows
-    line breaks inside quoted cells, and makes each file one task."""
-    return (
-        spark.read.schema(schema)
-        .options(header=True, encoding=encoding, multiLine=multi_line, escape='"', enforceSchema=True)
-        .csv(paths)
-    )
-
+    """Columns of ``schema`` from CSV files with a header row, found by name.
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> list[str]:
-    """Files below a folder, by name. Only names are read."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).load(folder).select("path")
+    Headers are normalized first, so case, accents and spaces don't matter; columns may come in any order
+    and others are left unread. A column that no header names is an error. A cell that does not
+    fit its type is null. ``multi_line`` allows line breaks inside quoted cells, and makes each file one task.
+    """
+    landed = (
+        spark.read.options(header=True, encoding=encoding, multiLine=multi_line, escape='"', inferSchema=False).csv(paths)
+    )
+    places: dict[str, str] = {}
+    for name in landed.columns:
+        places.setdefault(header_name(name), name)
+    missing = [f.name for f in schema if header_name(f.name) not in places]
+    if missing:
+        raise ValueError(f"no column for {', '.join(missing)} among {', '.join(landed.columns) or 'no headers'}")
+    return landed.select(
+        *[F.col("`" + places[header_name(f.name)].replace("`", "``") + "`").try_cast(f.dataType).alias(f.name) for f in schema]
     )
-    return sorted(r.path for r in files.collect())
-
-
-def as_path(file: str) -> str:
-    """A listed file as a path to read: characters of glob patterns are taken literally."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
-
 
-def _path() -> Column:
-    return F.input_file_name()
 
+def as_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns as the types of ``schema``; a cell that does not fit is null."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
-def invalid_utf8_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> set[str]:
-    """Files that hold at least one line that is not UTF-8, as :func:`list_files` names them.
 
-    Lines are checked in parallel and only the names of the offending files come back. Spark
-    reports those percent-encoded and with a longer URI prefix.
-    """
-    lines = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
-    )
-    bad = lines.where(~F.is_valid_utf8("value")).select(_path().alias("path")).distinct()
-    return {unquote(r.path).replace("file:///", "file:/", 1) for r in bad.collect()}
+def file_encodings(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(path, utf8) of every file with a line. Lines are checked in parallel; nothing comes to the driver."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    return lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
 
 
 def read_source_any_encoding(
@@ -64,16 +52,21 @@ def read_source_any_encoding(
 ) -> DataFrame:
     """CSV files of a folder, each as UTF-8 if it is valid UTF-8 and as Latin-1 otherwise.
 
-    Every byte is valid Latin-1, so no file is left unread.
+    The folder is read once in each encoding, and a join on the file's path keeps the right reading of
+    each. Every byte is valid Latin-1, so no file is left unread. Files share their columns by position
+    of the header, as one table.
     """
-    bad = invalid_utf8_files(spark, folder, glob)
-    groups: dict[str, list[str]] = {"UTF-8": [], FALLBACK_ENCODING: []}
-    for file in list_files(spark, folder, glob):
-        groups[FALLBACK_ENCODING if file in bad else "UTF-8"].append(as_path(file))
-    parts = [read_source(spark, paths, schema, enc, multi_line) for enc, paths in groups.items() if paths]
-    if not parts:
-        return spark.createDataFrame([], schema)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    judged = file_encodings(spark, folder, glob)
+    parts = []
+    for encoding, is_utf8 in (("UTF-8", True), (FALLBACK_ENCODING, False)):
+        rows = (
+            spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
+            .options(header=True, encoding=encoding, multiLine=multi_line, escape='"', enforceSchema=True, recursiveFileLookup=True, pathGlobFilter=glob)
+            .csv(folder).withColumn("_path", F.col("_metadata.file_path"))
+        )
+        chosen = judged.where(F.col("utf8") == is_utf8).select(F.col("path").alias("_path"))
+        parts.append(as_rows(rows.join(chosen, "_path", "left_semi"), schema))
+    return parts[0].unionByName(parts[1])
 
 
 # Landed pages carry their number in the name of the file or of its folder: page-000012.
@@ -81,11 +74,17 @@ PAGE_NUMBER = r"page-(\d+)"
 PAGE_FILES = "*.{json,txt}"
 
 
+def _path() -> Column:
+    return F.input_file_name()
+
+
 def _pages(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Records with their page number. ``_unreadable`` marks the single row Spark returns for a
     file that is not JSON; a record with one odd cell is kept, with that cell null."""
     with_bad = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
-    no_field = reduce(lambda a, b: a & b, [F.col(f).isNull() for f in schema.fieldNames()])
+    no_field = F.lit(True)
+    for name in schema.fieldNames():
+        no_field = no_field & F.col(name).isNull()
     return (
         spark.read.schema(with_bad)
         .options(
@@ -93,41 +92,49 @@ def _pages(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
             recursiveFileLookup=True, pathGlobFilter=PAGE_FILES,
         )
         .json(folder)
-        .withColumn("_page", F.regexp_extract(_path(), PAGE_NUMBER, 1).try_cast("int"))
+        .withColumn("_file", _path())
+        .withColumn("_page", F.regexp_extract("_file", PAGE_NUMBER, 1).try_cast("int"))
         .withColumn("_unreadable", F.col("_bad").isNotNull() & no_field)
     )
 
 
-def _status(pages: DataFrame, page_rows: int) -> DataFrame:
-    """Rows per page and whether the page is part of the dataset. The dataset starts at page 0
-    and ends at the first page that is short, unreadable or without a successor."""
-    per_page = pages.groupBy("_page").agg(
-        F.count_if(~F.col("_unreadable")).alias("rows"), F.bool_or("_unreadable").alias("unreadable")
-    )
-    successors = per_page.select((F.col("_page") - 1).alias("_page"), F.lit(True).alias("followed"))
-    stops = F.col("unreadable") | (F.col("rows") < page_rows) | F.col("followed").isNull()
-    ends = (
-        per_page.join(successors, "_page", "left")
-        .agg(F.min("_page").alias("first"), F.min(F.when(stops, F.col("_page"))).alias("last"))
-        .select(F.when(F.col("first") == 0, F.col("last")))
-    )
-    return per_page.withColumn("last", ends.scalar()).withColumn(
-        "used", F.coalesce((F.col("_page") <= F.col("last")) & ~F.col("unreadable"), F.lit(False))
-    )
-
-
 def read_json_pages(
-    spark: SparkSession, folder: str, schema: T.StructType, page_rows: int = SOURCE_PAGE_ROWS
+    spark: SparkSession, folder: str, schema: T.StructType, page_rows: int = SOURCE_PAGE_ROWS, strict: bool = False
 ) -> DataFrame:
-    """Union of a paged dataset, from page 0 up to the first short page. A missing or
-    unreadable page ends the dataset and keeps what came before. Each page is a JSON array."""
-    pages = _pages(spark, folder, schema)
-    used = _status(pages, page_rows).where("used").select("_page")
-    return pages.where(~F.col("_unreadable")).join(used, "_page", "left_semi").select(schema.fieldNames())
+    """Every readable record of the landed pages, in one pass. Each page is a JSON array.
+
+    Downloading ends at a short page, but what has landed is data whatever its page's number: pages after a gap, a short
+    or an unreadable one are read like all others, and so are files without a number. ``strict``
+    raises instead if :func:`json_pages_report` finds anything but whole pages and one short last page.
+    """
+    if strict:
+        odd = json_pages_report(spark, folder, schema, page_rows).where("status not in ('ok', 'last')").limit(5).collect()
+        if odd:
+            raise ValueError("landed pages are not complete: " + ", ".join(f"{r.page}: {r.status}" for r in odd))
+    return _pages(spark, folder, schema).where(~F.col("_unreadable")).select(schema.fieldNames())
 
 
 def json_pages_report(
     spark: SparkSession, folder: str, schema: T.StructType, page_rows: int = SOURCE_PAGE_ROWS
 ) -> DataFrame:
-    """(page, rows, used) for each landed page."""
-    return _status(_pages(spark, folder, schema), page_rows).select(F.col("_page").alias("page"), "rows", "used")
+    """(page, rows, status) of each landed page and of each gap.
+
+    ``status`` is ``ok`` for a whole page, ``last`` for the last one, whole or short, ``short`` for a shorter one before it,
+    ``unreadable`` for a file that is not JSON, ``unnumbered`` for files without a number (taken together, with a null
+    page) and ``gap`` for a missing page, given as the first of a run of missing ones.
+    """
+    per_page = _pages(spark, folder, schema).groupBy("_page").agg(
+        F.count_if(~F.col("_unreadable")).alias("rows"), F.bool_or("_unreadable").alias("unreadable")
+    )
+    numbered = per_page.where("_page is not null")
+    last = numbered.agg(F.max("_page")).scalar()
+    status = (
+        F.when(F.col("_page").isNull(), "unnumbered").when(F.col("unreadable"), "unreadable").when(F.col("_page") == last, "last")
+        .when(F.col("rows") < page_rows, "short").otherwise("ok")
+    )
+    found = per_page.select(F.col("_page").alias("page"), "rows", status.alias("status"))
+    # a page is missing where no page precedes a later one, page 0 aside
+    before = numbered.select((F.col("_page") + 1).alias("page"))
+    gaps = before.unionByName(numbered.limit(1).select(F.lit(0).alias("page"))).join(numbered.select(F.col("_page").alias("page")), "page", "left_anti")
+    gaps = gaps.where(F.col("page") < last).select("page", F.lit(0).cast("long").alias("rows"), F.lit("gap").alias("status"))
+    return found.unionByName(gaps)
