@@ -31,7 +31,8 @@ SHINGLE, PERCENT, RECALL, MOST_HASHES = 5, 80, 0.99, 36
 #: Paragraphs of fewer words are only matched when equal, those of fewer than PIECE words not at all.
 LEAST, PIECE = 9, 5
 GAP, SPAN = 4, 25
-MISS = 1e-4
+#: Hashes of a signature, those of the bands included, and how surely a pair must be ruled out by them; in keeping with RECALL.
+HASHES, MISS = 160, 1e-2
 NOT_NEWLINE = ~byte_set((0x0A, 0x0A))
 STOP = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
 
@@ -104,9 +105,9 @@ def line_classes(docs: DataFrame, shingle: int, rows: int, bands: int, least: in
             inner = np.concatenate([[0], np.cumsum(sizes)])
             at = np.repeat(first - inner[:-1], sizes) + np.arange(inner[-1])
             sets, set_bounds = distinct(*shingles(hashes[at], inner, shingle))
-            sig = signatures(sets, set_bounds, rows * bands)
+            sig = signatures(sets, set_bounds, HASHES)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids.view(np.int64)), pa.array(np.diff(set_bounds), pa.int64()), pa.array(list(band_keys(sig, rows).view(np.int64)), pa.list_(pa.int64())), binary([s.tobytes() for s in packed(sig)])],
+                [pa.array(ids.view(np.int64)), pa.array(np.diff(set_bounds), pa.int64()), pa.array(list(band_keys(sig[:, : rows * bands], rows).view(np.int64)), pa.list_(pa.int64())), binary([s.tobytes() for s in packed(sig)])],
                 names=["id", "n", "keys", "sig"],
             )
 
@@ -162,7 +163,7 @@ def repeats(
     rows, bands = tune(percent / 100, recall, MOST_HASHES)
     found = materialize(units(docs), "units")
     classes = materialize(line_classes(docs, shingle, rows, bands, LEAST), "lines")
-    clusters = cluster(classes, fetch_lines(docs, found), shingle, percent, rows * bands, rows, MISS)
+    clusters = cluster(classes, fetch_lines(docs, found), shingle, percent, HASHES, rows, MISS)
     holders = found.groupBy("id").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_doc"))
     linked = holders.join(if_small(clusters), "id")
     first = linked.groupBy("component").agg(F.min("owner").alias("owner"))
