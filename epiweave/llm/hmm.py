@@ -165,7 +165,7 @@ def sequences(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 
 def rare_words(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(key, word) of every token whose count is not known from the vocabulary's head, and one row with the end token per row of ``docs``."""
+    """(key, word) of every token whose count is not known from the vocabulary's head."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,10 +174,8 @@ def rare_words(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
             hashes, buckets, bounds = tokens(data, offsets)
             _, counts = vocab.read(hashes, buckets)
             text = np.repeat(np.arange(part.num_rows), np.diff(bounds))[counts < 0]
-            keys = part.column("key")
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([keys.take(pa.array(text)), keys]), pa.array(np.concatenate([hashes[counts < 0], np.full(part.num_rows, END)]).view(np.int64))],
-                names=["key", "word"],
+                [part.column("key").take(pa.array(text)), pa.array(hashes[counts < 0].view(np.int64))], names=["key", "word"]
             )
 
     return docs.select("key", F.col("text").alias("_text")).mapInArrow(rare, "key long, word long")
@@ -359,15 +357,12 @@ def score(docs: DataFrame, held_out: Column, states: int = STATES, rounds: int =
     seqs = materialize(sequences(plain, vocab), "sequences")
     model = fit(seqs.where("not held_out"), vocab, states, rounds)
     scored = likelihoods(seqs, model)
-    # rows that repeat share a key and so their rare words, as often as there are end tokens
+    # rows that repeat share a key, and so the words of all of them
     n = max(200, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    end = int(np.array([END]).view(np.int64)[0])
     c = F.coalesce("c", F.lit(0))
-    is_end = F.col("word") == end
     rare = rare_words(plain, vocab).repartition(n, "word").join(counts.select("word", "c").repartition(n, "word"), "word", "left")
-    rare = rare.groupBy("key").agg(
-        F.sum(F.when(~is_end, F.log10(c + 1.0)).otherwise(0.0)).alias("rare_logs"), F.count_if(~is_end & (c > 0)).alias("rare_known"), F.count_if(is_end).alias("rows"),
-    )
+    rare = rare.groupBy("key").agg(F.sum(F.log10(c + 1.0)).alias("rare_logs"), F.count_if(c > 0).alias("rare_known"))
+    rare = rare.join(seqs.groupBy("key").agg(F.count("*").alias("rows")), "key")
     logs = F.coalesce(F.col("rare_logs") / F.col("rows"), F.lit(0.0))
     known = F.coalesce((F.col("rare_known") / F.col("rows")).cast("long"), F.lit(0))
     room = float(np.log10(vocab.tokens + vocab.distinct + 1))
