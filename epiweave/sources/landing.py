@@ -62,10 +62,12 @@ def _load(spark: SparkSession, path: str, size: int, name: str, save: Callable[[
     try:
         valid = spark.read.text(as_path(path)).agg(F.bool_and(F.is_valid_utf8("value"))).first()[0]
         encoding = "UTF-8" if valid else FALLBACK_ENCODING
-        df = spark.read.options(header=True, encoding=encoding, escape='"', multiLine=True).csv(as_path(path))
-        if not df.columns:
+        options = dict(header=True, encoding=encoding, escape='"')
+        # the header alone is read by line: reading it with line breaks in cells can't take a literal path
+        header = spark.read.options(**options).csv(as_path(path)).schema
+        if not header.fields:
             raise ValueError("no header row")
-        stored = save(df, name)
+        stored = save(spark.read.schema(header).options(**options, multiLine=True).csv(as_path(path)), name)
         return "ok", stored.count(), len(stored.columns)
     except Exception as error:
         return f"error: {type(error).__name__}", None, None

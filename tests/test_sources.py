@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from epiweave import sinks
 from epiweave.session import work_path
 from epiweave.sources import landing, readers
-from epiweave.sources.readers import read_json_pages
 
 SCHEMA = "id int, nombre string"
 
@@ -26,28 +25,35 @@ def test_encoding_per_file(spark, tmp_path):
     assert sorted(((r.id or 0), r.nombre) for r in got) == [(0, "Cali"), (1, "Nariño"), (2, "Bogotá"), (3, "Tadó")]
 
 
-def test_pages_end_at_short_missing_or_unreadable(spark, tmp_path):
+def test_every_readable_page_is_read(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
 
-    def page(folder, n, ids):
-        write(folder, f"page-{n:06d}.json", ("[" + ",".join(f'{{"id":{i},"nombre":"x"}}' for i in ids) + "]").encode())
-
-    def ids(folder):
-        return sorted(r.id for r in read_json_pages(spark, str(folder), schema, page_rows=2).collect())
-
-    short, gap, bad = tmp_path / "short", tmp_path / "gap", tmp_path / "bad"
-    for n, part in enumerate([[1, 2], [3], [4, 5]]):
-        page(short, n, part)
-    assert ids(short) == [1, 2, 3]
-    page(gap, 0, [1, 2])
-    page(gap, 2, [5, 6])
-    assert ids(gap) == [1, 2]
-    page(bad, 0, [1, 2])
-    write(bad, "page-000001.json", b"<html>error</html>")
-    page(bad, 2, [5, 6])
-    assert ids(bad) == [1, 2]
-    report = readers.json_pages_report(spark, str(bad), schema, 2).orderBy("page").collect()
-    assert [(r.page, r.rows, r.used) for r in report] == [(0, 2, True), (1, 0, False), (2, 2, False)]
+    def page(name, ids):
+        write(tmp_path, name, ("[" + ",".join(f'{{"id":{i},"nombre":"x"}}' for i in ids) + "]").encode())
+
+    page("page-000000.json", [1, 2])
+    page("page-000001.json", [3])
+    page("page-000004.json", [4, 5])
+    write(tmp_path, "page-000005.json", b"<html>error</html>")
+    page("page-000006.json", [6])
+    page("late.json", [7])
+    got = readers.read_json_pages(spark, str(tmp_path), schema, page_rows=2).collect()
+    assert sorted(r.id for r in got) == [1, 2, 3, 4, 5, 6, 7]
+    report = readers.json_pages_report(spark, str(tmp_path), schema, 2).collect()
+    assert sorted(((-1 if r.page is None else r.page), r.rows, r.status) for r in report) == [
+        (-1, 1, "unnumbered"), (0, 2, "ok"), (1, 1, "short"), (2, 0, "gap"), (4, 2, "ok"), (5, 0, "unreadable"), (6, 1, "last"),
+    ]
+    with pytest.raises(ValueError, match="not complete"):
+        readers.read_json_pages(spark, str(tmp_path), schema, page_rows=2, strict=True)
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    write(tmp_path, "a.csv", "código,Semana, Año,Departamento,conteo\n77,3,2020,VALLE,5\n78,x,2021,CAUCA,6\n".encode())
+    schema = spark.createDataFrame([], "ano int, semana int, departamento string").schema
+    got = sorted(map(tuple, readers.read_source(spark, f"{tmp_path}/a.csv", schema).collect()), key=str)
+    assert got == [(2020, 3, "VALLE"), (2021, None, "CAUCA")]
+    with pytest.raises(ValueError, match="municipio"):
+        readers.read_source(spark, f"{tmp_path}/a.csv", spark.createDataFrame([], "ano int, municipio string").schema)
 
 
 def test_page_size_is_enforced(spark):
@@ -60,6 +66,11 @@ def test_ingest_reports_failures(spark, tmp_path):
     write(tmp_path, "Uno (a) +[1].csv", "id,nombre\n1,á\n2,b\n".encode("latin-1"))
     write(tmp_path, "dos.csv", b"id,id\n1,2\n")
     write(tmp_path, "notes.txt", b"ignored")
+    write(tmp_path, "empty.csv", b"")
+    write(tmp_path, "a-b.csv", b"id\n1\n")
+    write(tmp_path, "a b.csv", b"id\n2\n")
+    write(tmp_path, "cells.csv", b'id,nombre\n1,"two\nlines"\n2,one\n')
+    write(tmp_path / "below", "dos.csv", b"id\n1\n")
     saved = {}
 
     def save(df, name):
@@ -68,9 +79,13 @@ def test_ingest_reports_failures(spark, tmp_path):
         saved[name] = [tuple(r) for r in df.orderBy("id").collect()]
         return df
 
-    got = [tuple(r) for r in landing.ingest_folder(spark, str(tmp_path), save).collect()]
-    assert got == [("uno__a__+[1]", "ok", 2, 2), ("dos", "error: RuntimeError", None, None)]
-    assert saved == {"uno__a__+[1]": [("1", "á"), ("2", "b")]}
+    got = sorted(tuple(r) for r in landing.ingest_folder(spark, str(tmp_path), save).collect())
+    assert got == [
+        ("Uno (a) +[1].csv", "uno__a__+[1]", "ok", 2, 2), ("a b.csv", "a_b", "error: name collision", None, None),
+        ("a-b.csv", "a_b", "error: name collision", None, None), ("cells.csv", "cells", "ok", 2, 2),
+        ("dos.csv", "dos", "error: RuntimeError", None, None), ("empty.csv", "empty", "error: empty file", None, None),
+    ]
+    assert saved == {"uno__a__+[1]": [("1", "á"), ("2", "b")], "cells": [("1", "two\nlines"), ("2", "one")]}
 
 
 def test_sinks(spark):
