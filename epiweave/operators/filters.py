@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,15 @@ class FilterSpec:
             value = getattr(self, name)
             if value is not None and (isinstance(value, bool) or not isinstance(value, int)):
                 raise TypeError(f"{name} must be an integer, got {value!r}")
+        if self.q.strip() and not self.literal:
+            check_pattern(self.q)
+
+
+def check_pattern(q: str) -> None:
+    """Raise for a pattern that the executors' grammar, Java's, does not accept."""
+    context = SparkContext._active_spark_context
+    if context is not None:
+        context._jvm.java.util.regex.Pattern.compile("(?iu)" + q.strip())
 
 
 def filter_categories(df: DataFrame, column: str, values: list[str]) -> DataFrame:
@@ -64,8 +74,8 @@ def search_text(df: DataFrame, q: str, columns: list[str] | None = None, literal
         return df
     if not present:
         return df.where(F.lit(False))
-    if not literal:  # the executors' own grammar decides, before the scan
-        df.sparkSession.range(1).select(F.lit("").rlike("(?iu)" + q.strip())).collect()
+    if not literal:
+        check_pattern(q)
     return df.where(text_search(present, q, literal))
 
 

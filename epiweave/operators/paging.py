@@ -48,15 +48,18 @@ def _locate(df: DataFrame, keys: list[str], offset: int) -> tuple[list, int] | N
 
 
 def page_rows(
-    df: DataFrame, keys: list[str], offset: int = 0, limit: int = 100, shallow: int = SHALLOW_ROWS
+    df: DataFrame, keys: list[str], offset: int = 0, limit: int = 100, shallow: int = SHALLOW_ROWS,
+    max_rows: int = PAGE_MAX_ROWS,
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` ordered by ``keys``, nulls last.
 
-    Limits are clamped to 1..5000 and a negative offset counts as 0. A deep page is found by
+    A limit below 1 counts as 1, one above ``max_rows`` is an error, and a negative offset counts as 0. A deep page is found by
     seeking to the key at the offset, so no task ever ranks the rows before the page. ``keys``
     should be unique; rows that share a key are ordered by the remaining columns.
     """
-    offset, limit = max(0, offset), max(1, min(PAGE_MAX_ROWS, limit))
+    if limit > max_rows:
+        raise ValueError(f"a page has at most {max_rows} rows, {limit} were asked for")
+    offset, limit = max(0, offset), max(1, limit)
     order = keys + [c for c in df.columns if c not in keys]
     ordering = [F.col(c).asc_nulls_last() for c in order]
     if offset + limit > shallow:
