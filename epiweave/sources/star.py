@@ -149,11 +149,11 @@ SELECT conv_id, turn, role,
     CASE WHEN role <> 'user' THEN text
         WHEN (conv_id + turn) % 23 = 11 THEN ''
         ELSE CASE (conv_id * 5 + turn) % 19
-            WHEN 0 THEN '¿Qué enfermedad ha crecido más en los últimos años? '
-            WHEN 1 THEN '¿Cuál es la región más afectada? '
-            WHEN 2 THEN '¿Cuál es la enfermedad más común? '
-            WHEN 3 THEN '¿En qué año hubo más casos? '
-            WHEN 4 THEN 'Dame un resumen '
+            WHEN 0 THEN 'Busco la enfermedad cuyo número crece con mayor rapidez. '
+            WHEN 1 THEN 'Muéstrame el departamento que está más afectado hoy. '
+            WHEN 2 THEN 'Una enfermedad muy común por aquí, ¿cuál sería? '
+            WHEN 3 THEN 'Señala el año que reportó más casos. '
+            WHEN 4 THEN 'Quiero leer el resumen corto '
             WHEN 5 THEN 'Síntomas del dengue '
             WHEN 6 THEN '¿Cómo evitar el zika? '
             WHEN 7 THEN '¿Cuándo consultar al médico por chik? '

@@ -23,11 +23,11 @@ def test_long_conversations_are_cut_before_the_shuffle(spark):
 
 def test_intents(spark):
     questions = {
-        "¿Qué enfermedad ha crecido más en los últimos años?": (None, "fastest_growing"),
-        "¿Cuál es la región más afectada?": (None, "top_region"),
+        "Busco la enfermedad cuyo número crece con mayor rapidez": (None, "fastest_growing"),
+        "Muéstrame el departamento que está más afectado hoy": (None, "top_region"),
         "¿Cuál es la enfermedad más común?": (None, "top_disease"),
         "¿En qué año hubo más casos?": (None, "top_year"),
-        "Dame un resumen": (None, "summary"),
+        "Quiero leer el resumen corto": (None, "summary"),
         "ayuda": (None, "help"),
         "síntomas del deng": ("DENGUE", "symptoms"),
         "cómo evito el chik": ("CHIKUNGUNYA", "other_disease"),
