@@ -7,6 +7,8 @@ comparing all pairs, weeks by joining a calendar, means of means in the order of
 
 from __future__ import annotations
 
+import re
+
 from epiweave.sources import star
 
 ORACLES: dict[str, str] = {}
@@ -301,10 +303,11 @@ SELECT {MASTER_COLUMNS} FROM maestro
 WHERE {key('departamento')} IN ('BOGOTA D C', 'LA GUAJIRA', 'SAN ANDRES PROVIDENCIA Y SANTA CATALINA')""")
 sql("filter_eq_normalized", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE {key('municipio')} = 'NATION 5 BUILDING'")
 sql("filter_year_range", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE ano BETWEEN 1996 AND 1998")
-sql("filter_combined", ["maestro"], f"""
+PARTS["seleccion"] = (["maestro"], f"""
 SELECT {MASTER_COLUMNS} FROM maestro WHERE {_found('nation|santa', False)}
     AND departamento IN ('VALLE DEL CAUCA', 'NORTE DE SANTANDER') AND enfermedad IN ('DENGUE', 'ZIKA')
     AND brote = 'SI' AND ano BETWEEN 1996 AND 2000""")
+sql("filter_combined", ["seleccion"], "SELECT * FROM seleccion")
 
 # ---- joins and geography -----------------------------------------------------------------
 
@@ -466,6 +469,10 @@ sql("facet_values", ["maestro"], "\nUNION ".join(
 ))
 _ORDER = "ano, semana, departamento, municipio, enfermedad"
 sql("page_rows", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro ORDER BY {_ORDER} LIMIT 200 OFFSET 100")
+sql("page_rows_unique_key", [], """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem ORDER BY ALL LIMIT 100 OFFSET 5000""")
+sql("filtered_page", ["seleccion"], f"""
+SELECT {MASTER_COLUMNS}, (SELECT count(*) FROM seleccion) AS filtered_total FROM seleccion ORDER BY {_ORDER} LIMIT 20 OFFSET 5""")
 sql("page_rows_deep", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro ORDER BY {_ORDER} LIMIT 50 OFFSET 1500")
 
 
@@ -497,7 +504,7 @@ FROM cambio WHERE pct IS NOT NULL
 UNION ALL SELECT 2, 'La enfermedad con más casos en la selección actual es ' || enfermedad || '.' FROM ({_top('enfermedad', 1)})
 UNION ALL SELECT 3, 'El departamento con más casos en la selección actual es ' || departamento || '.' FROM ({_top('departamento', 1)})"""
 sql("insights", ["maestro", "cambio"], _SENTENCES)
-sql("summary_long", ["maestro", "semanas", "cambio", "por_enf_ano"], f"""
+_SUMMARY = f"""
 SELECT 'kpi' AS block, 'filas' AS label, CAST(count(*) AS DOUBLE) AS value FROM maestro
 UNION ALL SELECT 'kpi', 'casos', {CASES} FROM maestro
 UNION ALL SELECT 'kpi', 'municipios', count(DISTINCT municipio) FROM maestro
@@ -510,8 +517,24 @@ UNION ALL SELECT 'top_municipio', departamento || ' / ' || municipio, casos FROM
 UNION ALL SELECT 'top_enfermedad', enfermedad, casos FROM ({_top('enfermedad', 1)})
 UNION ALL SELECT 'top_departamento', departamento, casos FROM ({_top('departamento', 1)})
 UNION ALL SELECT 'variacion', direction, pct FROM cambio
-UNION ALL SELECT 'tendencia', ano || '|' || enfermedad, casos FROM por_enf_ano WHERE enfermedad IN
-    (SELECT enfermedad FROM por_enf_ano GROUP BY 1 ORDER BY sum(casos) DESC, enfermedad LIMIT 5)""")
+UNION ALL SELECT 'variacion', unnest(['from_year', 'to_year', 'from_cases', 'to_cases']), unnest([from_year, to_year, from_cases, to_cases]) FROM cambio
+UNION ALL SELECT 'tendencia', ano || '|' || enfermedad, casos FROM tendencia
+UNION ALL SELECT 'frase', text, position FROM ({_SENTENCES})"""
+_BLOCKS = ["maestro", "semanas", "cambio", "tendencia"]
+sql("summary_long", _BLOCKS, _SUMMARY)
+
+
+def _of_selection(text: str) -> str:
+    """The same statement over the selection instead of the whole table."""
+    for part in ("anual", "cambio", "semanas", "por_enf_ano", "tendencia"):
+        text = re.sub(rf"(FROM|JOIN) {part}\b", rf"\1 {part}_sel", text)
+    return re.sub(r"FROM maestro\b", "FROM seleccion", text)
+
+
+for _part in ("anual", "cambio", "semanas", "por_enf_ano", "tendencia"):
+    _reads, _text = PARTS[_part]
+    PARTS[f"{_part}_sel"] = (["seleccion" if r == "maestro" else f"{r}_sel" for r in _reads], _of_selection(_text))
+sql("summary_filtered", ["seleccion", "semanas_sel", "cambio_sel", "tendencia_sel"], _of_selection(_SUMMARY))
 
 # ---- conversations -----------------------------------------------------------------------
 

@@ -545,6 +545,12 @@ for _name, _function in {
     _report(_name, _function)
 
 
+@query
+def summary_filtered(spark, sf_dir):
+    """The summary of a selection."""
+    return summary.summary_long(filters.apply_filters(tables.serving_keyed(spark, sf_dir), SELECTION))
+
+
 @query
 def geo_share_of_max(spark, sf_dir):
     return cleaning.round_metrics(analytics.geo_share_of_max(tables.serving(spark, sf_dir)), {"share": 6})
@@ -566,6 +572,20 @@ def page_rows_deep(spark, sf_dir):
     return paging.page_rows(tables.serving(spark, sf_dir), schemas.MASTER_KEYS, offset=1500, limit=50, shallow=1000)
 
 
+@query
+def page_rows_unique_key(spark, sf_dir):
+    """A deep page of an order whose first key is different in nearly every row."""
+    lines = star.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return paging.page_rows(lines, ["l_orderkey", "l_linenumber"], offset=5000, limit=100, shallow=1000)
+
+
+@query
+def filtered_page(spark, sf_dir):
+    """A page of a selection, with the number of rows of the whole selection."""
+    page, total = paging.filtered_page(tables.serving_keyed(spark, sf_dir), SELECTION, schemas.MASTER_KEYS, offset=5, limit=20)
+    return page.select(*schemas.MASTER.fieldNames()).withColumn("filtered_total", total.scalar())
+
+
 # ---- conversations -----------------------------------------------------------------------
 
 

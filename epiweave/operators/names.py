@@ -9,16 +9,27 @@ from epiweave.fixed import MIN_CONTAINED_NAME, REGION_ALIASES
 from epiweave.functions.text import harmonize, match_key
 
 
+BLOCK_CHARS = 1024
+
+
 def region_key(col: Column | str, aliases: dict[str, str] = REGION_ALIASES) -> Column:
     return harmonize(match_key(col), aliases)
 
 
-def _substrings(key: str, shortest: int, longest: str) -> Column:
-    """Distinct substrings of ``shortest`` to ``longest`` characters, null if there are none."""
-    return F.expr(f"""if(length({key}) >= {shortest} and {longest} >= {shortest}, array_distinct(flatten(
-        transform(sequence(1, length({key}) - {shortest} + 1), s -> transform(
-            sequence({shortest}, greatest({shortest}, least(length({key}) - s + 1, {longest}))),
-            n -> substring({key}, s, n))))), null)""")
+def _substrings(df: DataFrame, key: str, carry: str, shortest: int, longest: str, part: str) -> DataFrame:
+    """(carry, part): the substrings of ``shortest`` to ``longest`` characters of each row's ``key``.
+
+    A text is cut into overlapping blocks, those into pieces of the longest length, one for every position, and
+    those into lengths. Each step drops what it cut, so a row is never larger than a block.
+    """
+    blocks = df.where(f"length({key}) >= {shortest} and {longest} >= {shortest}").select(
+        carry, F.expr(f"{longest} as _longest"), key, F.explode(F.expr(f"sequence(0, (length({key}) - 1) div {BLOCK_CHARS})")).alias("_block")
+    ).select(carry, "_longest", F.expr(f"substring({key}, int(_block * {BLOCK_CHARS} + 1), {BLOCK_CHARS} + _longest - 1) as _text"))
+    pieces = blocks.where(f"length(_text) >= {shortest}").select(
+        carry, "_longest", "_text", F.explode(F.expr(f"sequence(1, least({BLOCK_CHARS}, length(_text) - {shortest} + 1))")).alias("_start")
+    ).select(carry, F.expr("substring(_text, _start, _longest) as _piece"))
+    lengths = pieces.select(carry, "_piece", F.explode(F.expr(f"sequence({shortest}, length(_piece))")).alias("_length"))
+    return lengths.select(carry, F.expr(f"substring(_piece, 1, _length) as {part}"))
 
 
 def resolve_names(
@@ -41,6 +52,7 @@ def resolve_names(
     wanted = (
         names.select(F.col(name).alias("name")).where(F.col("name").isNotNull()).distinct()
         .withColumns({"name_key": region_key("name", aliases), "name_plain": match_key("name")})
+        .withColumn("name_id", F.sha2("name", 256))
     )
     regions = (
         known.select(F.col(region).alias("region")).where(F.col("region").isNotNull()).distinct()
@@ -54,21 +66,20 @@ def resolve_names(
     )
     longest = by_plain.agg(F.max(F.length("region_plain"))).scalar()
     by_part = (
-        regions.withColumn("part", F.explode(_substrings("region_plain", shortest, "length(region_plain)")))
+        _substrings(regions, "region_plain", "region", shortest, "length(region_plain)", "part")
         .groupBy("part").agg(F.min("region").alias("outer_region"))
     )
     # Regions named inside the name; a name of fewer characters has no such part.
     inner = (
-        wanted.select("name", "name_plain", longest.alias("longest"))
-        .select("name", F.explode(_substrings("name_plain", shortest, "longest")).alias("region_plain"))
+        _substrings(wanted.select("name_id", "name_plain", longest.alias("longest")), "name_plain", "name_id", shortest, "longest", "region_plain")
         .join(by_plain, "region_plain")
-        .groupBy("name")
+        .groupBy("name_id")
         .agg(F.min_by("inner_region", F.struct(-F.length("region_plain"), "inner_region")).alias("inner_region"))
     )
     found = (
         wanted.join(by_key, "name_key", "left")
         .join(by_part, F.col("name_plain") == F.col("part"), "left")
-        .join(inner, "name", "left")
+        .join(inner, "name_id", "left")
     )
     return found.select(
         F.col("name").alias(name),

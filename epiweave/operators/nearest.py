@@ -177,17 +177,16 @@ def nearest_within(
     grid = _Grid(max_km)
     # Copies of one position collapse before any join, however many rows share it.
     positions = _usable(refs, {"ref_dept": dept, "ref_muni": muni}, lat, lon)
-    ref_points = grid.locate(
+    ref_points = materialize(grid.locate(
         positions.groupBy(F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"))
         .agg(F.expr("min(struct(ref_dept, ref_muni))").alias("ref")),
         "ref_lat", "ref_lon",
-    ).selectExpr("*", f"{grid.sub_cell('ref_lat', 'ref_lon')} as deepest")
+    ).selectExpr("*", f"{grid.sub_cell('ref_lat', 'ref_lon')} as deepest"), "nearest-refs")
     target_rows = _usable(targets, {"target_dept": dept, "target_muni": muni}, lat, lon).distinct()
     points = target_rows.select("lat", "lon").distinct()
 
     depth = _depth_needed(ref_points, leaf_size)
     if depth:
-        ref_points = materialize(ref_points, "nearest-refs")
         candidates = _descend(points, ref_points, grid, depth, max_km)
         pairs = candidates.join(ref_points.selectExpr("*", f"{_cell(depth)} as cell"), ["band", "slot", "cell"])
     else:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epiweave.fixed import PAGE_MAX_ROWS
+from epiweave.operators.filters import FilterSpec, apply_filters
+from epiweave.session import materialize
 
 # Up to this many rows are ranked by Spark's top-k (each task keeps offset + limit rows).
 SHALLOW_ROWS = 100_000
@@ -27,20 +29,28 @@ def _after(name: str, value) -> Column:
 def _locate(df: DataFrame, keys: list[str], offset: int) -> tuple[list, int] | None:
     """Key of the row at position ``offset``, and how many equal keys precede it.
 
-    One small job per key column: count the rows per value under the prefix found so far and
-    keep the value whose running count passes the offset. The running count sees one row per
-    distinct value, never the rows themselves.
+    One step per key column: count the rows per value under the prefix found so far and keep the
+    value whose running count passes the offset. Values are dealt out by range, so a running count
+    goes through the values of one range only; of the others just the sums are looked at.
     """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     prefix: list = []
     for key in keys:
-        counts = df.groupBy(key).count()
-        order = Window.orderBy(F.col(key).asc_nulls_last())
+        place = F.col(key).asc_nulls_last()
+        counts = materialize(
+            df.groupBy(key).count().repartitionByRange(ranges, place).withColumn("_range", F.spark_partition_id()), "page-counts"
+        )
+        for part, rows in sorted(counts.groupBy("_range").agg(F.sum("count")).collect()):
+            if rows > offset:
+                break
+            offset -= rows
+        else:
+            return None
         hit = (
-            counts.withColumn("upto", F.sum("count").over(order))
+            counts.where(F.col("_range") == part)
+            .withColumn("upto", F.sum("count").over(Window.partitionBy("_range").orderBy(place)))
             .where(F.col("upto") > offset).orderBy("upto").limit(1).first()
         )
-        if hit is None:
-            return None
         offset -= hit["upto"] - hit["count"]
         prefix.append(hit[key])
         df = df.where(_is(key, hit[key]))
@@ -74,3 +84,12 @@ def page_rows(
         at_key = reduce(lambda a, b: a & b, [_is(k, v) for k, v in zip(keys, prefix)])
         df = df.where(reduce(lambda a, b: a | b, tests, at_key))
     return df.orderBy(*ordering).offset(offset).limit(limit)
+
+
+def filtered_page(
+    df: DataFrame, spec: FilterSpec, keys: list[str], offset: int = 0, limit: int = 100, shallow: int = SHALLOW_ROWS,
+    max_rows: int = PAGE_MAX_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """(page, total) of a selection: its rows as :func:`page_rows` gives them, and one row ``filtered_total``, the number of all its rows."""
+    chosen = apply_filters(df, spec)
+    return page_rows(chosen, keys, offset, limit, shallow, max_rows), chosen.agg(F.count("*").alias("filtered_total"))

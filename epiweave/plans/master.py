@@ -101,10 +101,9 @@ def master_joined(src: Conformed, max_km: float = IMPUTE_RADIUS_KM) -> DataFrame
 
 
 def clean_master(joined: DataFrame, required: list[str] | None = None) -> DataFrame:
-    """Complete and plausible rows. Row filters run before the duplicate check, which gives the
-    same rows and shuffles fewer."""
-    kept = quality.sanity_filters(quality.drop_incomplete(joined, required))
-    return quality.dedupe_rows(kept)
+    """Complete and plausible rows. No two are equal: cases are unique by key, and each table that
+    is joined to them is unique by what it is joined on."""
+    return quality.sanity_filters(quality.drop_incomplete(joined, required))
 
 
 def master_dataset(

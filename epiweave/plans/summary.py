@@ -82,6 +82,18 @@ def _largest(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.orderBy(F.col("casos").desc(), *[F.col(k).asc_nulls_last() for k in keys]).limit(n)
 
 
+def _trend(cube: Cube) -> DataFrame:
+    """(ano, enfermedad, casos) of the diseases with most cases in rows with a year. Every year of the
+    selection counts for each of them, with 0 where it has no rows."""
+    yearly = cube.at("tendencia").where(F.col("ano").isNotNull())
+    named = yearly.where(F.col("enfermedad").isNotNull())
+    leading = _largest(named.groupBy("enfermedad").agg(F.sum("casos").alias("casos")), ["enfermedad"], TOP_TREND_SERIES)
+    years = cube.at("ano").where(F.col("ano").isNotNull()).agg(F.array_sort(F.collect_set("ano"))).scalar()
+    all_years = leading.withColumn("anos", years).select("enfermedad", F.explode("anos").alias("ano"))
+    filled = all_years.join(named.select("ano", "enfermedad", "casos"), ["ano", "enfermedad"], "left")
+    return filled.select("ano", "enfermedad", F.coalesce("casos", F.lit(0)).alias("casos"))
+
+
 def _variation(cube: Cube) -> DataFrame:
     yearly = cube.at("ano").where(F.col("ano").isNotNull())
     return yearly.agg(*change_columns()).where(F.col("anos") >= 2).select(
@@ -90,15 +102,13 @@ def _variation(cube: Cube) -> DataFrame:
 
 
 def summary_long(df: DataFrame, metrics: list[str] = SUMMARY_METRICS) -> DataFrame:
-    """All blocks of the summary as (block, label, value) rows."""
+    """All blocks of the summary as (block, label, value) rows. A sentence is the label of its row and the position its value."""
     cube = summary_cube(df, metrics)
     casos, filas = F.col("casos"), F.col("filas")
     everything = cube.at("all")
     weeks = cube.at("semana").orderBy(F.col("ano").desc(), F.col("semana").desc()).limit(WEEKLY_TAIL)
     place = F.concat_ws(" / ", "departamento", "municipio")
     top_places = _largest(cube.at("lugar"), ["departamento", "municipio"], TOP_MUNICIPALITIES)
-    trend = cube.at("tendencia").where(F.col("ano").isNotNull() & F.col("enfermedad").isNotNull())
-    leading = _largest(cube.at("enfermedad").where(F.col("enfermedad").isNotNull()), ["enfermedad"], TOP_TREND_SERIES)
     variation = _variation(cube)
     blocks = [
         _facts(everything, "kpi", F.lit("filas"), filas),
@@ -113,10 +123,9 @@ def summary_long(df: DataFrame, metrics: list[str] = SUMMARY_METRICS) -> DataFra
         _facts(_largest(cube.at("enfermedad"), ["enfermedad"], 1), "top_enfermedad", "enfermedad", casos),
         _facts(_largest(cube.at("departamento"), ["departamento"], 1), "top_departamento", "departamento", casos),
         _facts(variation, "variacion", "direction", F.col("pct")),
-        _facts(
-            trend.join(leading.select("enfermedad"), "enfermedad", "left_semi"),
-            "tendencia", F.concat_ws("|", "ano", "enfermedad"), casos,
-        ),
+        *[_facts(variation, "variacion", F.lit(c), F.col(c)) for c in ("from_year", "to_year", "from_cases", "to_cases")],
+        _facts(_trend(cube), "tendencia", F.concat_ws("|", "ano", "enfermedad"), casos),
+        _facts(_sentences(cube), "frase", "text", F.col("position")),
     ]
     return reduce(DataFrame.unionByName, blocks)
 
@@ -124,7 +133,10 @@ def summary_long(df: DataFrame, metrics: list[str] = SUMMARY_METRICS) -> DataFra
 def insights(df: DataFrame) -> DataFrame:
     """Sentences on the change over the years, the top disease and the top region, in order:
     (position, text). The first three are the short summary."""
-    cube = summary_cube(df, [])
+    return _sentences(summary_cube(df, []))
+
+
+def _sentences(cube: Cube) -> DataFrame:
     span = [F.col("from_year"), F.col("to_year")]
     change = (
         F.when(F.col("direction") == DIRECTION_UP, F.format_string(INSIGHT_UP, *span, F.col("pct")))

@@ -165,3 +165,20 @@ def test_summary_and_insights(table):
     text = [r.text for r in summary.insights(table).orderBy("position").collect()]
     assert text[0] == "En el periodo 2020–2021, los casos subieron 164.3%."
     assert text[1].endswith("es DENGUE.")
+    assert facts["tendencia", "2020|ZIKA"] == 0 and facts["tendencia", "2020|MALARIA"] == 0
+    assert facts["variacion", "from_year"] == 2020 and facts["variacion", "to_cases"] == 37
+    assert facts["frase", text[0]] == 1
+
+
+def test_trend_ranks_by_rows_with_a_year(spark):
+    table = master(spark, [(None, 1, "A", "a", "SIN ANO", 99, "NO")] + [(2020, 1, "A", "a", f"E{i}", i, "NO") for i in range(1, 6)])
+    names = {r.label for r in summary.summary_long(table, []).where("block = 'tendencia'").collect()}
+    assert names == {f"2020|E{i}" for i in range(1, 6)}
+
+
+def test_filtered_page_has_the_total(table):
+    spec = filters.FilterSpec(enfermedad=["DENGUE"])
+    page, total = paging.filtered_page(table, spec, MASTER_KEYS, offset=1, limit=1)
+    assert page.count() == 1 and total.first()[0] == 3
+    beyond, total = paging.filtered_page(table, spec, MASTER_KEYS, offset=9, shallow=0)
+    assert beyond.count() == 0 and total.first()[0] == 3

@@ -90,3 +90,5 @@ def test_resolve_names(spark):
     got = {r.nombre: (r.departamento, r.how) for r in resolve_names(names, known).collect()}
     assert got == wanted
     assert resolve_names(names.where(F.lit(False)), known).count() == 0
+    long = spark.createDataFrame([("x" * 100_000 + " santander",)], "nombre string")
+    assert [(r.departamento, r.how) for r in resolve_names(long, known).collect()] == [("SANTANDER", "contained")]
