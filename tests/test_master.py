@@ -63,6 +63,15 @@ def test_master(raw):
     assert (cali.casos_totales, cali.temperatura_promedio, cali.latitud, cali.brote) == (0, 20.0, 3.45, "NO")
 
 
+def test_master_keys_are_unique(raw):
+    """Repeated raw rows of every source add no row to the master table, complete or not."""
+    doubled = [rows.unionByName(rows) for rows in raw]
+    joined = master.master_joined(master.conform(*doubled))
+    assert joined.count() == joined.select(*schemas.MASTER_KEYS).distinct().count() > 0
+    table = master.master_dataset(*doubled)
+    assert table.count() == table.distinct().count() == 2
+
+
 def test_master_columns_and_unfiltered_rows(raw):
     joined = master.master_joined(master.conform(*raw))
     assert joined.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.MASTER.fields]
