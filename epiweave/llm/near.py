@@ -27,7 +27,8 @@ from epiweave.session import materialize
 SHINGLE, PERCENT = 5, 80
 #: 32 bands of 5 hashes miss a pair at similarity 0.8 with probability 3e-6. As many hashes again sharpen the comparison.
 ROWS, BANDS, HASHES = 5, 32, 320
-MISS = 1e-3
+#: Bound of each look at the signatures; over all ten looks a pair at similarity 0.8 is lost with probability 8e-6.
+MISS = 1e-6
 
 
 def sign(docs: DataFrame, shingle: int, rows: int, bands: int, hashes: int) -> DataFrame:

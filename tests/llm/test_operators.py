@@ -225,6 +225,25 @@ def test_posterior_bound():
     assert minhash.bands_for(0.8, 0.99, 4) == 9
 
 
+def lost_over_looks(similarity, hashes, miss, threshold=0.8):
+    """How likely the comparison of signatures drops a pair, over all looks; bytes are also equal by chance."""
+    p = similarity + (1 - similarity) / 256
+    alive = {0: 1.0}
+    for i in range(0, hashes, minhash.STEP):
+        size = min(minhash.STEP, hashes - i)
+        after = collections.Counter()
+        for m, weight in alive.items():
+            for k in range(size + 1):
+                after[m + k] += weight * math.comb(size, k) * p**k * (1 - p) ** (size - k)
+        least = minhash.least_matches(i + size, threshold, miss)
+        alive = {m: weight for m, weight in after.items() if m >= least}
+    return 1 - sum(alive.values())
+
+
+def test_near_pairs_reach_confirmation():
+    assert lost_over_looks(0.8, near.HASHES, near.MISS) < 1e-5
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (3, 3), (20, 21), (21, 6)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
