@@ -244,6 +244,10 @@ def test_near_pairs_reach_confirmation():
     assert lost_over_looks(0.8, near.HASHES, near.MISS) < 1e-5
 
 
+def test_colliding_lines_reach_confirmation():
+    assert lost_over_looks(0.8, substring.HASHES, substring.MISS) < 1e-4
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (3, 3), (20, 21), (21, 6)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
