@@ -6,8 +6,8 @@ reaches a limit. Every record is a gzip member of its own with headers and diges
 Files get their final names only when whole, and only files that the manifest lists count as written.
 
 Defined results: a null payload or URL is empty; of equal payloads the smallest page_id is stored and the
-others refer to it; rows repeated with one page_id are records of their own, each of the type its page_id
-has; a null page_id sorts first and is a response unless a page with an id has the same payload;
+others refer to it; rows repeated with one page_id are records of their own, each of the type its own payload
+gives it; a null page_id sorts first and is a response unless a page with an id has the same payload;
 an empty table gives an archive without files.
 """
 
@@ -99,23 +99,23 @@ def _member(data: bytes) -> bytes:
 
 
 def _files(rows: Iterator[tuple], folder: str, file_bytes: int) -> Iterator[tuple]:
-    """Writes records of sorted rows (shard, page_id, url, html, refers_to, is_page); yields manifest rows."""
+    """Writes records of sorted rows (shard, page_id, digest, url, html, refers_to, is_page); yields manifest rows."""
     waiting = next(rows, None)
     shard = part = None
-    refers: tuple = (None, None)
+    refers: tuple = (None, None, None)
     while waiting is not None:
         shard, part = waiting[0], (part + 1 if waiting[0] == shard else 0)
         name, count, size, sha = f"shard-{shard:06d}-{part:04d}.warc.gz", 0, 0, hashlib.sha1()
         with written(f"{folder}/{name}") as out:
             while waiting is not None and waiting[0] == shard and size < file_bytes:
-                _, page_id, url, html, to, is_page = waiting
+                _, page_id, digest, url, html, to, is_page = waiting
                 if is_page:
-                    member = _member(record(page_id, url, (html or "").encode(), refers[1] if refers[0] == page_id else None))
+                    member = _member(record(page_id, url, (html or "").encode(), refers[2] if refers[:2] == (page_id, digest) else None))
                     out.write(member)
                     sha.update(member)
                     count, size = count + 1, size + len(member)
                 else:
-                    refers = (page_id, to)
+                    refers = (page_id, digest, to)
                 waiting = next(rows, None)
         if count:
             yield shard, part, name, count, size, sha.hexdigest()
@@ -127,12 +127,12 @@ def write_warc(
     """Write pages (page_id, url, html) below ``folder``; returns the manifest.
 
     Which pages are revisits is decided on ids and digests alone. The decisions travel with the
-    pages in one shuffle: a narrow row with the id of the equal page sorts just before its page.
+    pages in one shuffle: a narrow row with the id of the equal page sorts just before the pages of its page_id and digest.
     """
     spark = pages.sparkSession
     page = pages.select("page_id", "url", "html")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    keyed = page.select("page_id", F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("payload_bytes"))
+    keyed = page.select("page_id", F.unhex(F.sha1(payload)).alias("digest"), F.octet_length(payload).cast("long").alias("payload_bytes"))
     firsts = keyed.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     revisits = keyed.join(firsts, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("refers_to").isNotNull())
     starts = shard_starts(keyed.select("page_id", "payload_bytes"), shard_bytes)
@@ -141,14 +141,14 @@ def write_warc(
     def shard_of(ids: pd.Series) -> pd.Series:
         return ids.map(lambda v: 0 if pd.isna(v) else bisect.bisect_right(starts, int(v))).astype("int32")
 
-    rows = page.select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("is_page")).unionByName(
-        revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to", F.lit(0).alias("is_page"))
+    rows = page.select("page_id", F.unhex(F.sha1(payload)).alias("digest"), "url", "html", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("is_page")).unionByName(
+        revisits.select("page_id", "digest", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to", F.lit(0).alias("is_page"))
     )
-    order = ["shard", F.col("page_id").asc_nulls_first(), "is_page", "url", "html"]
+    order = ["shard", F.col("page_id").asc_nulls_first(), "digest", "is_page", "url", "html"]
     sorted_rows = (
         rows.withColumn("shard", shard_of(F.col("page_id").cast("string")))
         .repartition(len(starts) + 1, "shard").sortWithinPartitions(*order)
-        .select("shard", "page_id", "url", "html", "refers_to", "is_page")
+        .select("shard", "page_id", "digest", "url", "html", "refers_to", "is_page")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -465,6 +465,20 @@ def test_warc(spark, tmp_path):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_warc_repeated_ids_with_different_payloads(spark):
+    rows = [(1, "a", "A"), (2, "c", "C"), (5, "a", "A"), (5, "b", "B"), (5, "c", "C"), (None, "n", "A"), (None, "n", "own"), (None, "n", None)]
+    folder = work_path(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), folder)
+    got = collections.Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to, r.payload and bytes(r.payload)) for r in warc.read_warc(spark, folder).collect())
+    first = {"A": 1, "B": 5, "C": 2}
+    want = collections.Counter()
+    for page_id, _, html in rows:
+        to, data = first.get(html), (html or "").encode()
+        digest = warc.base32(hashlib.sha1(data).digest())
+        want[(page_id, digest, "response", None, data) if to in (None, page_id) else (page_id, digest, "revisit", to, None)] += 1
+    assert got == want
+
+
 # ---- all on nothing; the pipeline ----
 
 
