@@ -19,7 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null, empty or letterless texts."""
+    """Drops documents without a language: null, empty or letterless texts, and those in which the network finds no
+    learned language with a score of at least ``language.LEAST``. Without labelled texts to learn from all are kept."""
     return language.language_filter(docs, language.learn(docs, fold("doc_id", 5) != 0))
 
 

@@ -428,6 +428,21 @@ def test_language(docs, rows):
     assert language.learn(held.limit(0), F.lit(True)) is None
 
 
+def test_language_stage_rejects_by_score(spark, docs):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("the of and over land water stone bird cloud under river".split()) for _ in range(60)),
+             " ".join(rng.choice("le la été où garçon forêt rivière pierre nuage sous".split()) for _ in range(60)),
+             ""]
+    texts[2] = texts[0][:200] + " " + texts[1][:200]  # as much of one language as of the other
+    network = language.learn(docs.where("doc_id < 120"), F.lit(True))
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in language.identify(asked, network, ["doc_id"]).collect()}
+    kept = {r.doc_id for r in language.language_filter(asked, network).collect()}
+    assert kept == {0, 1}, scores
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, unlabelled, "").count() == docs.count()
+
+
 def test_network_gradients():
     rng = np.random.default_rng(1)
     net = language.start_weights(["a", "b"], hidden=3)
