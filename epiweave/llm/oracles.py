@@ -37,4 +37,32 @@ SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce
 FROM doc_words d LEFT JOIN hit_words h USING (row) LEFT JOIN items i USING (row)
 """
 
-ORACLES: dict[str, str] = {"op4_decontaminate": OP4, "op8_warc": OP8}
+# crc32 of the decimal doc_id, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)), CAST(4294967295 AS BIGINT)))"""
+
+OP13 = rf"""
+WITH own AS (SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w, {_CRC32} AS h FROM documents),
+planned AS (SELECT *, len(w) AS n, h // 10 AS g FROM own),
+bent AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM planned),
+texts AS (
+    SELECT row, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n),
+        lambda i: w[CAST(1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END AS BIGINT)]) END AS w
+    FROM bent),
+words AS (SELECT row, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+equal AS (SELECT x.row, y.i - x.i AS p, x.i FROM words x JOIN words y ON x.row = y.row AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 2),
+stretches AS (
+    SELECT row, min(i) AS s, count(*) + p AS len, p
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY row, p ORDER BY i) AS part FROM equal) GROUP BY row, p, part HAVING count(*) >= greatest(p, 12 - p)),
+runs AS (SELECT row, s, len, min(p) AS p FROM stretches GROUP BY row, s, len),
+found AS (
+    SELECT row, count(*) AS n_runs, max(struct_pack(len := len, before := -s, less := -p)) AS best,
+        string_agg(s || ',' || len || ',' || p || chr(10), '' ORDER BY s, p) AS lines FROM runs GROUP BY row),
+dropped AS (SELECT DISTINCT row, unnest(range(s + p, s + len)) AS i FROM runs),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS words FROM words ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT t.doc_id, coalesce(f.n_runs, 0) AS n_runs, CAST(-f.best.before AS BIGINT) AS start, CAST(f.best.len AS BIGINT) AS length, CAST(-f.best.less AS BIGINT) AS period,
+    CAST(1000 * f.best.len // -f.best.less AS BIGINT) AS exponent_milli, sha256(coalesce(f.lines, '')) AS runs_sha256, sha256(coalesce(k.words, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN found f USING (row) LEFT JOIN kept k USING (row)
+"""
+
+ORACLES: dict[str, str] = {"op4_decontaminate": OP4, "op8_warc": OP8, "op13_periodic_runs": OP13}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiweave.llm import automaton, hmm, language, mixing, near, quality, substring, tokens, warc
+from epiweave.llm import automaton, hmm, language, mixing, near, periodic, quality, substring, tokens, warc
 from epiweave.llm.labelled import fold
 
 
@@ -67,6 +70,29 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Numbers of the words that a document reads instead of its own, for each tenth document."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    i, p = np.arange(n), 1 + (n - a) // (3 + g % 8)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(table(spark, sf_dir, "documents"), rewrite=planted_period)
+    best = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start as before, -r.period as less, r.start, r.period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_hmm": op2_hmm,
@@ -78,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_near_duplicates": op10_near_duplicates,
+    "op13_periodic_runs": op13_periodic_runs,
 }
