@@ -37,6 +37,27 @@ SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce
 FROM doc_words d LEFT JOIN hit_words h USING (row) LEFT JOIN items i USING (row)
 """
 
+OP11 = r"""
+WITH texts AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, [x for x in regexp_split_to_array(piece, '[\x20\x09]+') if x <> ''] AS w
+    FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT lang, w, unnest(range(1, 6)) AS m FROM pieces) WHERE len(w) >= m),
+counts AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+    SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[: k], ' ') AS first, array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM counts WHERE m > 1)),
+scores AS (
+    SELECT c.lang, c.m, c.phrase, a, k, l.f AS l, r.f AS r, n, CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.first JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+survivors AS (
+    SELECT * FROM least x WHERE NOT EXISTS (
+        SELECT 1 FROM counts y WHERE y.lang = x.lang AND y.m > x.m AND y.f = x.a AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM survivors QUALIFY rank <= 2000
+"""
+
 # crc32 of the decimal doc_id, bit by bit
 _CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
     lambda crc, byte: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)), CAST(4294967295 AS BIGINT)))"""
@@ -65,4 +86,4 @@ SELECT t.doc_id, coalesce(f.n_runs, 0) AS n_runs, CAST(-f.best.before AS BIGINT)
 FROM texts t LEFT JOIN found f USING (row) LEFT JOIN kept k USING (row)
 """
 
-ORACLES: dict[str, str] = {"op4_decontaminate": OP4, "op8_warc": OP8, "op13_periodic_runs": OP13}
+ORACLES: dict[str, str] = {"op4_decontaminate": OP4, "op8_warc": OP8, "op11_phrases": OP11, "op13_periodic_runs": OP13}

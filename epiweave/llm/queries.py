@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiweave.llm import automaton, hmm, language, mixing, near, periodic, quality, substring, tokens, warc
+from epiweave.llm import automaton, hmm, language, mixing, near, periodic, phrases, quality, sharding, substring, tokens, warc
 from epiweave.llm.labelled import fold
 
 
@@ -70,6 +70,17 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        F.col("record.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
     """Numbers of the words that a document reads instead of its own, for each tenth document."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -104,5 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_phrases": op11_phrases,
+    "op12_sharding": op12_sharding,
     "op13_periodic_runs": op13_periodic_runs,
 }
