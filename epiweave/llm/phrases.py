@@ -8,8 +8,8 @@ rests behind their cuts and tells whether all occurrences have the same neighbou
 a longer candidate that is as frequent, and the phrase is dropped. The score of a language's ``top``-th survivor is a bound from below: what can't reach it is never
 expanded, what can tie with it is. Growth ends when no language has such prefixes left.
 
-Tasks know the frontier as a table of bits of a fixed size at the places of its hashes. A false hit only makes a task count a phrase in
-vain: joins on the phrases themselves decide.
+Tasks know the frontier, and the prefixes on the way to it, as tables of bits of a fixed size at the places of their hashes. A false hit only
+makes a task count a phrase in vain: joins on the phrases themselves decide.
 
 Defined results: a null text is empty; a null lang is the language ``und``; repeated rows count as often as they occur; a language without
 candidates has no rows; an empty table gives an empty result; only text and lang are read, so that other columns can't clash.
@@ -33,7 +33,7 @@ from epiweave.session import materialize
 WORDS, LEAST, TOP = 5, 100, 2000
 #: Shares of all occurrences of frequent words at which a round of first words ends, the rarest words first.
 SHARES = (0.25, 0.5, 1.0)
-SLICE = 1 << 22
+SLICE = 1 << 21
 BITS = 25
 BREAK = byte_set((0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"])
 WORD = ~(BREAK | byte_set((0x20, 0x20), (0x09, 0x09)))
@@ -47,48 +47,41 @@ class Slice:
     """Words of some texts: hashes, pieces, and phrases as text."""
 
     def __init__(self, part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
-        data = LOWER[data]
-        self.start, self.end, bounds = find_words(data, offsets, WORD)
+        self.data = LOWER[data]
+        self.start, self.end, bounds = find_words(self.data, offsets, WORD)
         self.langs = part.column("_lang")
         self.text = np.repeat(np.arange(part.num_rows), np.diff(bounds))
         self.n = len(self.start)
-        breaks = np.concatenate([[0], np.cumsum(BREAK[data])])
         #: whether a word and the one before it stand in the same piece
-        self.goes_on = np.zeros(self.n + 1, bool)
-        if self.n:
-            same = (self.text[1:] == self.text[:-1]) & (breaks[self.start[1:]] == breaks[self.end[:-1]])
-            self.goes_on[1:-1] = same
+        self.goes_on = np.ones(self.n + 1, bool)
+        self.goes_on[bounds] = False
+        self.goes_on[np.searchsorted(self.start, np.flatnonzero(BREAK[self.data]))] = False
         last = np.flatnonzero(~self.goes_on[1:])
-        self.left = last[np.searchsorted(last, np.arange(self.n))] - np.arange(self.n) + 1 if self.n else np.zeros(0, np.int64)
-        self.words = hash_spans(data, self.start, self.end, SAME)
-        kept = WORD[data]
-        # behind the last word of a text may be the first of the next one: no phrase goes on there, and it needs no space
-        spaces = self.end[self.end < len(data)]
-        spaces = spaces[~kept[spaces]]
-        kept[spaces], data[spaces] = True, 0x20
-        place = np.concatenate([[0], np.cumsum(kept)])
-        self.packed, self.first, self.behind = data[kept], place[self.start], place[self.end]
+        #: words from each one to the end of its piece
+        self.left = np.repeat(last, np.diff(last, prepend=-1)) - np.arange(self.n) + 1
+        self.words = hash_spans(self.data, self.start, self.end, SAME)
         names = self.langs.to_pylist()
         seeds = {name: lang_hash(name) for name in set(names)}
-        self.lang_hash = np.array([seeds[x] for x in names], np.uint64)[self.text] if self.n else np.zeros(0, np.uint64)
-
-    def hashes(self) -> Iterator[tuple[int, np.ndarray]]:
-        """(words, hash of the phrase of so many words that starts at each place)."""
-        now = mix(self.words + self.lang_hash)
-        yield 1, now
-        for size in range(2, WORDS + 1):
-            if self.n < size:
-                return
-            now = mix(now[: self.n - size + 1] * _STEP[size] + self.words[size - 1 :])
-            yield size, now
+        self.first_hash = mix(self.words + np.array([seeds[x] for x in names], np.uint64)[self.text]) if self.n else np.zeros(0, np.uint64)
+
+    def longer(self, at: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the phrases of ``size`` words at some places, from those of one word less."""
+        return mix(hashes * _STEP[size] + self.words[at + size - 1])
 
     def phrases(self, at: np.ndarray, size: int) -> tuple[pa.Array, pa.Array]:
         """(languages, phrases) of ``size`` words that start at the given words."""
-        low, high = self.first[at], self.behind[at + size - 1]
-        ends = np.concatenate([[0], np.cumsum(high - low)])
-        index = np.repeat(low - ends[:-1], high - low) + np.arange(ends[-1])
-        text = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(self.packed[index]))
-        return self.langs.take(pa.array(self.text[at])).cast(pa.string()), text.cast(pa.string())
+        word = (at[:, None] + np.arange(size)).ravel()
+        sizes = self.end[word] - self.start[word] + 1  # with the space behind it
+        ends = np.cumsum(sizes)
+        index = np.repeat(self.start[word] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        text = self.data[np.minimum(index, len(self.data) - 1)]
+        text[ends - 1] = 0x20
+        phrase_ends = ends[size - 1 :: size] - np.arange(1, len(at) + 1)  # without the last word's space
+        keep = np.ones(len(text), bool)
+        keep[ends[size - 1 :: size] - 1] = False
+        offsets = np.concatenate([[0], phrase_ends]).astype(np.int64)
+        found = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text[keep]))
+        return self.langs.take(pa.array(self.text[at])).cast(pa.string()), found.cast(pa.string())
 
 
 def lang_hash(lang: str) -> np.uint64:
@@ -96,36 +89,49 @@ def lang_hash(lang: str) -> np.uint64:
     return hash_spans(data, np.array([0]), np.array([len(data)]), SAME)[0]
 
 
-def phrase_hashes(langs: list[str], phrases: pa.Array) -> np.ndarray:
-    """The hash that :meth:`Slice.hashes` gives a phrase."""
+def phrase_hashes(langs: list[str], phrases: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, which, hashes) of phrases as tasks hash them: for each number of words the prefixes of that size of the phrases that have it."""
     part = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), phrases], names=["_lang", "_text"])
-    out = np.zeros(len(langs), np.uint64)
     for rows, data, offsets in slices(iter([part]), "_text", 1 << 62):
         found = Slice(rows, data, offsets)
         bounds = np.searchsorted(found.text, np.arange(len(langs) + 1))
-        sizes = np.diff(bounds)
-        for size, values in found.hashes():
-            some = np.flatnonzero(sizes == size)
-            out[some] = values[bounds[some]]
-    return out
+        at, sizes = bounds[:-1], np.diff(bounds)
+        which = np.flatnonzero(sizes)
+        hashes = found.first_hash[at[which]]
+        for size in range(1, WORDS + 1):
+            yield size, which, hashes
+            more = sizes[which] > size
+            which = which[more]
+            hashes = found.longer(at[which], hashes[more], size + 1) if len(which) else hashes[more]
 
 
 def bit_table(phrases: DataFrame, bits: int) -> Broadcast:
-    """A broadcast table of 2^bits bits, with those of the hashes of (lang, phrase) set. Its size does not depend on the data."""
+    """Two broadcast tables of 2^bits bits: one has the bits of the hashes of (lang, phrase) set, the other those of their shorter prefixes.
+    Their size does not depend on the data."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                spots = phrase_hashes(batch.column("lang").to_pylist(), batch.column("phrase")) >> np.uint64(64 - bits)
-                cell, inverse = np.unique(spots >> np.uint64(6), return_inverse=True)
-                held = np.zeros(len(cell), np.uint64)
-                np.bitwise_or.at(held, inverse, np.uint64(1) << (spots & np.uint64(63)))
-                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), pa.array(held.view(np.int64))], names=["cell", "held"])
-
-    found = phrases.select("lang", "phrase").mapInArrow(cells, "cell long, held long").groupBy("cell").agg(F.bit_or("held").alias("held")).toArrow()
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    table[found.column("cell").to_numpy()] = found.column("held").to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(table)
+            if not batch.num_rows:
+                continue
+            words = np.array([p.count(" ") + 1 for p in batch.column("phrase").to_pylist()])
+            for size, which, hashes in phrase_hashes(batch.column("lang").to_pylist(), batch.column("phrase")):
+                for kind, own in (("whole", words[which] == size), ("path", words[which] > size)):
+                    spots = hashes[own] >> np.uint64(64 - bits)
+                    cell, inverse = np.unique(spots >> np.uint64(6), return_inverse=True)
+                    held = np.zeros(len(cell), np.uint64)
+                    np.bitwise_or.at(held, inverse, np.uint64(1) << (spots & np.uint64(63)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind] * len(cell), pa.string()), pa.array(cell.astype(np.int64)), pa.array(held.view(np.int64))], names=["kind", "cell", "held"]
+                    )
+
+    found = phrases.select("lang", "phrase").mapInArrow(cells, "kind string, cell long, held long")
+    found = found.groupBy("kind", "cell").agg(F.bit_or("held").alias("held")).toArrow()
+    kinds = found.column("kind").to_numpy()
+    tables = np.zeros((2, 1 << (bits - 6)), np.uint64)
+    for k, kind in enumerate(("whole", "path")):
+        own = kinds == kind
+        tables[k, found.column("cell").to_numpy()[own]] = found.column("held").to_numpy()[own].view(np.uint64)
+    return phrases.sparkSession.sparkContext.broadcast(tables)
 
 
 def marked(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -150,7 +156,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for part, data, offsets in slices(batches, "_text", SLICE):
             found = Slice(part, data, offsets)
             if found.n:
-                yield _counted(found, 1, np.arange(found.n), next(found.hashes())[1])
+                yield _counted(found, 1, np.arange(found.n), found.first_hash)
 
     return _texts(docs).mapInArrow(run, "lang string, phrase string, size int, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
@@ -161,45 +167,50 @@ def grow(docs: DataFrame, frontier: Broadcast, frequent: Broadcast, bits: int, l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, "_text", SLICE):
             found = Slice(part, data, offsets)
-            common = prefix = None
-            for size, hashes in found.hashes():
-                if size == 1:
-                    common = marked(frequent.value, hashes, bits)
-                else:
-                    at = np.flatnonzero(prefix[: len(hashes)] & (found.left[: len(hashes)] >= size) & common[size - 1 :])
-                    if len(at):
-                        yield _counted(found, size, at, hashes[at])
-                prefix = marked(frontier.value, hashes, bits)
+            common = marked(frequent.value[0], found.first_hash, bits)
+            at = np.flatnonzero(common)
+            hashes = found.first_hash[at]
+            for size in range(2, WORDS + 1):
+                open_ = found.left[at] >= size
+                open_[open_] = common[at[open_] + size - 1]
+                at, hashes = at[open_], hashes[open_]
+                grows, leads = marked(frontier.value[0], hashes, bits), marked(frontier.value[1], hashes, bits)
+                stay = grows | leads
+                at, grows = at[stay], grows[stay]
+                hashes = found.longer(at, hashes[stay], size)
+                if grows.any():
+                    yield _counted(found, size, at[grows], hashes[grows])
 
     counted = _texts(docs).mapInArrow(run, "lang string, phrase string, size int, n long")
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
 
 
 def look_around(docs: DataFrame, wanted: Broadcast, bits: int) -> DataFrame:
-    """(lang, phrase, size, f, alone) of phrases of two words or more that are marked as wanted. A phrase is not ``alone`` if all its occurrences
+    """(lang, phrase, size, f, alone) of phrases of two words or more that are wanted. A phrase is not ``alone`` if all its occurrences
     have the same word before them in their piece, or the same word behind them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, "_text", SLICE):
             found = Slice(part, data, offsets)
             words = found.words.view(np.int64)
-            for size, hashes in found.hashes():
-                if size == 1:
-                    continue
-                at = np.flatnonzero(found.left[: len(hashes)] >= size)
-                at = at[marked(wanted.value, hashes[at], bits)]
-                if not len(at):
+            at, hashes = np.arange(found.n), found.first_hash
+            for size in range(2, WORDS + 1):
+                stay = (found.left[at] >= size) & marked(wanted.value[1], hashes, bits)
+                at = at[stay]
+                hashes = found.longer(at, hashes[stay], size)
+                hit = np.flatnonzero(marked(wanted.value[0], hashes, bits))
+                if not len(hit):
                     continue
-                at = at[np.argsort(hashes[at], kind="stable")]
-                own = hashes[at]
+                hit = hit[np.argsort(hashes[hit], kind="stable")]
+                own, place = hashes[hit], at[hit]
                 first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                langs, phrases = found.phrases(at[first], size)
+                langs, phrases = found.phrases(place[first], size)
                 sides = []
-                for has, next_ in ((found.goes_on[at], at - 1), (found.goes_on[at + size], at + size)):
+                for has, next_ in ((found.goes_on[place], place - 1), (found.goes_on[place + size], place + size)):
                     word = words[np.clip(next_, 0, found.n - 1)]
                     sides += [np.minimum.reduceat(np.where(has, word, _LOW), first), np.maximum.reduceat(np.where(has, word, _HIGH), first)]
                 yield pa.RecordBatch.from_arrays(
-                    [langs, phrases, pa.array(np.full(len(first), size, np.int32)), pa.array(np.diff(np.append(first, len(at)))), *map(pa.array, sides)],
+                    [langs, phrases, pa.array(np.full(len(first), size, np.int32)), pa.array(np.diff(np.append(first, len(place)))), *map(pa.array, sides)],
                     names=["lang", "phrase", "size", "n", "before_low", "before_high", "behind_low", "behind_high"],
                 )
 
