@@ -203,6 +203,13 @@ sql("ingest_folder_report", [], """
 SELECT 'Segmento-' || coalesce(c_mktsegment, 'NINGUNO') || ' (2024).csv' AS file,
     'segmento_' || lower(coalesce(c_mktsegment, 'NINGUNO')) || '__2024_' AS table_name, 'ok' AS status, 5 AS columns, count(*) AS rows
 FROM customer GROUP BY c_mktsegment""")
+_SEGMENT_SUMS = """SELECT 'segmento_' || lower(coalesce(c_mktsegment, 'NINGUNO')) || '__2024_' AS table_name, '{}' AS reader, count(*) AS filas,
+    CAST(sum(CAST(c_acctbal AS DECIMAL(15, 2))) AS DOUBLE) AS saldo FROM customer WHERE c_custkey % {} = 0 GROUP BY c_mktsegment"""
+sql("ingest_folder_tables", [], _SEGMENT_SUMS.format("before", 2) + "\nUNION ALL " + _SEGMENT_SUMS.format("after", 1))
+sql("replace_table", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM (SELECT * REPLACE (2 * casos_totales AS casos_totales) FROM maestro WHERE brote = 'SI')")
+_EXPORT = "SELECT '{}' AS selection, CASE WHEN {} > 300000 THEN 'refused' ELSE 'written' END AS status, {} AS rows, CAST(300000 AS BIGINT) AS max_rows FROM {}"
+sql("export_report", ["vsp"], _EXPORT.format("cases", "count(*)", "count(*)", "vsp") + "\nUNION ALL "
+    + _EXPORT.format("weekly readings", "52 * count(*)", "52 * count(*)", "lineitem"))
 sql("table_meta", ["maestro"], """
 SELECT CAST(position AS INTEGER) AS position, column_name, data_type, (SELECT count(*) FROM maestro) AS total_rows
 FROM (VALUES (1, 'ano', 'int'), (2, 'semana', 'int'), (3, 'departamento', 'string'), (4, 'municipio', 'string'),
@@ -282,12 +289,11 @@ sql("null_audit", ["unido"], "\nUNION ALL ".join(
     f"CAST(round(CAST((count(*) - count({c})) * 100.0 / count(*) AS DECIMAL(30, 12)), 1) AS DOUBLE) AS pct FROM unido"
     for c in MASTER_COLUMNS.replace("\n", " ").replace(" ", "").split(",")
 ))
-_QUALITY_KEYS = ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento", "conteo"]
+_QUALITY_KEYS = ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento"]
 sql("key_quality_report", ["raw_vig"], "\nUNION ALL ".join(
     ["SELECT 'rows' AS check_name, count(*) AS value FROM raw_vig"]
-    + [f"SELECT 'nulls_{c}', count(*) FROM raw_vig WHERE {'TRY_CAST(conteo AS DOUBLE)' if c == 'conteo' else c} IS NULL" for c in _QUALITY_KEYS]
-    + ["""SELECT 'duplicates', (SELECT count(*) FROM raw_vig) - (SELECT count(*) FROM
-        (SELECT DISTINCT ano, semana, departamento_ocurrencia, municipio_ocurrencia, nombre_evento, TRY_CAST(conteo AS DOUBLE) AS c FROM raw_vig))"""]
+    + [f"SELECT 'nulls_{c}', count(*) FROM raw_vig WHERE {c} IS NULL" for c in _QUALITY_KEYS]
+    + [f"SELECT 'duplicates', (SELECT count(*) FROM raw_vig) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_QUALITY_KEYS)} FROM raw_vig))"]
 ))
 
 
@@ -473,7 +479,33 @@ sql("page_rows_unique_key", [], """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem ORDER BY ALL LIMIT 100 OFFSET 5000""")
 sql("filtered_page", ["seleccion"], f"""
 SELECT {MASTER_COLUMNS}, (SELECT count(*) FROM seleccion) AS filtered_total FROM seleccion ORDER BY {_ORDER} LIMIT 20 OFFSET 5""")
-sql("page_rows_deep", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro ORDER BY {_ORDER} LIMIT 50 OFFSET 1500")
+for _name in ("page_rows_deep", "page_rows_seek"):
+    sql(_name, ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro ORDER BY {_ORDER} LIMIT 50 OFFSET 1500")
+_LATER = "ano >= 1996 AND brote = 'NO'"
+sql("page_rows_filtered_deep", ["maestro"], f"SELECT {MASTER_COLUMNS} FROM maestro WHERE {_LATER} ORDER BY {_ORDER} LIMIT 40 OFFSET 700")
+
+
+def _record(fields: dict[str, str]) -> str:
+    return "{" + ", ".join(f"'{name}': {value}" for name, value in fields.items()) + "}"
+
+
+def _list(record: str, order: str, rows: str) -> str:
+    return f"(SELECT coalesce(list({record} ORDER BY {order}), []) FROM ({rows}))"
+
+
+_MASTER_NAMES = [c.strip() for c in MASTER_COLUMNS.split(",")]
+
+
+def _page_json(name: str, offset: int, limit: int, where: str) -> str:
+    rows = f"SELECT * FROM maestro WHERE {where} ORDER BY {_ORDER} LIMIT {limit} OFFSET {offset}"
+    payload = _record({
+        "columns": str(_MASTER_NAMES), "rows": _list(_record({c: c for c in _MASTER_NAMES}), _ORDER, rows), "offset": str(offset),
+        "limit": str(limit), "filtered_total": f"(SELECT count(*) FROM maestro WHERE {where})",
+    })
+    return f"SELECT '{name}' AS page, CAST(to_json({payload}) AS VARCHAR) AS payload"
+
+
+sql("page_json", ["maestro"], "\nUNION ALL ".join([_page_json("plain", 40, 25, "true"), _page_json("later", 300, 10, _LATER), _page_json("behind", 10**9, 5, "true")]))
 
 
 def _forecast(by: str) -> str:
@@ -536,6 +568,51 @@ for _part in ("anual", "cambio", "semanas", "por_enf_ano", "tendencia"):
     PARTS[f"{_part}_sel"] = (["seleccion" if r == "maestro" else f"{r}_sel" for r in _reads], _of_selection(_text))
 sql("summary_filtered", ["seleccion", "semanas_sel", "cambio_sel", "tendencia_sel"], _of_selection(_SUMMARY))
 
+
+def _summary_json(name: str, rows: str) -> str:
+    def per(column: str) -> str:
+        return f"SELECT {column}, {CASES} AS casos, count(*) AS filas FROM {rows} GROUP BY {column}"
+
+    def top(column: str) -> str:
+        return f"(SELECT {column} FROM ({per(column)}) ORDER BY casos DESC, {column} LIMIT 1)"
+
+    years = f"(SELECT ano, {CASES} AS casos FROM {rows} GROUP BY ano)"
+    change = f"""(SELECT p.ano AS from_year, u.ano AS to_year, p.casos AS from_cases, u.casos AS to_cases,
+        CASE WHEN p.casos > 0 THEN {half_even('(u.casos - p.casos) * 100.0 / p.casos', 1)} END AS pct,
+        CASE WHEN u.casos > p.casos THEN 'sube' WHEN u.casos < p.casos THEN 'baja' ELSE 'igual' END AS direction
+        FROM (SELECT * FROM {years} ORDER BY ano LIMIT 1) p, (SELECT * FROM {years} ORDER BY ano DESC LIMIT 1) u WHERE p.ano < u.ano)"""
+    texts = f"""SELECT 1 AS position, CASE direction
+            WHEN 'sube' THEN printf('En el periodo %d–%d, los casos subieron %.1f%%.', from_year, to_year, pct)
+            WHEN 'baja' THEN printf('En el periodo %d–%d, los casos bajaron %.1f%%.', from_year, to_year, abs(pct))
+            ELSE printf('En el periodo %d–%d, los casos se mantuvieron estables.', from_year, to_year) END AS text FROM {change} WHERE pct IS NOT NULL
+        UNION ALL SELECT 2, 'La enfermedad con más casos en la selección actual es ' || x || '.' FROM (SELECT {top('enfermedad')} AS x) WHERE x IS NOT NULL
+        UNION ALL SELECT 3, 'El departamento con más casos en la selección actual es ' || x || '.' FROM (SELECT {top('departamento')} AS x) WHERE x IS NOT NULL"""
+    series = f"""SELECT name, sum(casos) AS casos, list(casos ORDER BY ano) AS data FROM (
+        SELECT d.enfermedad AS name, y.ano, coalesce(p.casos, 0) AS casos
+        FROM (SELECT enfermedad FROM ({per('enfermedad')}) ORDER BY casos DESC, enfermedad LIMIT 5) d CROSS JOIN (SELECT ano FROM {years}) y
+        LEFT JOIN (SELECT enfermedad, ano, {CASES} AS casos FROM {rows} GROUP BY 1, 2) p ON p.enfermedad = d.enfermedad AND p.ano = y.ano) GROUP BY name"""
+    weeks = f"SELECT ano, semana, {CASES} AS casos FROM {rows} GROUP BY ano, semana ORDER BY ano DESC, semana DESC LIMIT 52"
+    places = f"SELECT departamento, municipio, {CASES} AS casos FROM {rows} GROUP BY 1, 2 ORDER BY casos DESC, departamento, municipio LIMIT 10"
+    payload = _record({
+        "filtered_total_rows": f"(SELECT count(*) FROM {rows})", "total_cases": f"(SELECT {CASES} FROM {rows})",
+        "municipios": f"(SELECT count(DISTINCT municipio) FROM {rows})",
+        "brote_counts": f"(SELECT coalesce(map_from_entries(list((flag, filas) ORDER BY flag)), MAP {{}}) FROM (SELECT coalesce(brote, 'null') AS flag, count(*) AS filas FROM {rows} GROUP BY 1))",
+        "disease_stats": _list(_record({c: c for c in ("enfermedad", "casos", "filas")}), "casos DESC, enfermedad", per("enfermedad")),
+        "weekly_cases": _list(_record({"label": "printf('%d-W%02d', ano, semana)", "casos": "casos"}), "ano, semana", weeks),
+        "top_municipios": _list(_record({c: c for c in ("departamento", "municipio", "casos")}), "casos DESC, departamento, municipio", places),
+        "metrics": f"(SELECT {_record({m: half_even(f'avg({m})', 2) for m in METRICS})} FROM {rows})",
+        "top_enfermedad": top("enfermedad"), "top_departamento": top("departamento"),
+        "variation": f"(SELECT {_record({c: c for c in ('from_year', 'to_year', 'from_cases', 'to_cases', 'pct', 'direction')})} FROM {change})",
+        "insights": _list("text", "position", texts),
+        "trend": _record({"labels": _list("CAST(ano AS VARCHAR)", "ano", f"SELECT ano FROM {years}"), "series": _list(_record({"name": "name", "data": "data"}), "casos DESC, name", series)}),
+    })
+    return f"SELECT '{name}' AS rows, CAST(to_json({payload}) AS VARCHAR) AS payload"
+
+
+sql("summary_json", ["maestro", "seleccion"], "\nUNION ALL ".join(
+    [_summary_json("all", "maestro"), _summary_json("selection", "seleccion"), _summary_json("none", "(SELECT * FROM maestro WHERE ano < 0)")]
+))
+
 # ---- conversations -----------------------------------------------------------------------
 
 sql("last_user_turn", ["preguntas"], """

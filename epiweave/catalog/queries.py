@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from epiweave.catalog import tables
 from epiweave.functions.text import harmonize, match_key, normalize_text
 from epiweave.operators import analytics, cleaning, conversations, filters, forecast, joins, label, names
 from epiweave.operators import nearest, paging, quality, reshape
-from epiweave.plans import conformed, master, summary
+from epiweave.plans import conformed, master, records, summary
 from epiweave.session import work_path
 from epiweave.sources import landing, readers, star
 
@@ -37,22 +38,24 @@ def _counted(df: DataFrame, *more: str) -> DataFrame:
 
 @query
 def scan_csv_roundtrip(spark, sf_dir):
-    """Surveillance rows landed as CSV and read with the explicit schema."""
+    """Surveillance rows landed as CSV files of two layouts, and read by the header of each file with the explicit schema."""
     path = work_path(spark, "csv")
-    raw = cleaning.normalize_headers(star.raw_surveillance(spark, sf_dir))
-    sinks.write_csv(raw, path)
+    raw = star.raw_surveillance(spark, sf_dir)
+    later = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(2)) == 1
+    sinks.write_csv(cleaning.normalize_headers(raw.where(~later)), f"{path}/first")
+    sinks.write_csv(raw.where(later).select(F.lit("sin uso").alias("Código"), *[F.col(f"`{c}`") for c in reversed(raw.columns)]), f"{path}/later")
     landed = readers.read_source(spark, path, schemas.SURVEILLANCE_RAW)
     return landed.groupBy(*landed.columns).agg(F.count("*").alias("filas"))
 
 
 @query
 def scan_encoding_fallback(spark, sf_dir):
-    """Documents landed in two encodings by language; the reader tells them apart."""
+    """Documents landed in two encodings by language, each with its own order of columns; the reader tells them apart."""
     docs = star.load(spark, sf_dir, "documents")
     folder = work_path(spark, "encodings")
     options = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     latin = F.col("lang").isin("fr", "es")
-    docs.where(latin).write.options(encoding=readers.FALLBACK_ENCODING, **options).csv(f"{folder}/latin")
+    docs.where(latin).select(*reversed(docs.columns)).write.options(encoding=readers.FALLBACK_ENCODING, **options).csv(f"{folder}/latin")
     docs.where(~latin).write.options(encoding="UTF-8", **options).csv(f"{folder}/utf8")
     return readers.read_source_any_encoding(spark, folder, docs.schema, multi_line=True)
 
@@ -80,21 +83,47 @@ def json_pages_report(spark, sf_dir):
     return readers.json_pages_report(spark, folder, rows.schema, size)
 
 
-@query
-def ingest_folder_report(spark, sf_dir):
-    """Customer files, one per market segment, loaded into a table each."""
+def _segment_files(spark, sf_dir, customers) -> str:
     folder = work_path(spark, "ingest")
-    customers = star.load(spark, sf_dir, "customer")
     for (segment,) in customers.select("c_mktsegment").distinct().collect():
         part = customers.where(F.col("c_mktsegment").eqNullSafe(segment))
         sinks.write_csv(part, f"{folder}/Segmento-{segment or 'NINGUNO'} (2024).csv")
-    target = work_path(spark, "lake")
+    return folder
 
-    def save(df, name):
-        sinks.write_table(df, f"{target}/{name}", [])
-        return spark.read.parquet(f"{target}/{name}")
 
-    return landing.ingest_folder(spark, folder, save)
+@query
+def ingest_folder_report(spark, sf_dir):
+    """Customer files, one per market segment, loaded into a table each."""
+    folder = _segment_files(spark, sf_dir, star.load(spark, sf_dir, "customer"))
+    return landing.ingest_folder(spark, folder, sinks.table_saver(spark, work_path(spark, "lake")))
+
+
+@query
+def ingest_folder_tables(spark, sf_dir):
+    """Tables by their catalog names after the folder has been ingested twice, and what a reader sees that began before the second time."""
+    customers, save = star.load(spark, sf_dir, "customer"), sinks.table_saver(spark, work_path(spark, "lake"))
+    halves = customers.where("c_custkey % 2 = 0")
+    names = [r.table_name for r in landing.ingest_folder(spark, _segment_files(spark, sf_dir, halves), save).collect()]
+
+    def sums(names: list[str], reader: str) -> list[DataFrame]:
+        return [
+            spark.table(n).agg(F.count("*").alias("filas"), F.sum(F.col("c_acctbal").cast("decimal(15,2)")).cast("double").alias("saldo"))
+            .withColumns({"table_name": F.lit(n), "reader": F.lit(reader)}) for n in names
+        ]
+
+    before = sums(names, "before")
+    names = [r.table_name for r in landing.ingest_folder(spark, _segment_files(spark, sf_dir, customers), save).collect()]
+    return reduce(DataFrame.unionByName, before + sums(names, "after"))
+
+
+@query
+def replace_table(spark, sf_dir):
+    """A table partitioned by year that is replaced by rows made from itself."""
+    path = work_path(spark, "replaced")
+    sinks.replace_table(tables.serving(spark, sf_dir), path)
+    now = sinks.read_table(spark, path)
+    sinks.replace_table(now.where("brote = 'SI'").withColumn("casos_totales", F.col("casos_totales") * 2), path)
+    return sinks.read_table(spark, path).select(*schemas.MASTER.fieldNames())
 
 
 @query
@@ -121,10 +150,19 @@ def guarded_export(spark, sf_dir):
     """Export of one disease and later years, under the export limit."""
     path = work_path(spark, "export")
     chosen = filters.filter_years(tables.serving(spark, sf_dir), ano_min=1998)
-    sinks.guarded_export(filters.filter_categories(chosen, "enfermedad", ["DENGUE"]), path)
+    sinks.guarded_export(filters.filter_categories(chosen, "enfermedad", ["DENGUE"]), path, fixed.EXPORT_MAX_ROWS)
     return readers.read_source(spark, path, schemas.MASTER)
 
 
+@query
+def export_report(spark, sf_dir):
+    """Two exports: all cases, and all readings repeated for every week of a year, which are too many."""
+    cases = sinks.export_report(tables.cases(spark, sf_dir), work_path(spark, "export"))
+    weekly = reshape.expand_weeks(star.view(spark, sf_dir, star.READINGS))
+    readings = sinks.export_report(weekly, work_path(spark, "export"))
+    return cases.withColumn("selection", F.lit("cases")).unionByName(readings.withColumn("selection", F.lit("weekly readings")))
+
+
 # ---- projection and cleaning -------------------------------------------------------------
 
 
@@ -284,8 +322,7 @@ def key_quality_report(spark, sf_dir):
     """Keys of the raw surveillance rows, before duplicates are summed."""
     raw = cleaning.normalize_headers(star.raw_surveillance(spark, sf_dir))
     return quality.key_quality_report(
-        raw.withColumn("conteo", F.col("conteo").try_cast("double")),
-        ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento", "conteo"],
+        raw, ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento"],
     )
 
 
@@ -568,15 +605,49 @@ def page_rows(spark, sf_dir):
 
 @query
 def page_rows_deep(spark, sf_dir):
-    """The same page order, far into the table, found by seeking."""
+    """The same page order, far into the table, by the stored index."""
+    return tables.serving_index(spark, sf_dir).page(offset=1500, limit=50)
+
+
+@query
+def page_rows_seek(spark, sf_dir):
+    """The same page without an index, found by seeking through counts."""
     return paging.page_rows(tables.serving(spark, sf_dir), schemas.MASTER_KEYS, offset=1500, limit=50, shallow=1000)
 
 
 @query
 def page_rows_unique_key(spark, sf_dir):
-    """A deep page of an order whose first key is different in nearly every row."""
-    lines = star.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return paging.page_rows(lines, ["l_orderkey", "l_linenumber"], offset=5000, limit=100, shallow=1000)
+    """A deep page of an order whose first key is different in nearly every row, from an index of many ranges."""
+    def lines() -> DataFrame:
+        return star.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+    return tables.page_index(spark, sf_dir, "line-pages", lines, ["l_orderkey", "l_linenumber"], 2_000).page(offset=5000, limit=100)
+
+
+LATER = "ano >= 1996 and brote = 'NO'"
+
+
+@query
+def page_rows_filtered_deep(spark, sf_dir):
+    """A page of the rows that fulfil a condition, by the stored index."""
+    return tables.serving_index(spark, sf_dir).page(offset=700, limit=40, where=LATER)
+
+
+@query
+def page_json(spark, sf_dir):
+    """Pages as nested records: a plain one, one of a condition, and one behind the end."""
+    index = tables.serving_index(spark, sf_dir)
+    pages = {"plain": records.page_record(index, 40, 25), "later": records.page_record(index, 300, 10, LATER), "behind": records.page_record(index, 10**9, 5)}
+    return reduce(DataFrame.unionByName, [p.withColumn("page", F.lit(name)) for name, p in pages.items()])
+
+
+@query
+def summary_json(spark, sf_dir):
+    """The summary of the whole table and of a selection as nested records."""
+    whole, keyed = records.summary_record(tables.serving(spark, sf_dir)), tables.serving_keyed(spark, sf_dir)
+    chosen = records.summary_record(filters.apply_filters(keyed, SELECTION))
+    none = records.summary_record(keyed.where("ano < 0"))
+    return reduce(DataFrame.unionByName, [d.withColumn("rows", F.lit(n)) for d, n in ((whole, "all"), (chosen, "selection"), (none, "none"))])
 
 
 @query

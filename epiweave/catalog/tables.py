@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from epiweave.operators import paging
 from epiweave.operators.filters import TEXT_COLUMNS, with_match_keys
 from epiweave.plans import conformed, master
-from epiweave.schemas import MASTER
+from epiweave.schemas import MASTER, MASTER_KEYS
 from epiweave.session import stored_table, together
 from epiweave.sources import star
 
@@ -62,3 +64,15 @@ def serving_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving_keyed(spark, sf_dir).select(*MASTER.fieldNames())
+
+
+def page_index(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame], keys: list[str], rows_per_range: int) -> paging.PageIndex:
+    """A position index that is stored once, with its list of ranges."""
+    stored = stored_table(spark, f"{name}-rows", sf_dir, lambda: paging.index_rows(rows(), keys, rows_per_range), partition_by=["_range"])
+    ranges = stored_table(spark, f"{name}-ranges", sf_dir, lambda: paging.index_ranges(stored, keys))
+    return paging.PageIndex(stored, ranges, [*keys, *(c for c in stored.columns if c not in (*keys, "_range", "_tie"))])
+
+
+def serving_index(spark: SparkSession, sf_dir: str) -> paging.PageIndex:
+    """The master table by its keys."""
+    return page_index(spark, sf_dir, "serving-pages", lambda: serving(spark, sf_dir), MASTER_KEYS, 20_000)

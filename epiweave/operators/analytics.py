@@ -22,6 +22,7 @@ from epiweave.fixed import (
     WEEKLY_TAIL,
 )
 from epiweave.functions.convert import bankers, to_double, week_label
+from epiweave.session import materialize
 
 CASES = "casos_totales"
 
@@ -161,17 +162,17 @@ def geo_pivot(df: DataFrame, diseases: list[str] = TARGET_DISEASES) -> DataFrame
     """Cases per region with a column per listed disease and their sum, largest first.
 
     Rows of other diseases are left out, and so is the null region. If no row has a listed
-    disease, the result is the plain total per region with zeros per disease. Both readings
-    come from one aggregation; whether any row has a listed disease is a scalar.
+    disease, the result is the plain total per region with zeros per disease. Both readings and
+    whether any row has a listed disease come from one aggregation: the flag is the largest of the regions' flags.
     """
     kind = F.upper(F.trim(F.col("enfermedad")))
     listed = kind.isin(diseases)
-    per_region = df.groupBy("departamento").agg(
+    per_region = materialize(df.groupBy("departamento").agg(
         F.max(F.coalesce(listed, F.lit(False))).alias("_has_listed"),
         total().alias("_all"),
         *[total(F.when(kind == d, F.col(CASES))).alias(d.lower()) for d in diseases],
-    )
-    any_listed = df.agg(F.max(F.coalesce(listed, F.lit(False)))).scalar()
+    ), "per-region")
+    any_listed = per_region.agg(F.max("_has_listed")).scalar()
     columns = [F.col(d.lower()) for d in diseases]
     return (
         per_region.withColumn("_any", any_listed)

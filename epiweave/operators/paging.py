@@ -1,7 +1,8 @@
-"""Pages of rows in a fixed order."""
+"""Pages of rows in a fixed order: by top-k, by seeking through counts, or by an index of positions that is stored once."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,64 @@ from epiweave.session import materialize
 
 # Up to this many rows are ranked by Spark's top-k (each task keeps offset + limit rows).
 SHALLOW_ROWS = 100_000
+# Rows of a range of an index: what a page reads, besides the list of ranges.
+RANGE_ROWS = 100_000
+
+
+@dataclass(frozen=True)
+class PageIndex:
+    """Rows stored in ranges of a fixed order. ``ranges`` has a row for each range: ``_range``, ``rows``, and the first key in it."""
+
+    rows: DataFrame
+    ranges: DataFrame
+    order: list[str]
+
+    def page(self, offset: int = 0, limit: int = 100, where: Column | str | None = None, max_rows: int = PAGE_MAX_ROWS) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit``, of those that fulfil ``where``.
+
+        Without a condition a page reads the list of ranges and the one or two ranges that it lies in. With one, the rows
+        that fulfil it are counted range by range first, which reads the columns of the condition only.
+        """
+        offset, limit = _bounds(offset, limit, max_rows)
+        chosen = self.rows if where is None else self.rows.where(where)
+        counts = self.ranges.select("_range", "rows") if where is None else chosen.groupBy("_range").agg(F.count("*").alias("rows"))
+        hit, skip, before = [], 0, 0
+        for part, rows in sorted(counts.collect()):
+            if before < offset + limit and before + rows > offset:
+                skip = skip if hit else offset - before
+                hit.append(part)
+            before += rows
+        ordering = [F.col(c).asc_nulls_last() for c in [*self.order, "_tie"]]
+        found = chosen.where(F.col("_range").isin(hit)) if hit else chosen.limit(0)
+        return found.orderBy(*ordering).offset(skip).limit(limit).drop("_range", "_tie")
+
+
+def _bounds(offset: int, limit: int, max_rows: int) -> tuple[int, int]:
+    if limit > max_rows:
+        raise ValueError(f"a page has at most {max_rows} rows, {limit} were asked for")
+    return max(0, offset), max(1, limit)
+
+
+def index_rows(df: DataFrame, keys: list[str], rows_per_range: int = RANGE_ROWS) -> DataFrame:
+    """Rows dealt out in ranges of the order by ``keys`` (nulls last) and the remaining columns, each range sorted. ``_tie`` tells equal
+    rows apart, so that any number of them is split over ranges like others."""
+    order = [*keys, *(c for c in df.columns if c not in keys)]
+    ranges = max(1, -(-df.count() // rows_per_range))
+    ordering = [F.col(c).asc_nulls_last() for c in [*order, "_tie"]]
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *ordering)
+    return dealt.withColumn("_range", F.spark_partition_id()).sortWithinPartitions(*ordering)
+
+
+def index_ranges(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(_range, rows, first) of each range of stored index rows; ``first`` holds its first values of the keys."""
+    first = F.struct(*[F.struct(F.col(k).isNull().alias("last"), F.col(k).alias("value")).alias(k) for k in keys])
+    return rows.groupBy("_range").agg(F.count("*").alias("rows"), F.min(first).alias("first"))
+
+
+def build_index(df: DataFrame, keys: list[str], rows_per_range: int = RANGE_ROWS) -> PageIndex:
+    """Store the rows of ``df`` for paging by ``keys``: once, for all pages."""
+    rows = materialize(index_rows(df, keys, rows_per_range), "page-rows", ["_range"])
+    return PageIndex(rows, materialize(index_ranges(rows, keys), "page-ranges"), [*keys, *(c for c in df.columns if c not in keys)])
 
 
 def _is(name: str, value) -> Column:
@@ -64,12 +123,10 @@ def page_rows(
     """Rows ``offset`` to ``offset + limit`` ordered by ``keys``, nulls last.
 
     A limit below 1 counts as 1, one above ``max_rows`` is an error, and a negative offset counts as 0. A deep page is found by
-    seeking to the key at the offset, so no task ever ranks the rows before the page. ``keys``
-    should be unique; rows that share a key are ordered by the remaining columns.
+    seeking to the key at the offset, so no task ever ranks the rows before the page; who wants many of them makes a
+    :class:`PageIndex`. ``keys`` should be unique; rows that share a key are ordered by the remaining columns.
     """
-    if limit > max_rows:
-        raise ValueError(f"a page has at most {max_rows} rows, {limit} were asked for")
-    offset, limit = max(0, offset), max(1, limit)
+    offset, limit = _bounds(offset, limit, max_rows)
     order = keys + [c for c in df.columns if c not in keys]
     ordering = [F.col(c).asc_nulls_last() for c in order]
     if offset + limit > shallow:

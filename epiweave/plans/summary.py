@@ -78,23 +78,23 @@ def _facts(df: DataFrame, block: str, label: Column | str, value: Column) -> Dat
     return df.select(F.lit(block).alias("block"), label.cast("string").alias("label"), value.cast("double").alias("value"))
 
 
-def _largest(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+def largest(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.orderBy(F.col("casos").desc(), *[F.col(k).asc_nulls_last() for k in keys]).limit(n)
 
 
-def _trend(cube: Cube) -> DataFrame:
+def trend(cube: Cube) -> DataFrame:
     """(ano, enfermedad, casos) of the diseases with most cases in rows with a year. Every year of the
     selection counts for each of them, with 0 where it has no rows."""
     yearly = cube.at("tendencia").where(F.col("ano").isNotNull())
     named = yearly.where(F.col("enfermedad").isNotNull())
-    leading = _largest(named.groupBy("enfermedad").agg(F.sum("casos").alias("casos")), ["enfermedad"], TOP_TREND_SERIES)
+    leading = largest(named.groupBy("enfermedad").agg(F.sum("casos").alias("casos")), ["enfermedad"], TOP_TREND_SERIES)
     years = cube.at("ano").where(F.col("ano").isNotNull()).agg(F.array_sort(F.collect_set("ano"))).scalar()
     all_years = leading.withColumn("anos", years).select("enfermedad", F.explode("anos").alias("ano"))
     filled = all_years.join(named.select("ano", "enfermedad", "casos"), ["ano", "enfermedad"], "left")
     return filled.select("ano", "enfermedad", F.coalesce("casos", F.lit(0)).alias("casos"))
 
 
-def _variation(cube: Cube) -> DataFrame:
+def change_of_years(cube: Cube) -> DataFrame:
     yearly = cube.at("ano").where(F.col("ano").isNotNull())
     return yearly.agg(*change_columns()).where(F.col("anos") >= 2).select(
         "*", change_pct().alias("pct"), direction().alias("direction")
@@ -108,8 +108,8 @@ def summary_long(df: DataFrame, metrics: list[str] = SUMMARY_METRICS) -> DataFra
     everything = cube.at("all")
     weeks = cube.at("semana").orderBy(F.col("ano").desc(), F.col("semana").desc()).limit(WEEKLY_TAIL)
     place = F.concat_ws(" / ", "departamento", "municipio")
-    top_places = _largest(cube.at("lugar"), ["departamento", "municipio"], TOP_MUNICIPALITIES)
-    variation = _variation(cube)
+    top_places = largest(cube.at("lugar"), ["departamento", "municipio"], TOP_MUNICIPALITIES)
+    variation = change_of_years(cube)
     blocks = [
         _facts(everything, "kpi", F.lit("filas"), filas),
         _facts(everything, "kpi", F.lit("casos"), casos),
@@ -120,12 +120,12 @@ def summary_long(df: DataFrame, metrics: list[str] = SUMMARY_METRICS) -> DataFra
         _facts(weeks, "semana", week_label(F.col("ano"), F.col("semana")), casos),
         _facts(top_places, "top_municipio", place, casos),
         *[_facts(everything, "promedio", F.lit(m), bankers(F.col(m), 2)) for m in metrics],
-        _facts(_largest(cube.at("enfermedad"), ["enfermedad"], 1), "top_enfermedad", "enfermedad", casos),
-        _facts(_largest(cube.at("departamento"), ["departamento"], 1), "top_departamento", "departamento", casos),
+        _facts(largest(cube.at("enfermedad"), ["enfermedad"], 1), "top_enfermedad", "enfermedad", casos),
+        _facts(largest(cube.at("departamento"), ["departamento"], 1), "top_departamento", "departamento", casos),
         _facts(variation, "variacion", "direction", F.col("pct")),
         *[_facts(variation, "variacion", F.lit(c), F.col(c)) for c in ("from_year", "to_year", "from_cases", "to_cases")],
-        _facts(_trend(cube), "tendencia", F.concat_ws("|", "ano", "enfermedad"), casos),
-        _facts(_sentences(cube), "frase", "text", F.col("position")),
+        _facts(trend(cube), "tendencia", F.concat_ws("|", "ano", "enfermedad"), casos),
+        _facts(sentences(cube), "frase", "text", F.col("position")),
     ]
     return reduce(DataFrame.unionByName, blocks)
 
@@ -133,20 +133,20 @@ def summary_long(df: DataFrame, metrics: list[str] = SUMMARY_METRICS) -> DataFra
 def insights(df: DataFrame) -> DataFrame:
     """Sentences on the change over the years, the top disease and the top region, in order:
     (position, text). The first three are the short summary."""
-    return _sentences(summary_cube(df, []))
+    return sentences(summary_cube(df, []))
 
 
-def _sentences(cube: Cube) -> DataFrame:
+def sentences(cube: Cube) -> DataFrame:
     span = [F.col("from_year"), F.col("to_year")]
     change = (
         F.when(F.col("direction") == DIRECTION_UP, F.format_string(INSIGHT_UP, *span, F.col("pct")))
         .when(F.col("direction") == DIRECTION_DOWN, F.format_string(INSIGHT_DOWN, *span, F.abs("pct")))
         .otherwise(F.format_string(INSIGHT_SAME, *span))
     )
-    top_disease = _largest(cube.at("enfermedad"), ["enfermedad"], 1)
-    top_region = _largest(cube.at("departamento"), ["departamento"], 1)
+    top_disease = largest(cube.at("enfermedad"), ["enfermedad"], 1)
+    top_region = largest(cube.at("departamento"), ["departamento"], 1)
     parts = [
-        _variation(cube).where(F.col("pct").isNotNull()).select(F.lit(1).alias("position"), change.alias("text")),
+        change_of_years(cube).where(F.col("pct").isNotNull()).select(F.lit(1).alias("position"), change.alias("text")),
         top_disease.select(F.lit(2).alias("position"), F.format_string(INSIGHT_DISEASE, "enfermedad").alias("text")),
         top_region.select(F.lit(3).alias("position"), F.format_string(INSIGHT_REGION, "departamento").alias("text")),
     ]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from epiweave.fixed import SOURCE_PAGE_ROWS
 from epiweave.functions.text import table_name
 from epiweave.operators.cleaning import normalize_headers_landing
-from epiweave.sources.readers import FALLBACK_ENCODING
+from epiweave.sources.readers import FALLBACK_ENCODING, as_path
 
 
 def land_source(df: DataFrame, path: str) -> None:
@@ -51,11 +51,6 @@ def landed_files(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]
     return sorted(entries)
 
 
-def as_path(file: str) -> str:
-    """A listed file as a path to read: characters of glob patterns are taken literally."""
-    return "".join("\\" + c if c in "[]{}*?\\" else c for c in file)
-
-
 def _load(spark: SparkSession, path: str, size: int, name: str, save: Callable[[DataFrame, str], DataFrame]) -> tuple[str, int | None, int | None]:
     if not size:
         return "error: empty file", None, None

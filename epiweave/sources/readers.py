@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,33 +17,116 @@ from epiweave.functions.text import header_name
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
+@dataclass(frozen=True)
+class LandedFile:
+    """A file of a source: its path, its header line and the encoding that it is read in."""
+
+    path: str
+    header: tuple[str, ...]
+    encoding: str = "UTF-8"
+
+
+def as_path(file: str) -> str:
+    """A listed file as a path to read: characters of glob patterns are taken literally."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in file)
+
+
+def list_files(spark: SparkSession, paths: str | list[str], glob: str = "*") -> list[str]:
+    """Files below folders, or named by paths or patterns, in order. Names that begin with a dot or underscore don't count,
+    as for Spark's readers; ``glob`` chooses among names of files. A path that names nothing is an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fits = jvm.org.apache.hadoop.fs.GlobFilter(glob)
+
+    def below(system, status) -> list[str]:
+        if status.isFile():
+            return [status.getPath().toString()] if fits.accept(status.getPath()) else []
+        inner = [s for s in system.listStatus(status.getPath()) if not s.getPath().getName().startswith((".", "_"))]
+        return [file for s in inner for file in below(system, s)]
+
+    found = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(conf)
+        top = system.globStatus(place)
+        if not top:
+            raise FileNotFoundError(path)
+        found += [file for status in top for file in below(system, status)]
+    return sorted(set(found))
+
+
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    """First line of a file, unpacked if its name says that it is compressed; only its first bytes are read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        data = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, encoding)).readLine()
+    finally:
+        stream.close()
+
+
+def parse_header(line: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), []))
+
+
+def file_headers(spark: SparkSession, files: dict[str, str], at_once: int = 16) -> list[LandedFile]:
+    """The header line of each file (path to encoding), ``at_once`` files at a time. Empty files are left out."""
+
+    def one(file: tuple[str, str]) -> LandedFile | None:
+        line = _first_line(spark, *file)
+        return LandedFile(file[0], parse_header(line), file[1]) if line else None
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [found for found in pool.map(one, sorted(files.items())) if found is not None]
+
+
+def _positions(file: LandedFile, schema: T.StructType) -> tuple[int, ...]:
+    """Where a file has each column of ``schema``."""
+    places: dict[str, list[int]] = {}
+    for i, name in enumerate(file.header):
+        places.setdefault(header_name(name), []).append(i)
+    wanted = [(f.name, places.get(header_name(f.name), [])) for f in schema]
+    missing = [name for name, at in wanted if not at]
+    if missing:
+        raise ValueError(f"{file.path}: no column for {', '.join(missing)} among {', '.join(file.header)}")
+    twice = [f"{name} ({', '.join(file.header[i] for i in at)})" for name, at in wanted if len(at) > 1]
+    if twice:
+        raise ValueError(f"{file.path}: more than one column for {', '.join(twice)}")
+    return tuple(at[0] for _, at in wanted)
+
+
+def read_files(spark: SparkSession, files: list[LandedFile], schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Columns of ``schema`` from CSV files, each found by its own file's header.
+
+    Files that share encoding, number of columns and the places of the needed ones are one scan, and every file is
+    read once. The number of scans is that of the layouts that occur, not that of the files.
+    """
+    layouts: dict[tuple, list[str]] = {}
+    for file in files:
+        layouts.setdefault((file.encoding, len(file.header), _positions(file, schema)), []).append(as_path(file.path))
+    scans = []
+    for (encoding, width, places), paths in layouts.items():
+        cells = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(width)])
+        rows = spark.read.schema(cells).options(header=True, encoding=encoding, multiLine=multi_line, escape='"').csv(paths)
+        scans.append(rows.select(*[F.col(f"_{i}").try_cast(f.dataType).alias(f.name) for i, f in zip(places, schema)]))
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], schema)
+
+
 def read_source(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, encoding: str = "UTF-8",
     multi_line: bool = False,
 ) -> DataFrame:
-    """Columns of ``schema`` from CSV files with a header row, found by name.
+    """Columns of ``schema`` from CSV files with a header row each, found by name, file by file.
 
-    Headers are normalized first, so case, accents and spaces don't matter; columns may come in any order
-    and others are left unread. A column that no header names is an error. A cell that does not
-    fit its type is null. ``multi_line`` allows line breaks inside quoted cells, and makes each file one task.
+    Headers are normalized first, so case, accents and spaces don't matter; columns may come in any order, another one
+    in each file, and those that are not asked for are left unread. A file without a needed column, or with two headers that
+    normalize to the same needed one, is an error that names it. An empty file has no rows. A cell that does not
+    fit its type is null. ``multi_line`` allows line breaks inside quoted cells, though not in headers, and makes each file one task.
     """
-    landed = (
-        spark.read.options(header=True, encoding=encoding, multiLine=multi_line, escape='"', inferSchema=False).csv(paths)
-    )
-    places: dict[str, str] = {}
-    for name in landed.columns:
-        places.setdefault(header_name(name), name)
-    missing = [f.name for f in schema if header_name(f.name) not in places]
-    if missing:
-        raise ValueError(f"no column for {', '.join(missing)} among {', '.join(landed.columns) or 'no headers'}")
-    return landed.select(
-        *[F.col("`" + places[header_name(f.name)].replace("`", "``") + "`").try_cast(f.dataType).alias(f.name) for f in schema]
-    )
-
-
-def as_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns as the types of ``schema``; a cell that does not fit is null."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    files = {path: encoding for path in list_files(spark, paths)}
+    return read_files(spark, file_headers(spark, files), schema, multi_line)
 
 
 def file_encodings(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
@@ -50,23 +138,16 @@ def file_encodings(spark: SparkSession, folder: str, glob: str = "*.csv") -> Dat
 def read_source_any_encoding(
     spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.csv", multi_line: bool = False
 ) -> DataFrame:
-    """CSV files of a folder, each as UTF-8 if it is valid UTF-8 and as Latin-1 otherwise.
+    """CSV files of a folder, each as UTF-8 if it is valid UTF-8 and as Latin-1 otherwise; columns as for :func:`read_source`.
 
-    The folder is read once in each encoding, and a join on the file's path keeps the right reading of
-    each. Every byte is valid Latin-1, so no file is left unread. Files share their columns by position
-    of the header, as one table.
+    One pass over the lines gives the verdict for each file, of which only the paths of files that are no UTF-8 come to the driver;
+    then each file is read once, in its own encoding. Every byte is valid Latin-1, so no file is left unread.
     """
-    judged = file_encodings(spark, folder, glob)
-    parts = []
-    for encoding, is_utf8 in (("UTF-8", True), (FALLBACK_ENCODING, False)):
-        rows = (
-            spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
-            .options(header=True, encoding=encoding, multiLine=multi_line, escape='"', enforceSchema=True, recursiveFileLookup=True, pathGlobFilter=glob)
-            .csv(folder).withColumn("_path", F.col("_metadata.file_path"))
-        )
-        chosen = judged.where(F.col("utf8") == is_utf8).select(F.col("path").alias("_path"))
-        parts.append(as_rows(rows.join(chosen, "_path", "left_semi"), schema))
-    return parts[0].unionByName(parts[1])
+    jvm = spark.sparkContext._jvm
+    other = file_encodings(spark, folder, glob).where(~F.col("utf8")).select("path").collect()
+    latin = {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.path)).toString() for row in other}
+    files = {path: FALLBACK_ENCODING if path in latin else "UTF-8" for path in list_files(spark, folder, glob)}
+    return read_files(spark, file_headers(spark, files), schema, multi_line)
 
 
 # Landed pages carry their number in the name of the file or of its folder: page-000012.

@@ -1,9 +1,10 @@
+import gzip
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from epiweave import sinks
+from epiweave import session, sinks
 from epiweave.session import work_path
 from epiweave.sources import landing, readers
 
@@ -56,6 +57,65 @@ def test_columns_are_found_by_header(spark, tmp_path):
         readers.read_source(spark, f"{tmp_path}/a.csv", spark.createDataFrame([], "ano int, municipio string").schema)
 
 
+def test_each_file_has_its_own_header(spark, tmp_path):
+    schema = spark.createDataFrame([], "ano int, municipio string, conteo int").schema
+    write(tmp_path, "a.csv", "ano,municipio,conteo\n2020,CALI,5\n".encode())
+    write(tmp_path, "b.csv", "conteo,ano,municipio\n7,2022,BUGA\n".encode())
+    write(tmp_path / "more", "c [x].csv", '\ufeff"Año",código,"Conteo ",MUNICIPIO\n2023,1,8,"TULUA, V"\n'.encode())
+    write(tmp_path, "d.csv.gz", gzip.compress("municipio,conteo,ano\nPALMIRA,x,2024\n".encode()))
+    write(tmp_path, "empty.csv", b"")
+    write(tmp_path, "only header.csv", b"conteo,municipio,ano\n")
+    write(tmp_path, "_hidden.csv", b"nothing\n")
+    want = [(2020, "CALI", 5), (2022, "BUGA", 7), (2023, "TULUA, V", 8), (2024, "PALMIRA", None)]
+    got = readers.read_source(spark, str(tmp_path), schema)
+    assert sorted(map(tuple, got.collect())) == want
+    some = readers.read_source(spark, [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv", f"{tmp_path}/a.csv"], schema)
+    assert sorted(map(tuple, some.collect())) == want[:2]
+    assert sorted(map(tuple, readers.read_source(spark, f"{tmp_path}/?.csv", schema).collect())) == want[:2]
+    with pytest.raises(FileNotFoundError):
+        readers.read_source(spark, f"{tmp_path}/absent.csv", schema)
+
+
+def test_a_file_without_a_column_is_named(spark, tmp_path):
+    schema = spark.createDataFrame([], "ano int, municipio string").schema
+    write(tmp_path, "a.csv", b"ano,municipio\n2020,CALI\n")
+    write(tmp_path, "b.csv", b"ano,departamento\n2021,VALLE\n")
+    with pytest.raises(ValueError, match=r"b\.csv: no column for municipio"):
+        readers.read_source(spark, str(tmp_path), schema)
+
+
+def test_headers_that_collide_are_named(spark, tmp_path):
+    schema = spark.createDataFrame([], "ano int, municipio string").schema
+    write(tmp_path, "a.csv", "ano,Año,municipio\n2020,2021,CALI\n".encode())
+    with pytest.raises(ValueError, match=r"a\.csv: more than one column for ano \(ano, Año\)"):
+        readers.read_source(spark, str(tmp_path), schema)
+    write(tmp_path / "other", "a.csv", "ano,x,X,municipio\n2020,1,2,CALI\n".encode())
+    assert [tuple(r) for r in readers.read_source(spark, f"{tmp_path}/other", schema).collect()] == [(2020, "CALI")]
+
+
+def test_each_file_has_its_own_header_and_encoding(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    write(tmp_path / "in 1", "a.csv", "nombre,id\nNariño,1\n".encode("utf-8"))
+    write(tmp_path, "b.csv", "id,nombre\n2,Bogotá\n".encode("latin-1"))
+    write(tmp_path, "c 2.csv", "extra,nombre,id\né,Tadó,3\n".encode("latin-1"))
+    write(tmp_path, "d.csv", 'id,nombre\n4,"two\nlines é"\n'.encode("utf-8"))
+    got = readers.read_source_any_encoding(spark, str(tmp_path), schema, multi_line=True)
+    assert sorted(map(tuple, got.collect())) == [(1, "Nariño"), (2, "Bogotá"), (3, "Tadó"), (4, "two\nlines é")]
+
+
+def test_a_file_is_scanned_once(spark, tmp_path):
+    """One scan for each layout, whatever the number of files."""
+    schema = spark.createDataFrame([], "ano int, municipio string").schema
+    for i in range(6):
+        write(tmp_path, f"{i}.csv", b"ano,municipio\n2020,CALI\n" if i % 2 else b"municipio,ano\nBUGA,2021\n")
+    rows = readers.read_source(spark, str(tmp_path), schema)
+    assert rows.count() == 6 and plan_of(rows).count("FileScan csv") == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_page_size_is_enforced(spark):
     rows = spark.range(5).withColumn("page", F.lit(0))
     with pytest.raises(Exception, match="more than the page size"):
@@ -96,6 +156,54 @@ def test_sinks(spark):
     path = work_path(spark, "table")
     sinks.write_table(df, path)
     assert spark.read.parquet(path).where("ano = 2021").count() == 1
-    assert sinks.guarded_export(df, work_path(spark, "export"), 2) == 2
+
+
+def listed(path):
+    return sorted(os.listdir(path)) if os.path.isdir(path) else []
+
+
+def test_guarded_export(spark, tmp_path):
+    df = spark.range(50).withColumn("ano", F.lit(2020))
+    assert sinks.guarded_export(df, f"{tmp_path}/a", 50) == 50 and sinks.guarded_export(df, f"{tmp_path}/b") == 50
+    assert readers.read_source(spark, f"{tmp_path}/a", df.schema).count() == 50
+    stored = listed(session.work_root(spark) + "/epiweave/" + spark.sparkContext.applicationId)
     with pytest.raises(sinks.ExportTooLarge):
-        sinks.guarded_export(df, work_path(spark, "export"), 1)
+        sinks.guarded_export(df, f"{tmp_path}/c", 49)
+    assert not os.path.exists(f"{tmp_path}/c") and listed(session.work_root(spark) + "/epiweave/" + spark.sparkContext.applicationId) == stored
+    report = [tuple(r) for n in (50, 49) for r in sinks.export_report(df, f"{tmp_path}/d", n).collect()]
+    assert report == [("written", 50, 50), ("refused", 50, 49)]
+
+
+def test_a_reader_finishes_while_a_table_is_replaced(spark, tmp_path):
+    path = f"{tmp_path}/a [1] table"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_table(spark, path)
+    sinks.replace_table(spark.range(3).withColumn("ano", F.col("id") % 2), path)
+    before = sinks.read_table(spark, path)
+    sinks.replace_table(before.withColumn("id", F.col("id") + 10).withColumn("more", F.lit("x")), path)
+    assert sorted(r.id for r in before.collect()) == [0, 1, 2]
+    now = sinks.read_table(spark, path)
+    assert sorted(r.id for r in now.collect()) == [10, 11, 12] and "more" in now.columns
+    assert len(sinks.versions(spark, path)) == 2
+    sinks.replace_table(spark.range(1), path, [], keep=0)
+    assert sinks.versions(spark, path) == [sinks.current_version(spark, path)] and sinks.read_table(spark, path).count() == 1
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    sinks.save_as_table(spark.range(4), "replaced_table", path, [])
+    broken = spark.range(4, 100, 1, 4).select(F.when(F.col("id") > 90, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.save_as_table(broken, "replaced_table", path, [])
+    assert spark.table("replaced_table").count() == 4 and len(sinks.versions(spark, path)) == 1
+    sinks.save_as_table(spark.range(5).withColumn("b", F.lit(1)), "replaced_table", path, ["b"])
+    assert spark.table("replaced_table").columns == ["id", "b"] and spark.table("replaced_table").count() == 5
+
+
+def test_ingested_tables_have_names(spark, tmp_path):
+    write(tmp_path, "Uno (a).csv", b"id,nombre\n1,x\n2,y\n")
+    write(tmp_path, "a+b.csv", b"id\n1\n")
+    write(tmp_path, "a~b.csv", b"id\n2\n")
+    report = landing.ingest_folder(spark, str(tmp_path), sinks.table_saver(spark, f"{tmp_path}/lake"), at_once=1).collect()
+    assert sorted((r.table_name, r.status) for r in report) == [("a+b", "ok"), ("a~b", "error: ValueError"), ("uno__a_", "ok")]
+    assert sorted(map(tuple, spark.table("uno__a_").collect())) == [("1", "x"), ("2", "y")] and spark.table("a_b").first().id == "1"
