@@ -16,20 +16,27 @@ def region_key(col: Column | str, aliases: dict[str, str] = REGION_ALIASES) -> C
     return harmonize(match_key(col), aliases)
 
 
-def _substrings(df: DataFrame, key: str, carry: str, shortest: int, longest: str, part: str) -> DataFrame:
-    """(carry, part): the substrings of ``shortest`` to ``longest`` characters of each row's ``key``.
+def _lengths(df: DataFrame, key: str, shortest: int) -> Column:
+    """The lengths, from ``shortest`` up, that occur in a text column, as an array in order: as a value of its own."""
+    found = df.select(F.length(key).alias("n")).where(F.col("n") >= shortest).distinct()
+    return found.agg(F.array_sort(F.collect_list("n"))).scalar()
+
+
+def _substrings(df: DataFrame, key: str, carry: str, lengths: str, part: str) -> DataFrame:
+    """(carry, part): the substrings of each row's ``key`` that have one of the given lengths, an array column.
 
     A text is cut into overlapping blocks, those into pieces of the longest length, one for every position, and
-    those into lengths. Each step drops what it cut, so a row is never larger than a block.
+    those into lengths. Each step drops what it cut, so a row is never larger than a block, and a text gives
+    rows in proportion to its length.
     """
-    blocks = df.where(f"length({key}) >= {shortest} and {longest} >= {shortest}").select(
-        carry, F.expr(f"{longest} as _longest"), key, F.explode(F.expr(f"sequence(0, (length({key}) - 1) div {BLOCK_CHARS})")).alias("_block")
-    ).select(carry, "_longest", F.expr(f"substring({key}, int(_block * {BLOCK_CHARS} + 1), {BLOCK_CHARS} + _longest - 1) as _text"))
-    pieces = blocks.where(f"length(_text) >= {shortest}").select(
-        carry, "_longest", "_text", F.explode(F.expr(f"sequence(1, least({BLOCK_CHARS}, length(_text) - {shortest} + 1))")).alias("_start")
-    ).select(carry, F.expr("substring(_text, _start, _longest) as _piece"))
-    lengths = pieces.select(carry, "_piece", F.explode(F.expr(f"sequence({shortest}, length(_piece))")).alias("_length"))
-    return lengths.select(carry, F.expr(f"substring(_piece, 1, _length) as {part}"))
+    rows = df.where(f"size({lengths}) > 0 and length({key}) >= {lengths}[0]").selectExpr(carry, key, f"{lengths} as _lengths", f"array_max({lengths}) as _longest")
+    blocks = rows.select(carry, "_lengths", "_longest", key, F.explode(F.expr(f"sequence(0, (length({key}) - 1) div {BLOCK_CHARS})")).alias("_block"))
+    blocks = blocks.select(carry, "_lengths", "_longest", F.expr(f"substring({key}, int(_block * {BLOCK_CHARS} + 1), {BLOCK_CHARS} + _longest - 1) as _text"))
+    pieces = blocks.where("length(_text) >= _lengths[0]").select(
+        carry, "_lengths", "_longest", "_text", F.explode(F.expr(f"sequence(1, least({BLOCK_CHARS}, length(_text) - _lengths[0] + 1))")).alias("_start")
+    ).select(carry, "_lengths", F.expr("substring(_text, _start, _longest) as _piece"))
+    cut = pieces.select(carry, "_piece", F.explode(F.expr("filter(_lengths, n -> n <= length(_piece))")).alias("_length"))
+    return cut.select(carry, F.expr(f"substring(_piece, 1, _length) as {part}"))
 
 
 def resolve_names(
@@ -44,8 +51,8 @@ def resolve_names(
 
     The same comparison key after aliases wins. Otherwise one key must contain the other and
     the contained one must have at least ``shortest`` characters; the longest contained key
-    wins, then the region's name. Containment is found by equality on substrings of one side,
-    no longer than the longest region, so a long name costs in proportion to its length. Names
+    wins, then the region's name. Containment is found by equality on substrings of one side, cut only
+    to lengths that occur on the other side, so a long name or region costs in proportion to its length. Names
     times regions never meet, and each substring leads to one region, so the joins cannot
     multiply rows.
     """
@@ -64,14 +71,13 @@ def resolve_names(
     by_plain = regions.where(F.length("region_plain") >= shortest).groupBy("region_plain").agg(
         F.min("region").alias("inner_region")
     )
-    longest = by_plain.agg(F.max(F.length("region_plain"))).scalar()
     by_part = (
-        _substrings(regions, "region_plain", "region", shortest, "length(region_plain)", "part")
+        _substrings(regions.withColumn("lengths", _lengths(wanted, "name_plain", shortest)), "region_plain", "region", "lengths", "part")
         .groupBy("part").agg(F.min("region").alias("outer_region"))
     )
     # Regions named inside the name; a name of fewer characters has no such part.
     inner = (
-        _substrings(wanted.select("name_id", "name_plain", longest.alias("longest")), "name_plain", "name_id", shortest, "longest", "region_plain")
+        _substrings(wanted.withColumn("lengths", _lengths(by_plain, "region_plain", shortest)), "name_plain", "name_id", "lengths", "region_plain")
         .join(by_plain, "region_plain")
         .groupBy("name_id")
         .agg(F.min_by("inner_region", F.struct(-F.length("region_plain"), "inner_region")).alias("inner_region"))

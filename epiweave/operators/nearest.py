@@ -7,7 +7,8 @@ and the search is an equi-join on the cell. Where a cell holds more references t
 descends from cell to sub-cell and at each step keeps only sub-cells that can still hold its
 nearest reference: those whose closest possible distance does not exceed the best distance
 already certain. A crowded cell therefore costs each target a few sub-cells per level and not
-all the references in it. The result is exact in both cases.
+all the references in it. The result is exact in both cases. Cells that very many targets reach are counted, and their
+targets are dealt over several tasks, to each of which the cell's few references go.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from epiweave.fixed import EARTH_RADIUS_KM, IMPUTE_RADIUS_KM
 from epiweave.functions.geo import haversine_sql, km_of_angles
+from epiweave.operators.joins import HOT_ROWS, salted_join
 from epiweave.session import materialize
 
 SPLIT = 4
@@ -140,14 +142,14 @@ def _closest_possible() -> str:
     return km_of_angles(gap_lat, gap_lon, cosines)
 
 
-def _descend(points: DataFrame, refs: DataFrame, grid: _Grid, depth: int, max_km: float) -> DataFrame:
+def _descend(points: DataFrame, refs: DataFrame, grid: _Grid, depth: int, max_km: float, hot_rows: int) -> DataFrame:
     """Candidate (point, leaf cell) pairs that can hold the nearest reference."""
     sure = haversine_sql("lat", "lon", "one_lat", "one_lon")
     found = grid.reach(points, "lat", "lon").selectExpr("*", "0L as cell")
     for level in range(1, depth + 1):
+        found = materialize(found, "nearest-cells").withColumnRenamed("cell", "parent")
         found = (
-            found.withColumnRenamed("cell", "parent")
-            .join(_boxes(refs, level), ["band", "slot", "parent"])
+            salted_join(found, _boxes(refs, level), ["band", "slot", "parent"], hot_rows=hot_rows)
             .selectExpr(
                 "lat", "lon", "band", "slot", "cell", f"{_closest_possible()} as closest", f"{sure} as sure"
             )
@@ -167,6 +169,7 @@ def nearest_within(
     lat: str = "latitud",
     lon: str = "longitud",
     leaf_size: int = 512,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Nearest reference of each target within ``max_km``; targets without one are left out.
 
@@ -187,10 +190,10 @@ def nearest_within(
 
     depth = _depth_needed(ref_points, leaf_size)
     if depth:
-        candidates = _descend(points, ref_points, grid, depth, max_km)
-        pairs = candidates.join(ref_points.selectExpr("*", f"{_cell(depth)} as cell"), ["band", "slot", "cell"])
+        candidates = materialize(_descend(points, ref_points, grid, depth, max_km, hot_rows), "nearest-cells")
+        pairs = salted_join(candidates, ref_points.selectExpr("*", f"{_cell(depth)} as cell"), ["band", "slot", "cell"], hot_rows=hot_rows)
     else:
-        pairs = grid.reach(points, "lat", "lon").join(ref_points, ["band", "slot"])
+        pairs = salted_join(materialize(grid.reach(points, "lat", "lon"), "nearest-cells"), ref_points, ["band", "slot"], hot_rows=hot_rows)
 
     km = haversine_sql("lat", "lon", "ref_lat", "ref_lon")
     best = (

@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 _local_dirs: dict[str, str] = {}
 _stored: dict[tuple, tuple[str, StructType]] = {}
@@ -110,6 +112,17 @@ def stored_table(
     return _read(spark, *_stored[key])
 
 
+#: A table of more bytes than this is never sent to all tasks by these helpers.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(stored: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``stored`` (a materialized table) marked for broadcast if its values are measured to be small, else as it is."""
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, StringType) else F.lit(8) for f in stored.schema]
+    size = stored.agg(F.sum(reduce(lambda a, b: a + b, sizes).cast("bigint") + 16)).first()[0]
+    return F.broadcast(stored) if (size or 0) <= limit else stored
+
+
 def together(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
     """Submit independent jobs at the same time and wait for all of them."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
