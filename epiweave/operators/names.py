@@ -7,36 +7,44 @@ from pyspark.sql import functions as F
 
 from epiweave.fixed import MIN_CONTAINED_NAME, REGION_ALIASES
 from epiweave.functions.text import harmonize, match_key
+from epiweave.session import materialize
 
 
 BLOCK_CHARS = 1024
+HEAD = 64
 
 
 def region_key(col: Column | str, aliases: dict[str, str] = REGION_ALIASES) -> Column:
     return harmonize(match_key(col), aliases)
 
 
-def _lengths(df: DataFrame, key: str, shortest: int) -> Column:
-    """The lengths, from ``shortest`` up, that occur in a text column, as an array in order: as a value of its own."""
-    found = df.select(F.length(key).alias("n")).where(F.col("n") >= shortest).distinct()
-    return found.agg(F.array_sort(F.collect_list("n"))).scalar()
+def _pieces(outer: DataFrame, longest: Column | int) -> DataFrame:
+    """(id, _at, _piece): the text of up to ``longest`` characters at each position of each row's ``text``. A text is cut into overlapping
+    blocks first, so that no row of a step is larger than a block."""
+    rows = outer.withColumn("_longest", longest if isinstance(longest, Column) else F.lit(longest)).where("_longest > 0")
+    blocks = rows.select("id", "_longest", "text", F.explode(F.expr(f"sequence(0, (length(text) - 1) div {BLOCK_CHARS})")).alias("_block"))
+    blocks = blocks.select("id", "_longest", "_block", F.expr(f"substring(text, int(_block * {BLOCK_CHARS} + 1), {BLOCK_CHARS} + _longest - 1) as _part"))
+    places = blocks.select("id", "_longest", "_block", "_part", F.explode(F.expr(f"sequence(1, least({BLOCK_CHARS}, length(_part)))")).alias("_start"))
+    return places.select("id", F.expr(f"_block * {BLOCK_CHARS} + _start as _at"), F.expr("substring(_part, _start, _longest) as _piece"))
 
 
-def _substrings(df: DataFrame, key: str, carry: str, lengths: str, part: str) -> DataFrame:
-    """(carry, part): the substrings of each row's ``key`` that have one of the given lengths, an array column.
+def contained(outer: DataFrame, inner: DataFrame) -> DataFrame:
+    """Distinct (id, part), ids being short: the texts ``part`` of ``inner`` that stand in the ``text`` of each row of ``outer`` (id, text); stored tables both.
 
-    A text is cut into overlapping blocks, those into pieces of the longest length, one for every position, and
-    those into lengths. Each step drops what it cut, so a row is never larger than a block, and a text gives
-    rows in proportion to its length.
+    Pieces are cut only to lengths that occur among the parts, so a long text costs in proportion to its length. Parts of more
+    than ``HEAD`` characters are looked up by their beginning, and what is found is compared as a whole.
     """
-    rows = df.where(f"size({lengths}) > 0 and length({key}) >= {lengths}[0]").selectExpr(carry, key, f"{lengths} as _lengths", f"array_max({lengths}) as _longest")
-    blocks = rows.select(carry, "_lengths", "_longest", key, F.explode(F.expr(f"sequence(0, (length({key}) - 1) div {BLOCK_CHARS})")).alias("_block"))
-    blocks = blocks.select(carry, "_lengths", "_longest", F.expr(f"substring({key}, int(_block * {BLOCK_CHARS} + 1), {BLOCK_CHARS} + _longest - 1) as _text"))
-    pieces = blocks.where("length(_text) >= _lengths[0]").select(
-        carry, "_lengths", "_longest", "_text", F.explode(F.expr(f"sequence(1, least({BLOCK_CHARS}, length(_text) - _lengths[0] + 1))")).alias("_start")
-    ).select(carry, "_lengths", F.expr("substring(_text, _start, _longest) as _piece"))
-    cut = pieces.select(carry, "_piece", F.explode(F.expr("filter(_lengths, n -> n <= length(_piece))")).alias("_length"))
-    return cut.select(carry, F.expr(f"substring(_piece, 1, _length) as {part}"))
+    short = inner.where(F.length("part") <= HEAD)
+    lengths = short.select(F.length("part").alias("n")).distinct().agg(F.array_sort(F.collect_list("n"))).scalar()
+    pieces = _pieces(outer, F.coalesce(F.array_max(lengths), F.lit(0))).withColumn("_lengths", lengths)
+    cut = pieces.select("id", "_piece", F.explode(F.expr("filter(_lengths, n -> n <= length(_piece))")).alias("_n"))
+    found = cut.select("id", F.expr("substring(_piece, 1, _n) as part")).join(short, "part").select("id", "part").distinct()
+    heads = inner.where(F.length("part") > HEAD).select("part", F.substring("part", 1, HEAD).alias("_piece"))
+    if heads.isEmpty():
+        return found
+    begun = _pieces(outer.where(F.length("text") > HEAD), HEAD).join(heads, "_piece").select("id", "_at", "part")
+    whole = begun.join(outer, "id").where("substring(text, int(_at), length(part)) = part")
+    return found.unionByName(whole.select("id", "part").distinct())
 
 
 def resolve_names(
@@ -56,14 +64,14 @@ def resolve_names(
     times regions never meet, and each substring leads to one region, so the joins cannot
     multiply rows.
     """
-    wanted = (
-        names.select(F.col(name).alias("name")).where(F.col("name").isNotNull()).distinct()
+    wanted = materialize(
+        names.select(F.col(name).alias("name")).where(F.col(name).isNotNull()).distinct()
         .withColumns({"name_key": region_key("name", aliases), "name_plain": match_key("name")})
-        .withColumn("name_id", F.sha2("name", 256))
+        .withColumn("name_id", F.sha2("name", 256)), "names",
     )
-    regions = (
-        known.select(F.col(region).alias("region")).where(F.col("region").isNotNull()).distinct()
-        .withColumns({"region_key": region_key("region", aliases), "region_plain": match_key("region")})
+    regions = materialize(
+        known.select(F.col(region).alias("region")).where(F.col(region).isNotNull()).distinct()
+        .withColumns({"region_key": region_key("region", aliases), "region_plain": match_key("region"), "region_id": F.sha2("region", 256)}), "regions",
     )
     by_key = regions.where(F.col("region_key") != "").groupBy(F.col("region_key").alias("name_key")).agg(
         F.min("region").alias("exact")
@@ -71,15 +79,17 @@ def resolve_names(
     by_plain = regions.where(F.length("region_plain") >= shortest).groupBy("region_plain").agg(
         F.min("region").alias("inner_region")
     )
+    parts = wanted.where(F.length("name_plain") >= shortest).select(F.col("name_plain").alias("part")).distinct()
     by_part = (
-        _substrings(regions.withColumn("lengths", _lengths(wanted, "name_plain", shortest)), "region_plain", "region", "lengths", "part")
+        contained(regions.select(F.col("region_id").alias("id"), F.col("region_plain").alias("text")), parts)
+        .join(regions.select(F.col("region_id").alias("id"), "region"), "id")
         .groupBy("part").agg(F.min("region").alias("outer_region"))
     )
     # Regions named inside the name; a name of fewer characters has no such part.
     inner = (
-        _substrings(wanted.withColumn("lengths", _lengths(by_plain, "region_plain", shortest)), "name_plain", "name_id", "lengths", "region_plain")
-        .join(by_plain, "region_plain")
-        .groupBy("name_id")
+        contained(wanted.select(F.col("name_id").alias("id"), F.col("name_plain").alias("text")), by_plain.select(F.col("region_plain").alias("part")))
+        .join(by_plain, F.col("part") == F.col("region_plain"))
+        .groupBy(F.col("id").alias("name_id"))
         .agg(F.min_by("inner_region", F.struct(-F.length("region_plain"), "inner_region")).alias("inner_region"))
     )
     found = (

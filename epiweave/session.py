@@ -78,7 +78,8 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None) -> None:
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+    columns = ["`" + name.replace("`", "``") + "`" for name in schema.fieldNames()]
+    return spark.read.schema(schema).parquet(path).select(*columns)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
