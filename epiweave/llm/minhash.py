@@ -3,8 +3,9 @@
 Texts that are equal as sets are one class; only classes meet. Classes that share a band's hash share a bucket.
 Each member is compared with the bucket's smallest id first. Where a bucket still holds several
 clusters after that, its members are compared with those of other clusters inside tasks, in blocks of
-bounded size; only pairs that survive the comparison of signatures leave a task, so no bucket is spread out into
-all its pairs and none is cut short. Every link is confirmed on the full sets.
+bounded size; only pairs that survive the comparison of signatures leave a task, the likeliest ones of each cluster first. They are
+confirmed on the full sets, and clusters merge, before more are asked for: rounds go on until no cluster has pairs left
+to test, so no bucket is spread out into all its pairs and none is cut short.
 """
 
 from __future__ import annotations
@@ -170,46 +171,51 @@ def _open_blocks(members: DataFrame, clusters: DataFrame, classes: DataFrame) ->
     return targets.unionByName(asking)
 
 
-def _group_pairs(rows: pa.Table, width: int, band_rows: int, percent: int, miss: float, most: int | None) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of different clusters in one group that may be linked, and whether some were left out.
+def _group_pairs(rows: pa.Table, width: int, band_rows: int, percent: int, miss: float, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(a, b, cut): pairs of different clusters in one group that may be linked, and whether some were left out.
 
-    A pair counts in the first band that it shares only. ``most`` limits the pairs of each asking cluster to
-    the likeliest ones; the caller comes back for the rest.
+    A pair counts in the first band that it shares only. Each asking cluster has its ``most`` likeliest pairs; the caller comes
+    back for the rest. No more than that is held for any row while the group is read.
     """
     ask = rows.column("asks").to_numpy()
     ids, n, cluster, leading = (rows.column(c).to_numpy() for c in ("id", "n", "cluster", "leading"))
     band = int(rows.column("band")[0].as_py())
     sig = matrix(rows.column("sig").combine_chunks(), width)
     earlier = sig[:, : band * band_rows].reshape(len(sig), band, band_rows)
-    targets, found = np.flatnonzero(~ask), []
+    targets, found, cut = np.flatnonzero(~ask), [], False
     for q in np.flatnonzero(ask):
         t = targets[(cluster[targets] != cluster[q]) & (leading[targets] | (ids[targets] < ids[q]))]
         t = t[(100 * np.minimum(n[t], n[q]) >= percent * np.maximum(n[t], n[q]))]
         if len(t):
             at, equal = similar_enough(sig[t], np.broadcast_to(sig[q], (len(t), width)), percent / 100, miss)
             first = ~(earlier[t[at]] == earlier[q]).all(axis=2).any(axis=1)
-            found += [(cluster[q], -e, ids[t[k]], ids[q]) for k, e in zip(at[first], equal[first])]
-    out, cut, seen = [], False, {}
-    for asking, _, a, b in sorted(found):
-        seen[asking] = seen.get(asking, 0) + 1
-        if most is None or seen[asking] <= most:
-            out.append((min(a, b), max(a, b)))
-        else:
-            cut = True
-    return out, cut
-
-
-def block_pairs(blocks: DataFrame, width: int, band_rows: int, percent: int, miss: float, most: int | None) -> DataFrame:
-    """(a, b, cut) from all groups; a row with a = b only says that its group has more pairs."""
+            at, equal = t[at[first]], equal[first]
+            if len(at) > most:
+                best = np.lexsort((ids[at], -equal))[:most]
+                at, equal, cut = at[best], equal[best], True
+            found.append((np.full(len(at), cluster[q]), -equal.astype(np.int64), ids[at], np.full(len(at), ids[q])))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), False
+    asking, unlike, a, b = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((b, a, unlike, asking))
+    asking, a, b = asking[order], a[order], b[order]
+    rank = np.arange(len(asking)) - np.searchsorted(asking, asking)
+    keep = rank < most
+    return np.minimum(a, b)[keep], np.maximum(a, b)[keep], cut or not keep.all()
+
+
+def block_pairs(blocks: DataFrame, width: int, band_rows: int, percent: int, miss: float, most: int) -> DataFrame:
+    """(a, b, cut) from all groups; a row with ``cut`` only says that the bucket a has more pairs."""
     names = ["key", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            pairs, cut = _group_pairs(table, width, band_rows, percent, miss, most)
-            rows = [(a, b, False) for a, b in pairs] + ([(0, 0, True)] if cut else [])
-            if rows:
-                a, b, c = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.bool_())], names=["a", "b", "cut"])
+            a, b, cut = _group_pairs(table, width, band_rows, percent, miss, most)
+            if cut:
+                key = [table.column("key")[0].as_py()]
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(key, pa.int64()), pa.array([True])], names=["a", "b", "cut"])
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), bool))], names=["a", "b", "cut"])
 
         held: list[pa.Table] = []
         last = None
@@ -238,33 +244,45 @@ def cluster(
     ``classes`` has id, n (size of the set), keys (band hashes) and sig (``width`` bytes, those of the bands first). ``fetch``
     turns ids into (id, text). Links are pairs with 100 * intersection >= percent * union. Inside buckets the
     ``first`` likeliest pairs of each cluster are confirmed before all others: most clusters merge by
-    them, and pairs within one cluster need no comparison.
+    them, and pairs within one cluster need no comparison. Buckets with more pairs come again, with
+    four times as many a round, until none has any left; a pair is tested once.
     """
     threshold = percent / 100
     buckets = classes.select("id", "n", F.posexplode("keys").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).where("size > 1").drop("size")
     members = materialize(buckets.join(shared, "key"), "buckets")
-    texts = materialize(fetch(materialize(members.select("id").distinct(), "candidates")), "texts")
+    wanted = materialize(members.select("id").distinct(), "candidates")
+    texts = materialize(fetch(wanted), "texts")
+    if texts.count() > wanted.count():  # equal rows of the input
+        texts = materialize(texts.dropDuplicates(["id"]), "texts")
     one = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
     two = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"), "n").distinct()
     stars = stars.join(one, "a").where(f"100 * least(n, n_a) >= {percent} * greatest(n, n_a)").join(two, "b")
     tested = materialize(verify(prune(stars, width, threshold, miss), texts, shingle, percent), "verified")
     clusters = materialize(components(tested.where("linked")), "clusters")
-    for most in (first, None):
-        met = materialize(block_pairs(_open_blocks(members, clusters, classes), width, band_rows, percent, miss, most), "met")
+    most, left = first, members
+    while True:
+        met = materialize(block_pairs(_open_blocks(left, clusters, classes), width, band_rows, percent, miss, most), "met")
         new = met.where("not cut").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         more = materialize(verify(new, texts, shingle, percent), "verified")
         links = more.where("linked").select("a", "b")
         if not links.isEmpty():
             stars = clusters.select(F.col("id").alias("a"), F.col("component").alias("b"))
             clusters = materialize(components(stars.unionByName(links)), "clusters")
-        if met.where("cut").isEmpty():
-            break
-        tested = tested.unionByName(more)
-    return clusters
+        again = materialize(met.where("cut").select(F.col("a").alias("key")).distinct(), "buckets-left")
+        if again.isEmpty():
+            return clusters
+        left = members.join(if_small(again), "key", "left_semi")
+        tested, most = tested.unionByName(more), 4 * most
 
 
-def fetch_documents(docs: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Texts of documents by doc_id."""
-    return lambda ids: docs.select(F.col("doc_id").alias("id"), "text").where("id is not null").join(if_small(ids), "id", "left_semi")
+def fetch_documents(docs: DataFrame, classes: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Texts of classes by id: each is that of the document ``doc`` whose text has the hash ``mark``."""
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        wanted = materialize(classes.select("id", "doc", "mark").join(ids, "id", "left_semi"), "wanted")
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", F.xxhash64("text").alias("mark"))
+        return texts.join(if_small(wanted), ["doc", "mark"]).select("id", "text")
+
+    return fetch

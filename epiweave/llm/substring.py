@@ -8,8 +8,8 @@ with the smallest doc_id that holds it; its occurrences in other documents are r
 are only a few words apart, form spans, and spans of at least ``SPAN`` words are removed.
 
 Defined results: null texts have no paragraphs; rows with a null doc_id stay as they are; rows that repeat a doc_id are
-one document; a paragraph that repeats inside one document only is left alone; an empty table gives an
-empty result; result columns are the operator's own, or exactly those of the input for the cleaned table.
+one owner; a paragraph that repeats inside one document only is left alone; an empty table gives an
+empty result; rows that repeat a doc_id with different texts are cut each by its own paragraphs; result columns are the operator's own, or exactly those of the input for the cleaned table.
 """
 
 from __future__ import annotations
@@ -68,26 +68,26 @@ def paragraphs(data: np.ndarray, offsets: np.ndarray):
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, first, last, id) of all lines and pieces of at least ``PIECE`` words; first and last
-    are word numbers in the document."""
+    """(doc_id, mark, line, first, last, id) of all lines and pieces of at least ``PIECE`` words; first and last
+    are word numbers in the document, ``mark`` is a hash of its text."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, "_text"):
             (hashes, bounds), lines, pieces = paragraphs(data, offsets)
-            ids = part.column("doc_id")
+            ids, marks = part.column("doc_id"), part.column("mark")
             for is_line, (text, first, last) in ((True, lines), (False, pieces)):
                 keep = last - first >= PIECE
                 text, first, last = text[keep], first[keep], last[keep]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(text)), pa.array(np.full(len(text), is_line)), pa.array((first - bounds[text]).astype(np.int32)),
+                        ids.take(pa.array(text)), marks.take(pa.array(text)), pa.array(np.full(len(text), is_line)), pa.array((first - bounds[text]).astype(np.int32)),
                         pa.array((last - bounds[text]).astype(np.int32)), pa.array(sequence_hashes(hashes, first, last).view(np.int64)),
                     ],
-                    names=["doc_id", "line", "first", "last", "id"],
+                    names=["doc_id", "mark", "line", "first", "last", "id"],
                 )
 
-    plain = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"))
-    return plain.mapInArrow(found, "doc_id long, line boolean, first int, last int, id long")
+    plain = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").alias("_text"))
+    return plain.mapInArrow(found, "doc_id long, mark long, line boolean, first int, last int, id long")
 
 
 def line_classes(docs: DataFrame, shingle: int, rows: int, bands: int, least: int) -> DataFrame:
@@ -121,8 +121,8 @@ def fetch_lines(docs: DataFrame, found: DataFrame) -> Callable[[DataFrame], Data
     """Texts of lines by id, each taken from the first document that has it."""
 
     def fetch(ids: DataFrame) -> DataFrame:
-        places = found.where("line").join(if_small(ids), "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "first", "last")).alias("p"))
-        places = materialize(places.groupBy(F.col("p.doc_id").alias("_doc")).agg(F.collect_list(F.struct("id", "p.first", "p.last")).alias("lines")), "places")
+        places = found.where("line").join(if_small(ids), "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "mark", "first", "last")).alias("p"))
+        places = materialize(places.groupBy(F.col("p.doc_id").alias("_doc"), F.col("p.mark").alias("_mark")).agg(F.collect_list(F.struct("id", "p.first", "p.last")).alias("lines")), "places")
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -137,8 +137,8 @@ def fetch_lines(docs: DataFrame, found: DataFrame) -> Callable[[DataFrame], Data
                                 texts.append(data[start[low] : end[high - 1]].tobytes().decode())
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
 
-        own = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"))
-        return own.join(if_small(places), "_doc").select("_text", "lines").mapInArrow(cut, "id long, text string").dropDuplicates(["id"])
+        own = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_mark"), F.col("text").alias("_text"))
+        return own.join(if_small(places), ["_doc", "_mark"]).select("_text", "lines").mapInArrow(cut, "id long, text string").dropDuplicates(["id"])
 
     return fetch
 
@@ -160,7 +160,7 @@ SPANS = "array<struct<first:int,last:int>>"
 def repeats(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, recall: float = RECALL, gap: int = GAP, span: int = SPAN
 ) -> DataFrame:
-    """(doc_id, spans, removed) of the documents that repeat passages of other documents; stored."""
+    """(doc_id, mark, spans, removed) of the documents that repeat passages of other documents; stored."""
     rows, bands = tune(percent / 100, recall, MOST_HASHES)
     found = materialize(units(docs), "units")
     classes = materialize(line_classes(docs, shingle, rows, bands, LEAST), "lines")
@@ -172,24 +172,25 @@ def repeats(
     equal = holders.where("owner <> last_doc").select("id", "owner")
     owners = materialize(equal.unionByName(linked).groupBy("id").agg(F.min("owner").alias("owner")), "owners")
     flagged = found.join(if_small(owners), "id").where("doc_id <> owner")
-    lists = flagged.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("found"))
+    lists = flagged.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "last")).alias("found"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
         for batch in batches:
             rows = [join_spans([(u["first"], u["last"]) for u in row], gap, span) for row in batch.column("found").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([[{"first": a, "last": b} for a, b in r] for r in rows], kind), pa.array([sum(b - a for a, b in r) for r in rows], pa.int64())],
-                names=["doc_id", "spans", "removed"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array([[{"first": a, "last": b} for a, b in r] for r in rows], kind), pa.array([sum(b - a for a, b in r) for r in rows], pa.int64())],
+                names=["doc_id", "mark", "spans", "removed"],
             )
 
-    return materialize(lists.mapInArrow(spans, f"doc_id long, spans {SPANS}, removed long").where("removed > 0"), "repeats")
+    return materialize(lists.mapInArrow(spans, f"doc_id long, mark long, spans {SPANS}, removed long").where("removed > 0"), "repeats")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_words, n_spans, removed_words, kept_words and repeated of every row of ``docs``."""
-    found = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), F.size("spans").cast("long").alias("_spans"), "removed")
-    sized = docs.select("doc_id", word_count(F.col("text")).alias("n_words")).join(if_small(found), F.col("doc_id") == F.col("_doc"), "left")
+    found = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), "mark", F.size("spans").cast("long").alias("_spans"), "removed")
+    sized = docs.select("doc_id", word_count(F.col("text")).alias("n_words"), F.xxhash64("text").alias("_mark"))
+    sized = sized.join(if_small(found), (F.col("doc_id") == F.col("_doc")) & (F.col("mark") == F.col("_mark")), "left")
     removed = F.coalesce("removed", F.lit(0))
     return sized.select(
         "doc_id", "n_words", F.coalesce("_spans", F.lit(0)).alias("n_spans"), removed.alias("removed_words"),
@@ -201,10 +202,10 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with spans cut out of ``text`` and ``n_chars``, if there, counted anew for those texts.
     Documents that consist of repeats alone are left out."""
     columns = docs.columns
-    found = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), "spans")
+    found = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), "spans")
     names = {c: f"c{i}" for i, c in enumerate(columns)}
     plain = docs.select(*[F.col(f"`{c}`").alias("_text" if c == "text" else names[c]) for c in columns])
-    joined = plain.join(if_small(found), F.col(names["doc_id"]) == F.col("_doc"), "left").drop("_doc")
+    joined = plain.join(if_small(found), (F.col(names["doc_id"]) == F.col("_doc")) & (F.xxhash64("_text") == F.col("_mark")), "left").drop("_doc", "_mark")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name != "spans") + ", cut boolean"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
