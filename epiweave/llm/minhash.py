@@ -4,8 +4,9 @@ Texts that are equal as sets are one class; only classes meet. Classes that shar
 Each member is compared with the bucket's smallest id first. Where a bucket still holds several
 clusters after that, its members are compared with those of other clusters inside tasks, in blocks of
 bounded size; only pairs that survive the comparison of signatures leave a task, the likeliest ones of each cluster first. They are
-confirmed on the full sets, and clusters merge, before more are asked for: rounds go on until no cluster has pairs left
-to test, so no bucket is spread out into all its pairs and none is cut short.
+confirmed on the full sets, and clusters merge, before more are asked for. In buckets that have more than that, families of texts a little
+under the threshold, the full sets come to the blocks and are compared there, and only links leave a task. So no bucket
+is spread out into all its pairs and none is cut short.
 """
 
 from __future__ import annotations
@@ -20,13 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiweave.llm.components import components
+from epiweave.llm.memory import lean
 from epiweave.llm.tables import if_small
 from epiweave.llm.words import NOT_SPACE, LOWER, SAME, constants, distinct, mix, shingles, slices, word_hashes
 from epiweave.session import materialize
 
 CACHE_SHINGLES = 1 << 15
-BLOCK = 4096
+BLOCK, BLOCK_BYTES = 4096, 32 << 20
 STEP = 32
+#: Rounds in which pairs are joined with texts, before full sets go to the blocks.
+ROUNDS = 2
 
 
 def bands_for(threshold: float, recall: float, rows: int) -> int:
@@ -117,6 +121,14 @@ def prune(pairs: DataFrame, width: int, threshold: float, miss: float) -> DataFr
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(check, "a long, b long")
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets without repeated members fulfil 100 * intersection >= percent * union; empty ones don't."""
+    both = np.concatenate([x, y])
+    both.sort()
+    same = int((both[1:] == both[:-1]).sum())
+    return len(both) > 0 and 100 * same >= percent * (len(both) - same)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(a, b, linked) of pairs (a, b): linked if 100 * intersection >= percent * union of the full sets."""
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -130,35 +142,29 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
     def compared(part: pa.RecordBatch, first: np.ndarray, fb: np.ndarray) -> Iterator[pa.RecordBatch]:
         row = 0
         for inner, second, sb in word_sets(iter([part]), "text_b", shingle):
-            linked = []
-            for k in range(inner.num_rows):
-                x, y = first[fb[row + k] : fb[row + k + 1]], second[sb[k] : sb[k + 1]]
-                both = np.concatenate([x, y])
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                linked.append(len(both) > 0 and 100 * same >= percent * (len(both) - same))
+            found = [linked(first[fb[row + k] : fb[row + k + 1]], second[sb[k] : sb[k + 1]], percent) for k in range(inner.num_rows)]
             row += inner.num_rows
-            yield pa.RecordBatch.from_arrays([inner.column("a"), inner.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+            yield pa.RecordBatch.from_arrays([inner.column("a"), inner.column("b"), pa.array(found, pa.bool_())], names=["a", "b", "linked"])
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(check, "a long, b long, linked boolean")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(lean(check), "a long, b long, linked boolean")
 
 
 def _open_blocks(members: DataFrame, clusters: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of buckets in which several clusters have not met, in groups of at most two blocks.
 
     All members stand as targets; those outside the cluster of the bucket's first id also as
-    queries. A large bucket is cut into blocks of targets and of queries, and each pair of blocks is a group.
+    queries. A large bucket is cut into blocks of targets and of queries, by rows and by the size of their sets, and each pair of blocks is a group.
     """
     now = members.join(clusters, "id", "left").withColumn("cluster", F.coalesce("component", "id")).drop("component")
     lead = clusters.select(F.col("id").alias("pivot"), F.col("component").alias("lead"))
     others = now.where("id <> pivot")
-    unmet = others.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.count("*").alias("size")).where("low <> high")
-    rows = others.join(unmet.select("key", "size"), "key").join(lead, "pivot", "left").withColumn("lead", F.coalesce("lead", "pivot"))
+    unmet = others.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.count("*").alias("size"), F.sum("n").alias("weight")).where("low <> high")
+    rows = others.join(unmet.select("key", "size", "weight"), "key").join(lead, "pivot", "left").withColumn("lead", F.coalesce("lead", "pivot"))
     asks = F.col("cluster") != F.col("lead")
-    queries = rows.where(asks).groupBy("key").agg(F.count("*").alias("asking"))
+    queries = rows.where(asks).groupBy("key").agg(F.count("*").alias("asking"), F.sum("n").alias("asking_weight"))
     rows = rows.join(queries, "key").join(classes.select("id", "sig"), "id")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    ask_blocks = F.ceil(F.col("asking") / BLOCK).cast("int")
+    parts = lambda rows, weight: F.ceil(F.greatest(F.col(rows) / BLOCK, F.col(weight) * 8 / BLOCK_BYTES)).cast("int")
+    blocks, ask_blocks = parts("size", "weight"), parts("asking", "asking_weight")
     spot = F.xxhash64("id")
     targets = rows.select(
         "key", F.pmod(spot, blocks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), ask_blocks - 1)).alias("j"),
@@ -204,12 +210,62 @@ def _group_pairs(rows: pa.Table, width: int, band_rows: int, percent: int, miss:
     return np.minimum(a, b)[keep], np.maximum(a, b)[keep], cut or not keep.all()
 
 
+def _group_links(rows: pa.Table, width: int, band_rows: int, percent: int, miss: float) -> list[tuple[int, int]]:
+    """Links that join clusters of one group, found on the full sets in ``set``: no more than there are clusters.
+
+    Pairs are those of :func:`_group_pairs`, all of them, the likeliest of each query first; pairs that links found before
+    have brought together are passed over.
+    """
+    ask = rows.column("asks").to_numpy()
+    ids, n, leading = (rows.column(c).to_numpy() for c in ("id", "n", "leading"))
+    _, cluster = np.unique(rows.column("cluster").to_numpy(), return_inverse=True)
+    sets = [np.frombuffer(v.as_py(), np.uint64) for v in rows.column("set")]
+    band = int(rows.column("band")[0].as_py())
+    sig = matrix(rows.column("sig").combine_chunks(), width)
+    earlier = sig[:, : band * band_rows].reshape(len(sig), band, band_rows)
+    targets, out = np.flatnonzero(~ask), []
+    for q in np.flatnonzero(ask):
+        t = targets[(cluster[targets] != cluster[q]) & (leading[targets] | (ids[targets] < ids[q]))]
+        t = t[(100 * np.minimum(n[t], n[q]) >= percent * np.maximum(n[t], n[q]))]
+        if not len(t):
+            continue
+        at, equal = similar_enough(sig[t], np.broadcast_to(sig[q], (len(t), width)), percent / 100, miss)
+        first = ~(earlier[t[at]] == earlier[q]).all(axis=2).any(axis=1)
+        for x in t[at[first]][np.argsort(-equal[first], kind="stable")]:
+            if cluster[x] != cluster[q] and linked(sets[x], sets[q], percent):
+                out.append((int(min(ids[x], ids[q])), int(max(ids[x], ids[q]))))
+                cluster[cluster == cluster[x]] = cluster[q]
+    return out
+
+
+def _in_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group, one group at a time, of rows that are sorted by ``names``."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names], axis=1)
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for low, high in zip(edges[:-1], edges[1:]):
+            if high > low:
+                if last is not None and tuple(keys[low]) != last:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                last = tuple(keys[low])
+                held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _dealt(blocks: DataFrame) -> DataFrame:
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def block_pairs(blocks: DataFrame, width: int, band_rows: int, percent: int, miss: float, most: int) -> DataFrame:
     """(a, b, cut) from all groups; a row with ``cut`` only says that the bucket a has more pairs."""
-    names = ["key", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for table in _in_groups(batches, ["key", "i", "j"]):
             a, b, cut = _group_pairs(table, width, band_rows, percent, miss, most)
             if cut:
                 key = [table.column("key")[0].as_py()]
@@ -217,23 +273,27 @@ def block_pairs(blocks: DataFrame, width: int, band_rows: int, percent: int, mis
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), bool))], names=["a", "b", "cut"])
 
-        held: list[pa.Table] = []
-        last = None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names], axis=1)
-            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            for low, high in zip(edges[:-1], edges[1:]):
-                if high > low:
-                    if last is not None and tuple(keys[low]) != last:
-                        yield from done(pa.concat_tables(held))
-                        held = []
-                    last = tuple(keys[low])
-                    held.append(pa.Table.from_batches([batch.slice(low, high - low)]))
-        if held:
-            yield from done(pa.concat_tables(held))
+    return _dealt(blocks).mapInArrow(lean(compare), "a long, b long, cut boolean")
 
-    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return blocks.repartition(n, *names).sortWithinPartitions(*names).mapInArrow(compare, "a long, b long, cut boolean")
+
+def block_links(blocks: DataFrame, texts: DataFrame, shingle: int, width: int, band_rows: int, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) that join clusters, from all groups, compared on full sets."""
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets, bounds in word_sets(batches, "text", shingle):
+            own = [sets[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(own, pa.binary())], names=["id", "set"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _in_groups(batches, ["key", "i", "j"]):
+            found = _group_links(table, width, band_rows, percent, miss)
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    wanted = materialize(blocks.select("id").distinct(), "set-ids")
+    sets = materialize(texts.join(if_small(wanted), "id", "left_semi").mapInArrow(lean(sets_of), "id long, set binary"), "sets")
+    return _dealt(blocks.join(sets, "id")).mapInArrow(lean(compare), "a long, b long")
 
 
 def cluster(
@@ -244,8 +304,8 @@ def cluster(
     ``classes`` has id, n (size of the set), keys (band hashes) and sig (``width`` bytes, those of the bands first). ``fetch``
     turns ids into (id, text). Links are pairs with 100 * intersection >= percent * union. Inside buckets the
     ``first`` likeliest pairs of each cluster are confirmed before all others: most clusters merge by
-    them, and pairs within one cluster need no comparison. Buckets with more pairs come again, with
-    four times as many a round, until none has any left; a pair is tested once.
+    them, and pairs within one cluster need no comparison. Buckets with more pairs come again with four times
+    as many, and what is left after ``ROUNDS`` rounds is settled on full sets inside the blocks.
     """
     threshold = percent / 100
     buckets = classes.select("id", "n", F.posexplode("keys").alias("band", "key"))
@@ -262,19 +322,25 @@ def cluster(
     tested = materialize(verify(prune(stars, width, threshold, miss), texts, shingle, percent), "verified")
     clusters = materialize(components(tested.where("linked")), "clusters")
     most, left = first, members
-    while True:
+
+    def merged(links: DataFrame) -> DataFrame:
+        if links.isEmpty():
+            return clusters
+        stars = clusters.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return materialize(components(stars.unionByName(links)), "clusters")
+
+    for _ in range(ROUNDS):
         met = materialize(block_pairs(_open_blocks(left, clusters, classes), width, band_rows, percent, miss, most), "met")
         new = met.where("not cut").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         more = materialize(verify(new, texts, shingle, percent), "verified")
-        links = more.where("linked").select("a", "b")
-        if not links.isEmpty():
-            stars = clusters.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            clusters = materialize(components(stars.unionByName(links)), "clusters")
+        clusters = merged(more.where("linked").select("a", "b"))
         again = materialize(met.where("cut").select(F.col("a").alias("key")).distinct(), "buckets-left")
         if again.isEmpty():
             return clusters
         left = members.join(if_small(again), "key", "left_semi")
         tested, most = tested.unionByName(more), 4 * most
+    blocks = materialize(_open_blocks(left, clusters, classes), "blocks")
+    return merged(materialize(block_links(blocks, texts, shingle, width, band_rows, percent, miss), "block-links"))
 
 
 def fetch_documents(docs: DataFrame, classes: DataFrame) -> Callable[[DataFrame], DataFrame]:

@@ -199,6 +199,58 @@ def test_near_duplicates(docs, rows):
             assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
 
 
+def test_a_repeated_id_with_different_texts(spark):
+    """Only the row whose own text is a copy goes; its namesake with an unlike text stays."""
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    near_b = [*b[:40], "changed", *b[41:]]
+    rows = [(1, " ".join(b)), (5, " ".join(a)), (5, " ".join(near_b)), (5, " ".join(near_b)), (7, None), (None, " ".join(b)), (8, " ".join(a))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near.near_duplicates(docs, percent=70).collect()), key=str)
+    assert got == sorted([(1, 1, True), (5, 5, True), (5, 1, False), (5, 1, False), (7, 7, True), (None, None, True), (8, 5, False)], key=str)
+    left = near.without_near_duplicates(docs, percent=70).collect()
+    assert sorted(map(tuple, left), key=str) == sorted([rows[0], rows[1], rows[4], rows[5]], key=str)
+
+
+def test_rounds_confirm_all_pairs_of_unlike_near_copies(spark, monkeypatch):
+    """Copies of one text that are all a little under the threshold, and some over it: rounds go on until none is left."""
+    rng, rows, asked = random.Random(6), [], []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(90):
+        words = list(base)
+        for k in rng.sample(range(120), rng.choice([1, 2, 3, 3, 4])):
+            words[k] = f"n{i}x{k}"
+        rows.append((i, " ".join(words)))
+    plain, settled = minhash.block_pairs, minhash.block_links
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "block_pairs", lambda *args: (asked.append(args[-1]), plain(*args))[1])
+    monkeypatch.setattr(minhash, "block_links", lambda *args: (asked.append("sets"), settled(*args))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(docs, percent=80).collect()}
+    want = {d: c for d, (_, c) in brute_components(rows, 5, 80).items()}
+    assert got == want and 5 < len(set(want.values())) < 85
+    assert asked == [2, 8, "sets"]
+
+
+def test_group_pairs_hold_no_more_than_the_likeliest(spark):
+    """Six hundred by six hundred near copies in one block give a few pairs for each cluster."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, 640, dtype=np.uint8)
+    sigs = np.where(rng.random((1200, 640)) < 0.05, rng.integers(0, 256, (1200, 640), dtype=np.uint8), base).astype(np.uint8)
+    import pyarrow as pa
+
+    rows = pa.table({
+        "key": [1] * 1200, "asks": [False] * 600 + [True] * 600, "id": np.arange(1200), "n": [100] * 1200, "cluster": np.arange(1200),
+        "leading": [True] * 600 + [False] * 600, "band": [0] * 1200, "sig": pa.array([s.tobytes() for s in sigs], pa.binary()),
+    })
+    a, b, cut = minhash._group_pairs(rows, 640, 5, 80, 5e-7, 3)
+    assert cut and len(a) == 3 * 600 and set(np.bincount(b, minlength=1200)[600:]) == {3}
+    equal = (sigs[a] == sigs[b]).sum(axis=1)
+    for q in (600, 900, 1199):
+        assert sorted(equal[b == q]) == sorted((sigs[:600] == sigs[q]).sum(axis=1))[-3:]
+    a, b, cut = minhash._group_pairs(rows, 640, 5, 80, 5e-7, 600)
+    assert not cut and len(a) == 600 * 600
+
+
 def test_large_bucket_in_blocks(spark, monkeypatch):
     """A chain of copies in which far ends are not similar, cut into blocks of a few rows."""
     monkeypatch.setattr(minhash, "BLOCK", 4)
@@ -281,6 +333,84 @@ def test_substring_dedup(spark):
     assert substring.without_repeats(docs).columns == docs.columns
 
 
+def test_repeated_ids_are_cut_by_their_own_text(spark):
+    rng = random.Random(9)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    a, b, c, d = (line() for _ in range(4))
+    near_b = b.split()
+    near_b[12] = "other"
+    rows = [(0, a), (0, b), (3, c + "\n" + " ".join(near_b)), (4, d), (4, c + "\n" + d + "\n" + b), (4, c + "\n" + d + "\n" + b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.removed_words) for r in substring.report(docs).collect())
+    assert got == [(0, 60, 0), (0, 60, 0), (3, 120, 60), (4, 60, 0), (4, 180, 120), (4, 180, 120)]
+    clean = sorted(map(tuple, substring.without_repeats(docs).collect()))
+    assert clean == sorted([(0, a), (0, b), (3, c), (4, d), (4, d), (4, d)])
+
+
+def brute_repeats(rows):
+    """Words that the operator's rules remove: lines and sentences compared with all others, no bands."""
+    paragraphs = collections.defaultdict(list)  # words of a paragraph to (document, row, first, last, is a line)
+    for k, (doc_id, text) in enumerate(rows):
+        at = 0
+        for raw in (text or "").split("\n"):
+            words = words_of(raw.translate(CAPITALS))
+            if not words:
+                continue
+            spans, low = [(0, len(words), True)], 0
+            for i, w in enumerate(words):
+                if w[-1] in ".!?" or i == len(words) - 1:
+                    spans.append((low, i + 1, False))
+                    low = i + 1
+            for first, last, is_line in spans:
+                if last - first >= substring.PIECE and (is_line or (first, last) != (0, len(words))):
+                    paragraphs[tuple(words[first:last])].append((doc_id, k, at + first, at + last, is_line))
+            at += len(words)
+    keys = list(paragraphs)
+    sets = [({p[i : i + 5] for i in range(max(1, len(p) - 4))} if len(p) >= substring.LEAST and any(x[4] for x in paragraphs[p]) else None) for p in keys]
+    parent = list(range(len(keys)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(keys)), 2):
+        if sets[i] and sets[j]:
+            same = len(sets[i] & sets[j])
+            if 100 * same >= 80 * (len(sets[i]) + len(sets[j]) - same):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    owner = collections.defaultdict(lambda: 10**9)
+    for i, p in enumerate(keys):
+        owner[root(i)] = min(owner[root(i)], *(x[0] for x in paragraphs[p]))
+    found = collections.defaultdict(set)
+    for i, p in enumerate(keys):
+        for doc_id, k, first, last, _ in paragraphs[p]:
+            if doc_id != owner[root(i)]:
+                found[k].add((first, last))
+    return [sum(b - a for a, b in substring.join_spans(list(found[k]), substring.GAP, substring.SPAN)) for k in range(len(rows))]
+
+
+def test_substring_report_against_all_pairs(spark):
+    rng = random.Random(21)
+    sentence = lambda n: " ".join(f"w{rng.randrange(10**5)}" for _ in range(n)) + "."
+    passages = [[" ".join(sentence(rng.randrange(4, 14)) for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 4))] for _ in range(12)]
+    rows = []
+    for i in range(60):
+        lines = [sentence(rng.randrange(3, 30)) for _ in range(rng.randrange(1, 5))]
+        for passage in rng.sample(passages, rng.randrange(0, 3)):
+            own = [x.split() for x in passage]
+            for words in own:
+                if rng.random() < 0.5 and len(words) > 20:
+                    words[rng.randrange(len(words))] = "Changed"
+            place = rng.randrange(len(lines) + 1)
+            lines[place:place] = [" ".join(w) for w in own] if rng.random() < 0.7 else [" ".join(" ".join(w) for w in own) + " " + sentence(12)]
+        rows.append((i, "\n".join(lines)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.removed_words for r in substring.report(docs).collect()}
+    want = brute_repeats(rows)
+    assert [got[i] for i in range(60)] == want and sum(w > 0 for w in want) > 15
+
+
 # ---- benchmark decontamination ----
 
 
