@@ -337,7 +337,7 @@ def cluster(
         again = materialize(met.where("cut").select(F.col("a").alias("key")).distinct(), "buckets-left")
         if again.isEmpty():
             return clusters
-        left = members.join(if_small(again), "key", "left_semi")
+        left = materialize(members.join(if_small(again), "key", "left_semi"), "members-left")
         tested, most = tested.unionByName(more), 4 * most
     blocks = materialize(_open_blocks(left, clusters, classes), "blocks")
     return merged(materialize(block_links(blocks, texts, shingle, width, band_rows, percent, miss), "block-links"))

@@ -532,15 +532,30 @@ def test_quality_rules(spark, docs, rows):
 def test_rule_ensemble(spark, docs, rows):
     scored, rules = quality.rule_ensemble(docs, labels_for(spark, rows), fold("doc_id", 4) == 2)
     assert rules and "Python" not in scored.select("score")._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
-    names = [f"f_{n}" for n in statistics.shares()]
+    names, margins = [f"f_{n}" for n in statistics.shares()], []
     for r in scored.collect():
         x = np.array([[r[n] for n in names]])
         assert 0 <= r.score <= 1
-        assert all(quality.holds([rule], x)[0, 0] in (0.0, 1.0) for rule, _ in rules)
+        margins.append(math.log(r.score / (1 - r.score)) - sum(w * quality.holds([rule], x)[0, 0] for rule, w in rules))
+    assert max(margins) - min(margins) < 1e-6  # the score is the weighted rules that hold, and the same intercept for all
     good = [r.score > 0.5 for r in scored.collect() if r.doc_id is not None and r.doc_id < 120 and r.n_words > 32]
     assert np.mean(good) > 0.9
 
 
+def test_lasso_is_optimal():
+    """At the optimum the slope of the loss is the penalty where a weight stands, and no more where none does."""
+    rng = np.random.default_rng(4)
+    z = (rng.random((400, 12)) < 0.4).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(-(2 * z[:, 0] - 1.5 * z[:, 1] - 0.3)))).astype(float)
+    weight = rng.uniform(0.5, 2, 400)
+    w, b = quality.lasso(z, y, weight, 0.02, steps=4000)
+    error = weight * (1 / (1 + np.exp(-(z @ w + b))) - y) / weight.sum()
+    slope = z.T @ error
+    assert abs(error.sum()) < 1e-4 and (np.abs(slope) <= 0.02 + 1e-4).all()
+    stands = w != 0
+    assert 1 < stands.sum() < 12 and np.allclose(slope[stands], -0.02 * np.sign(w[stands]), atol=1e-4)
+
+
 # ---- language ----
 
 
@@ -573,13 +588,59 @@ def test_language_stage_rejects_by_score(spark, docs):
     assert corpus_pipeline.language_id(spark, unlabelled, "").count() == docs.count()
 
 
-def test_network_gradients():
+def plain_states(p, side, x, mask):
+    """The recurrence of one direction, a run and a byte at a time."""
+    squash = lambda v: v / (1 + np.abs(v))
+    out = np.zeros((*x.shape, len(p[f"uc{side}"])))
+    for run in range(x.shape[1]):
+        h = np.zeros(out.shape[2])
+        for t in range(x.shape[0]):
+            byte = x[t, run]
+            z = 1 + squash(h @ p[f"uz{side}"] + p[f"ez{side}"][byte])
+            r = 1 + squash(h @ p[f"ur{side}"] + p[f"er{side}"][byte])
+            c = squash((r * h) @ p[f"uc{side}"] + p[f"ec{side}"][byte])
+            h = (h + z * (c - h) / 2) * mask[t, run]
+            out[t, run] = h
+    return out
+
+
+def test_network_forward_pass():
     rng = np.random.default_rng(1)
+    net = language.start_weights(["a", "b", "c"], hidden=4)
+    net.p = {k: rng.normal(0, 0.8, v.shape).astype(np.float32) for k, v in net.p.items()}
+    x = rng.integers(0, 256, (9, 5)).astype(np.uint8)
+    mask = np.arange(9)[:, None] < np.array([9, 4, 1, 9, 6])[None, :]
+    parts, total, hf, hb = language.positions(net, x, mask)
+    exact = {k: v.astype(float) for k, v in net.p.items()}
+    f, b = plain_states(exact, "f", x, mask), plain_states(exact, "b", x[::-1], mask[::-1])[::-1]
+    assert np.allclose(hf, f, atol=1e-5) and np.allclose(hb, b, atol=1e-5)
+    logits = f @ exact["wf"] + b @ exact["wb"] + exact["bias"]
+    want = np.exp(logits) / np.exp(logits).sum(axis=2, keepdims=True)
+    assert np.allclose(parts / total[:, :, None], want, atol=1e-5)
+
+
+def test_network_gradients():
+    """Against differences of the plain recurrence."""
+    rng = np.random.default_rng(2)
     net = language.start_weights(["a", "b"], hidden=3)
-    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    x, mask = rng.integers(97, 110, (6, 4)).astype(np.uint8), np.ones((6, 4), bool)
-    prob, total, _, _ = language.positions(net, x, mask)
-    assert np.allclose((prob / total[:, :, None]).sum(axis=2), 1, atol=1e-5)
+    p = {k: rng.normal(0, 0.7, v.shape).astype(np.float32) for k, v in net.p.items()}
+    x = rng.integers(97, 103, (7, 4)).astype(np.uint8)
+    mask = (np.arange(7)[:, None] < np.array([7, 3, 7, 5])[None, :]).astype(np.float32)
+    tape, grads = [], {k: np.zeros_like(v) for k, v in p.items()}
+    language._states(p, "f", x, mask, tape)
+    slope = rng.normal(size=(7, 4, 3)).astype(np.float32)
+    language._backprop(p, grads, "f", x, mask, tape, slope)
+    exact = {k: v.astype(float) for k, v in p.items()}
+    for name in ("uzf", "urf", "ucf", "ezf", "erf", "ecf"):
+        places = [(i, j) for i in (range(97, 103) if name[0] == "e" else range(3)) for j in range(3)]
+        for place in places:
+            ends = []
+            for step in (1e-5, -1e-5):
+                moved = dict(exact)
+                moved[name] = exact[name].copy()
+                moved[name][place] += step
+                ends.append((plain_states(moved, "f", x, mask) * slope).sum())
+            assert grads[name][place] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=1e-3), (name, place)
 
 
 # ---- web archives ----
