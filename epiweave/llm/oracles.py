@@ -10,8 +10,8 @@ OP8 = f"""
 WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 firsts AS (SELECT payload, min(page_id) AS response FROM payloads GROUP BY payload)
 SELECT p.page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes, {_BASE32.replace('payload', 'p.payload')} AS payload_digest,
-    CASE WHEN p.page_id = f.response THEN 'response' ELSE 'revisit' END AS record_type,
-    CASE WHEN p.page_id = f.response THEN NULL ELSE f.response END AS refers_to
+    CASE WHEN p.page_id IS NOT DISTINCT FROM f.response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN p.page_id IS NOT DISTINCT FROM f.response THEN NULL ELSE f.response END AS refers_to
 FROM payloads p JOIN firsts f USING (payload)
 """
 

@@ -191,8 +191,9 @@ def parse(member: bytes) -> tuple:
     return number("X-Page-Id"), fields["WARC-Target-URI"], payload if kind == "response" else None, number("X-Payload-Length"), digest, kind, number("X-Refers-To-Page-Id"), ok
 
 
-def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
-    """Records of all files in the manifest. ``payloads=False`` checks payloads but leaves them out."""
+def read_warc(spark: SparkSession, folder: str, payloads: bool = True, strict: bool = False) -> DataFrame:
+    """Records of all files in the manifest. ``payloads=False`` checks payloads but leaves them out; ``strict`` raises at a record
+    whose digests or length are not those of its content, which ``digest_ok`` tells otherwise."""
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     types = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())
     names = [c.split()[0] for c in RECORD.split(", ")]
@@ -208,6 +209,8 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
                 with system.open_input_stream(path, compression=None) as stream:
                     for member in _members(stream):
                         row = parse(member)
+                        if strict and not row[-1]:
+                            raise ValueError(f"{name}: the record of page {row[0]} is damaged")
                         rows.append(row if payloads else (*row[:2], None, *row[3:]))
                         held += len(member) if payloads else 0
                         if len(rows) == 1000 or held > 1 << 23:
@@ -221,7 +224,7 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
 
 
 def archive(pages: DataFrame, **options) -> DataFrame:
-    """Write pages to a new folder in the shared place and read the records back."""
+    """Write pages to a new folder in the shared place and read the records back; a damaged one is an error."""
     folder = work_path(pages.sparkSession, "warc")
     write_warc(pages, folder, **options)
-    return read_warc(pages.sparkSession, folder, payloads=False)
+    return read_warc(pages.sparkSession, folder, payloads=False, strict=True)

@@ -1,6 +1,7 @@
 """Each operator of the corpus subpackage against a brute-force version, on small and on odd input."""
 
 import collections
+import gzip
 import hashlib
 import itertools
 import math
@@ -9,6 +10,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from epiweave.llm import automaton, components, hmm, language, minhash, mixing, near, quality, statistics, substring, tokens, trees, warc
 from epiweave.llm.labelled import fold
+from epiweave.llm.oracles import OP8
 from epiweave.session import work_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,7 +161,6 @@ def test_the_model_is_a_distribution(spark):
     one = [("a",), ("b",), ("c",), ("unseen",), ("",)]
     both = train.select("doc_id", "text", F.lit(False).alias("h")).unionByName(
         spark.createDataFrame(one, "text string").select(F.lit(-1).cast("long").alias("doc_id"), "text", F.lit(True).alias("h")))
-    got = {r.n_tokens: 0.0 for r in []}
     scored = hmm.score(both, F.col("h"), states=2, rounds=1).where("held_out").collect()
     got = sum(10**r.score for r in scored)
     assert 0 < got < 1
@@ -699,6 +701,91 @@ def test_empty_tables(spark, docs):
     assert automaton.find_leaks(docs, bench).where("n_hit > 0").count() == 0
 
 
+def test_a_damaged_archive_is_an_error(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "<p>" + "text %d " % i * 20 + "</p>") for i in range(5)], "page_id long, url string, html string")
+    folder = work_path(spark, "warc-test")
+    (name,) = [r.file for r in warc.write_warc(pages, folder).collect()]
+    assert warc.read_warc(spark, folder, strict=True).count() == 5
+    path = f"{folder}/{name}".removeprefix("file:")
+    with open(path, "rb") as f:
+        members = [gzip.decompress(part) for part in (b"\x1f\x8b" + x for x in f.read().split(b"\x1f\x8b")[1:])]
+    members[2] = members[2].replace(b"text 2", b"text 9", 1)
+    with open(path, "wb") as f:
+        f.write(b"".join(gzip.compress(m) for m in members))
+    assert sorted(r.page_id for r in warc.read_warc(spark, folder).where("not digest_ok").collect()) == [2]
+    with pytest.raises(Exception, match="the record of page 2 is damaged"):
+        warc.read_warc(spark, folder, strict=True).collect()
+
+
+def test_sql_of_web_archives_on_null_ids():
+    rows = [(None, "only here"), (1, "a"), (5, "a"), (None, "a"), (7, None), (8, "")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", rows)
+    got = sorted(con.execute(f"SELECT page_id, payload_bytes, record_type, refers_to FROM ({OP8})").fetchall(), key=str)
+    want = [(None, 9, "response", None), (1, 1, "response", None), (5, 1, "revisit", 1), (None, 1, "revisit", 1), (7, 0, "response", None), (8, 0, "revisit", 7)]
+    assert got == sorted(want, key=str)
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Each stage on its own input: exact ids and texts with planted copies, a repeated passage and benchmark passages."""
+    rng = random.Random(31)
+    fresh = lambda n: " ".join(f"{rng.choice(['the', 'of', 'land', 'water', 'river'])}{rng.randrange(10**6)}" for _ in range(n))
+    plain = [(i, fresh(70) + "\n" + fresh(30), "en", f"s{i % 3}") for i in range(40)]
+    near_copy = plain[3][1].split(" ")
+    near_copy[50] = "altered"
+    item, passage = fresh(15), fresh(60)
+    planted = [
+        (40, plain[5][1], "en", "s0"), (41, " ".join(near_copy), "en", "s1"), (42, fresh(60) + "\n" + passage, "en", "s2"), (43, passage + "\n" + fresh(50), "en", "s0"),
+        (44, fresh(40) + " " + item + " " + fresh(30), "en", "s1"), (45, fresh(4) + " " + item, "en", "s2"), (46, None, "en", "s0"), (47, "12 34 ?!", "en", "s1"),
+    ]
+    rows = [(i, t, lang, source, None if t is None else len(t)) for i, t, lang, source in plain + planted]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, "nobody has these ten words in any text here at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages, left, seen = dict(corpus_pipeline.STAGES), spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name in list(stages)[:-1]:
+        stages[name](spark, left, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        left = spark.read.parquet(f"{tmp_path}/{name}")
+        assert left.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+        seen[name] = {r.doc_id: r for r in left.collect()}
+        assert len(seen[name]) == left.count() and all(r.n_chars == len(r.text) for r in seen[name].values())
+    text = {r[0]: r[1] for r in rows}
+    assert set(seen["language_id"]) == set(range(46)) and all(r.text == text[d] for d, r in seen["language_id"].items())
+    want = {c for _, c in brute_components([r for r in rows if r[0] < 46], 5, 80).values()}
+    assert set(seen["near_dedup"]) == want == set(range(46)) - {40, 41}
+    removed = dict(zip(sorted(want), brute_repeats([(d, text[d]) for d in sorted(want)])))
+    assert {d for d, n in removed.items() if n} == {43}
+    assert {d: r.text for d, r in seen["substring_dedup"].items()} == {d: text[d].split("\n")[1] if d == 43 else text[d] for d in want}
+    leaks = {d: brute_leaks(r.text, [(1, item)]) for d, r in seen["substring_dedup"].items()}
+    assert {d for d, (_, hit, _) in leaks.items() if hit} == {44, 45}
+    kept = {d for d, (n, hit, _) in leaks.items() if 2 * hit <= n}
+    clean = {d: r.text for d, r in seen["decontaminate"].items()}
+    assert set(clean) == kept == want - {45} and item not in clean[44]
+    assert words_of(clean[44]) == words_of(text[44].replace(item, "")) and all(clean[d] == seen["substring_dedup"][d].text for d in kept - {44})
+    mixed = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert set(mixed) == kept
+    sizes, taken = collections.Counter(), collections.Counter()
+    for d, r in mixed.items():
+        assert r.size == len(words_of(clean[d])) and r.taken == r.repeats * r.size <= 2 * r.size
+        sizes[rows[d][3]] += r.size
+        taken[rows[d][3]] += r.taken
+    left_over, open_, target = 1.5 * sum(sizes.values()), {"s0": 3, "s1": 1, "s2": 2}, {}
+    while open_:
+        level = left_over / sum(open_.values())
+        over = {s for s, w in open_.items() if level * w > 2 * sizes[s]} or set(open_)
+        full = {s for s in over if level * open_[s] > 2 * sizes[s]}
+        target |= {s: 2.0 * sizes[s] if s in full else level * open_[s] for s in over}
+        left_over -= sum(target[s] for s in over)
+        open_ = {s: w for s, w in open_.items() if s not in over}
+    assert all(abs(taken[s] - target[s]) <= 60 for s in target)
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages(spark, tmp_path, docs, rows):
     spark.createDataFrame([(1, "a test item that nobody has in any text at all here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
