@@ -6,9 +6,6 @@ takes dozens, and planning then outweighs small jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from epiweave.fixed import EARTH_RADIUS_KM
 
 
@@ -25,7 +22,3 @@ def km_of_angles(delta_lat: str, delta_lon: str, cos_product: str) -> str:
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     cos_product = f"cos(radians({lat1})) * cos(radians({lat2}))"
     return km_of_angles(f"{lat2} - {lat1}", f"{lon2} - {lon1}", cos_product)
-
-
-def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
-    return F.expr(haversine_sql(lat1, lon1, lat2, lon2))

@@ -31,11 +31,6 @@ def normalize_text(df: DataFrame, columns: list[str], fold_small_accents: bool =
     return df.withColumns({c: tx.normalize_text(c, fold_small_accents) for c in columns})
 
 
-def harmonize_names(df: DataFrame, column: str = "departamento", names=None) -> DataFrame:
-    expr = tx.harmonize(column) if names is None else tx.harmonize(column, names)
-    return df.withColumn(column, expr)
-
-
 def project_cast(df: DataFrame, spec: dict[str, tuple[str, str]]) -> DataFrame:
     """Select, convert and rename in one projection: ``{output: (input, type)}``.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 _local_dirs: dict[str, str] = {}
-_stored: dict[tuple, tuple[str, StructType]] = {}
+_stored: dict[tuple, tuple[tuple, str, StructType]] = {}
 _scopes: dict[tuple[str, str], list[str]] = {}
 _open_scopes: list[list[str]] = []
 
@@ -93,24 +93,35 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return _read(df.sparkSession, path, df.schema)
 
 
+def _state_of(spark: SparkSession, origin: str) -> tuple:
+    """Names, sizes and times of the files of a folder and of the folders in it; empty if ``origin`` is no folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(origin)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return ()
+    top = list(system.listStatus(place))
+    inner = [s for status in top if status.isDirectory() for s in system.listStatus(status.getPath())]
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in top + inner))
+
+
 def stored_table(
     spark: SparkSession, name: str, origin: str, build: Callable[[], DataFrame],
     partition_by: list[str] | None = None,
 ) -> DataFrame:
-    """A materialized table that is built once per application and origin, then read.
+    """A materialized table that is built once per application and folder ``origin``, then read.
 
-    If its files have gone it is built again.
+    If its files have gone, or files of the folder have changed since, it is built again.
     """
-    key = (spark.sparkContext.applicationId, name, origin)
-    if key in _stored:
+    key, state = (spark.sparkContext.applicationId, name, origin), _state_of(spark, origin)
+    if key in _stored and _stored[key][0] == state:
         try:
-            return _read(spark, *_stored[key])
+            return _read(spark, *_stored[key][1:])
         except AnalysisException:
             del _stored[key]
     df, path = build(), work_path(spark, name)
     _write(df, path, partition_by)
-    _stored[key] = (path, df.schema)
-    return _read(spark, *_stored[key])
+    _stored[key] = (state, path, df.schema)
+    return _read(spark, path, df.schema)
 
 
 #: A table of more bytes than this is never sent to all tasks by these helpers.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from epiweave.operators import joins, names, nearest
 from epiweave.plans import conformed
-from epiweave.session import materialize
+from epiweave.session import materialize, stored_table
 from epiweave.sources import star
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -137,3 +137,15 @@ def test_long_regions_cost_in_proportion(spark, monkeypatch):
     assert got["w7000 w7001 w7002"] == (long_one[:20], "contained") and got["el valle del cauca (sur)"] == ("VALLE DEL CAUCA", "contained")
     assert got["cauca"] == ("CAUCA", "exact") and got["absent name"] == (None, None) and got[long_one[:30]] == (long_one[:20], "contained")
     assert len(long_one) > 100_000 and sum(counts) < 5 * len(long_one)
+
+
+def test_a_stored_table_follows_its_folder(spark, tmp_path):
+    built = []
+
+    def table():
+        return stored_table(spark, "follows", str(tmp_path), lambda: (built.append(1), spark.read.parquet(f"{tmp_path}/t"))[1])
+
+    spark.range(3).write.parquet(f"{tmp_path}/t")
+    assert table().count() == table().count() == 3 and len(built) == 1
+    spark.range(5).write.mode("overwrite").parquet(f"{tmp_path}/t")
+    assert table().count() == 5 and len(built) == 2
