@@ -162,7 +162,7 @@ def _open_blocks(members: DataFrame, clusters: DataFrame, classes: DataFrame) ->
     rows = others.join(unmet.select("key", "size", "weight"), "key").join(lead, "pivot", "left").withColumn("lead", F.coalesce("lead", "pivot"))
     asks = F.col("cluster") != F.col("lead")
     queries = rows.where(asks).groupBy("key").agg(F.count("*").alias("asking"), F.sum("n").alias("asking_weight"))
-    rows = rows.join(queries, "key").join(classes.select("id", "sig"), "id")
+    rows = materialize(rows.join(queries, "key").join(classes.select("id", "sig"), "id"), "unmet")
     parts = lambda rows, weight: F.ceil(F.greatest(F.col(rows) / BLOCK, F.col(weight) * 8 / BLOCK_BYTES)).cast("int")
     blocks, ask_blocks = parts("size", "weight"), parts("asking", "asking_weight")
     spot = F.xxhash64("id")
