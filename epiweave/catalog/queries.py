@@ -61,12 +61,13 @@ def scan_encoding_fallback(spark, sf_dir):
 
 
 def _landed_pages(spark, sf_dir) -> tuple[str, DataFrame, int]:
-    """Orders as pages of records: the fourth page is short, and the sixth has landed under a later number."""
+    """Orders as pages of records: the fourth page is short, and the sixth has landed under a later number, which may be
+    that of another page as well: the two are then files of one number."""
     rows = star.load(spark, sf_dir, "orders")
     folder, size = work_path(spark, "pages"), 2000
     page = F.expr(f"cast(o_orderkey div {size} as int)")
     page = F.when((page == 3) & (F.col("o_orderkey") % 2 == 0), 1000).when(page == 5, 1002).otherwise(page)
-    landing.land_json_pages(rows.withColumn("page", page), folder, "page", size)
+    landing.land_json_pages(rows.withColumn("page", page), folder, "page", size, split=True)
     return folder, rows, size
 
 

@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from epiweave.fixed import SOURCE_PAGE_ROWS
@@ -20,19 +20,21 @@ def land_source(df: DataFrame, path: str) -> None:
     normalize_headers_landing(df).write.mode("overwrite").parquet(path)
 
 
-def land_json_pages(df: DataFrame, folder: str, page: str, page_rows: int = SOURCE_PAGE_ROWS) -> None:
+def land_json_pages(df: DataFrame, folder: str, page: str, page_rows: int = SOURCE_PAGE_ROWS, split: bool = False) -> None:
     """Write records as numbered page files, each a JSON array.
 
-    ``page`` names the page-number column. Pages are counted first, and more than ``page_rows``
-    records in one is an error, so no task ever gathers an array larger than that.
+    ``page`` names the page-number column. No file, and so no array that a task gathers, holds more than ``page_rows`` records.
+    Pages are counted first, and a larger one is an error; with ``split`` it goes into several files of the same number instead.
     """
-    largest = df.groupBy(page).count().agg(F.max("count")).first()[0] or 0
+    largest = 0 if split else df.groupBy(page).count().agg(F.max("count")).first()[0] or 0
     if largest > page_rows:
         raise ValueError(f"a page holds {largest} records, more than the page size {page_rows}")
     fields = [c for c in df.columns if c != page]
-    body = F.to_json(F.collect_list(F.struct(*fields)), {"ignoreNullFields": "false"})
-    arrays = df.groupBy(F.format_string("page-%06d", F.col(page)).alias("page_file")).agg(body.alias("value"))
-    arrays.write.mode("overwrite").partitionBy("page_file").text(folder)
+    position = F.row_number().over(Window.partitionBy(page).orderBy(page))
+    parts = df.withColumn("part", ((position - 1) / page_rows).cast("int")).groupBy(page, "part")
+    arrays = parts.agg(F.to_json(F.collect_list(F.struct(*fields)), {"ignoreNullFields": "false"}).alias("value"))
+    files = arrays.select(F.format_string("page-%06d", F.col(page)).alias("page_file"), "part", "value")
+    files.write.mode("overwrite").partitionBy("page_file", "part").text(folder)
 
 
 def landed_files(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:

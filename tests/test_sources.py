@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epiweave import session, sinks
+from epiweave.catalog import queries
 from epiweave.session import work_path
 from epiweave.sources import landing, readers
 
@@ -122,6 +123,28 @@ def test_page_size_is_enforced(spark):
         landing.land_json_pages(rows, work_path(spark, "pages"), "page", 4)
 
 
+def test_a_larger_page_is_split_into_files(spark, tmp_path):
+    rows = spark.range(5).withColumn("page", F.lit(0)).union(spark.range(5, 6).withColumn("page", F.lit(None).cast("int")))
+    landing.land_json_pages(rows, f"{tmp_path}/pages", "page", 2, split=True)
+    assert sorted(r.id for r in readers.read_json_pages(spark, f"{tmp_path}/pages", spark.range(1).schema, 2).collect()) == list(range(6))
+    report = readers.json_pages_report(spark, f"{tmp_path}/pages", spark.range(1).schema, 2).collect()
+    assert sorted(map(tuple, report), key=str) == [(0, 5, "last"), (None, 1, "unnumbered")]
+    arrays = spark.read.option("recursiveFileLookup", True).text(f"{tmp_path}/pages")
+    assert max(r.value.count('"id"') for r in arrays.collect()) == 2 and arrays.count() == 4
+
+
+def test_orders_whose_page_number_is_taken(spark, tmp_path):
+    """Orders past the two millionth meet the pages that have landed under later numbers."""
+    keys = spark.range(3 * 2000, 6 * 2000).union(spark.range(1000 * 2000, 1003 * 2000))
+    keys.withColumnRenamed("id", "o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    report = queries.REGISTRY["json_pages_report"](spark, str(tmp_path)).collect()
+    found = {r.page: (r.rows, r.status) for r in report}
+    assert found == {
+        0: (0, "gap"), 3: (1000, "short"), 4: (2000, "ok"), 5: (0, "gap"), 1000: (3000, "ok"), 1001: (2000, "ok"), 1002: (4000, "last"),
+    }
+    assert queries.REGISTRY["scan_json_pages"](spark, str(tmp_path)).distinct().count() == 6 * 2000
+
+
 def test_ingest_reports_failures(spark, tmp_path):
     write(tmp_path, "Uno (a) +[1].csv", "id,nombre\n1,á\n2,b\n".encode("latin-1"))
     write(tmp_path, "dos.csv", b"id,id\n1,2\n")
