@@ -142,6 +142,11 @@ def _closest_possible() -> str:
     return km_of_angles(gap_lat, gap_lon, cosines)
 
 
+def _apart(within: str) -> str:
+    """Whether the latitudes alone allow a distance of ``within`` km; cheaper than the distance."""
+    return f"abs(ref_lat - lat) <= ({within} + {SLACK_KM!r}D) * {math.degrees(1 / EARTH_RADIUS_KM)!r}D"
+
+
 def _descend(points: DataFrame, refs: DataFrame, grid: _Grid, depth: int, max_km: float, hot_rows: int) -> DataFrame:
     """Candidate (point, leaf cell) pairs that can hold the nearest reference."""
     sure = haversine_sql("lat", "lon", "one_lat", "one_lon")
@@ -189,17 +194,23 @@ def nearest_within(
     points = target_rows.select("lat", "lon").distinct()
 
     depth = _depth_needed(ref_points, leaf_size)
-    if depth:
-        candidates = materialize(_descend(points, ref_points, grid, depth, max_km, hot_rows), "nearest-cells")
-        pairs = salted_join(candidates, ref_points.selectExpr("*", f"{_cell(depth)} as cell"), ["band", "slot", "cell"], hot_rows=hot_rows)
-    else:
-        pairs = salted_join(materialize(grid.reach(points, "lat", "lon"), "nearest-cells"), ref_points, ["band", "slot"], hot_rows=hot_rows)
+    on = ["band", "slot", "cell"] if depth else ["band", "slot"]
+    cells = ref_points.selectExpr("*", f"{_cell(depth)} as cell") if depth else ref_points
+    reached = _descend(points, ref_points, grid, depth, max_km, hot_rows) if depth else grid.reach(points, "lat", "lon")
+    candidates = materialize(reached, "nearest-cells")
 
+    # A pair is never sorted or stored: the least distance is a number, which a hash aggregate keeps for each point, and only pairs
+    # at that distance are asked for their names.
     km = haversine_sql("lat", "lon", "ref_lat", "ref_lon")
+    least = (
+        salted_join(candidates, cells, on, hot_rows=hot_rows)
+        .where(f"{_apart(repr(float(max_km)) + 'D')} and {km} <= {float(max_km)!r}D")
+        .groupBy("lat", "lon").agg(F.expr(f"min({km})").alias("least_km"))
+    )
     best = (
-        pairs.selectExpr("lat", "lon", f"struct({km} as dist_km, ref) as hit")
-        .where(f"hit.dist_km <= {float(max_km)!r}D")
-        .groupBy("lat", "lon").agg(F.min("hit").alias("hit"))
+        salted_join(candidates.join(least, ["lat", "lon"]), cells, on, hot_rows=hot_rows, counted=candidates)
+        .where(f"{_apart('least_km')} and {km} <= least_km + {SLACK_KM!r}D and {km} <= {float(max_km)!r}D")
+        .groupBy("lat", "lon").agg(F.expr(f"min(struct({km} as dist_km, ref))").alias("hit"))
     )
     return (
         target_rows.join(best, ["lat", "lon"])

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 
@@ -72,6 +73,16 @@ def test_copies_ties_and_missing_positions(spark):
     assert [tuple(r) for r in got] == [("t", "same", "a", "x", 0.0)]
 
 
+def test_pairs_are_not_sorted(spark):
+    """Pairs meet a hash aggregate that keeps a number for each point; names are asked for at the least distance only."""
+    draw = random.Random(5)
+    targets, refs = points(draw, 90, "t", (4, 5), (-74, -73)), points(draw, 90, "r", (4, 5), (-74, -73))
+    found = nearest_within(spark.createDataFrame(targets, SCHEMA), spark.createDataFrame(refs, SCHEMA))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[.*lat.*\], functions=\[partial_min\(", plan)
+    assert "least_km" in plan
+
+
 def test_imputation_falls_back_to_own_name(spark):
     fact = spark.createDataFrame([("d", "m1", 1), ("d", "m2", 1), ("d", "m3", 1), ("d", "m3", 2)], "departamento string, municipio string, semana int")
     mapping = spark.createDataFrame([("d", "m1", "d", "m2", 3.0)], "target_dept string, target_muni string, ref_dept string, ref_muni string, dist_km double")
