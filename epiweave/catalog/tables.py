@@ -70,7 +70,7 @@ def page_index(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], D
     """A position index that is stored once, with its list of ranges."""
     stored = stored_table(spark, f"{name}-rows", sf_dir, lambda: paging.index_rows(rows(), keys, rows_per_range), partition_by=["_range"])
     ranges = stored_table(spark, f"{name}-ranges", sf_dir, lambda: paging.index_ranges(stored, keys))
-    return paging.PageIndex(stored, ranges, [*keys, *(c for c in stored.columns if c not in (*keys, "_range", "_tie"))])
+    return paging.PageIndex(stored, ranges, [*keys, *(c for c in stored.columns if c not in (*keys, *paging.INDEX_COLUMNS))])
 
 
 def serving_index(spark: SparkSession, sf_dir: str) -> paging.PageIndex:

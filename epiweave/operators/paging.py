@@ -16,6 +16,10 @@ from epiweave.session import materialize
 SHALLOW_ROWS = 100_000
 # Rows of a range of an index: what a page reads, besides the list of ranges.
 RANGE_ROWS = 100_000
+# Most ranges of an index: each is a task and a folder, and the driver holds the list of them. A larger table has larger ranges.
+MOST_RANGES = 1024
+# Columns of stored index rows besides their own: range, position in it, and what tells equal rows apart.
+INDEX_COLUMNS = ("_range", "_at", "_tie")
 
 
 @dataclass(frozen=True)
@@ -29,21 +33,26 @@ class PageIndex:
     def page(self, offset: int = 0, limit: int = 100, where: Column | str | None = None, max_rows: int = PAGE_MAX_ROWS) -> DataFrame:
         """Rows ``offset`` to ``offset + limit``, of those that fulfil ``where``.
 
-        Without a condition a page reads the list of ranges and the one or two ranges that it lies in. With one, the rows
-        that fulfil it are counted range by range first, which reads the columns of the condition only.
+        Without a condition a page reads the list of ranges and its own positions in the one or two ranges that it lies in. With one,
+        the rows that fulfil it are counted range by range first, which reads the columns of the condition only.
         """
         offset, limit = _bounds(offset, limit, max_rows)
         chosen = self.rows if where is None else self.rows.where(where)
         counts = self.ranges.select("_range", "rows") if where is None else chosen.groupBy("_range").agg(F.count("*").alias("rows"))
-        hit, skip, before = [], 0, 0
+        hit, skip, stop, before = [], 0, 0, 0
         for part, rows in sorted(counts.collect()):
             if before < offset + limit and before + rows > offset:
                 skip = skip if hit else offset - before
+                stop = offset + limit - before
                 hit.append(part)
             before += rows
         ordering = [F.col(c).asc_nulls_last() for c in [*self.order, "_tie"]]
         found = chosen.where(F.col("_range").isin(hit)) if hit else chosen.limit(0)
-        return found.orderBy(*ordering).offset(skip).limit(limit).drop("_range", "_tie")
+        if where is None and hit:  # files are sorted by position, so only those pages of them are read
+            first, last = F.col("_at") >= skip, F.col("_at") < stop
+            found = found.where(first & last if len(hit) == 1 else ((F.col("_range") > hit[0]) | first) & ((F.col("_range") < hit[-1]) | last))
+            skip = 0
+        return found.orderBy(*ordering).offset(skip).limit(limit).drop(*INDEX_COLUMNS)
 
 
 def _bounds(offset: int, limit: int, max_rows: int) -> tuple[int, int]:
@@ -52,14 +61,17 @@ def _bounds(offset: int, limit: int, max_rows: int) -> tuple[int, int]:
     return max(0, offset), max(1, limit)
 
 
-def index_rows(df: DataFrame, keys: list[str], rows_per_range: int = RANGE_ROWS) -> DataFrame:
+def index_rows(df: DataFrame, keys: list[str], rows_per_range: int = RANGE_ROWS, most_ranges: int = MOST_RANGES) -> DataFrame:
     """Rows dealt out in ranges of the order by ``keys`` (nulls last) and the remaining columns, each range sorted. ``_tie`` tells equal
-    rows apart, so that any number of them is split over ranges like others."""
+    rows apart, so that any number of them is split over ranges like others; ``_at`` is a row's position in its range.
+
+    Ranges have about ``rows_per_range`` rows, and more where there would be over ``most_ranges`` of them."""
     order = [*keys, *(c for c in df.columns if c not in keys)]
-    ranges = max(1, -(-df.count() // rows_per_range))
+    ranges = min(max(1, -(-df.count() // rows_per_range)), most_ranges)
     ordering = [F.col(c).asc_nulls_last() for c in [*order, "_tie"]]
     dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *ordering)
-    return dealt.withColumn("_range", F.spark_partition_id()).sortWithinPartitions(*ordering)
+    ordered = dealt.withColumn("_range", F.spark_partition_id()).sortWithinPartitions("_range", *ordering)
+    return ordered.withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
 
 
 def index_ranges(rows: DataFrame, keys: list[str]) -> DataFrame:

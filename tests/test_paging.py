@@ -49,6 +49,20 @@ def test_an_index_is_split_evenly_and_read_in_part(index):
     assert "PartitionFilters: [isnotnull(_range" in plan and "= 4" in plan
 
 
+def test_the_number_of_ranges_is_limited(spark):
+    """Ranges of a large table are larger instead of more, and a page still reads its own positions only."""
+    stored = paging.materialize(paging.index_rows(spark.createDataFrame(rows(), "k int, t string, n int").repartition(5), ["k", "t"], 1, 6), "page-rows", ["_range"])
+    index = paging.PageIndex(stored, paging.index_ranges(stored, ["k", "t"]), ["k", "t", "n"])
+    sizes = [r.rows for r in index.ranges.orderBy("_range").collect()]
+    assert sum(sizes) == 500 and len(sizes) <= 6
+    want = in_order(rows())
+    for offset, limit in ((0, 5), (37, 10), (sizes[0] - 3, 7), (0, 500), (499, 10), (500, 5)):
+        assert [tuple(r) for r in index.page(offset, limit).collect()] == want[offset : offset + limit], (offset, limit)
+    held = index.page(sizes[0] + 4, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_at" in held and "< 7" in held
+    assert [tuple(r) for r in index.page(5, 9, "n = 1").collect()] == [r for r in want if r[2] == 1][5:14]
+
+
 def test_an_empty_index(spark):
     empty = paging.build_index(spark.createDataFrame([], "k int, t string"), ["k"])
     assert empty.page().count() == 0
