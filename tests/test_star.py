@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+from epiweave.catalog import queries
 from epiweave.sources import star
 
 SOURCES = {"vigilancia": star.raw_surveillance, "clima": star.raw_climate, "aire": star.raw_air}
@@ -69,3 +70,15 @@ def test_lines_are_shuffled_while_narrow(spark, folder, monkeypatch, source):
     assert not re.search(r"hashpartitioning\(l_partkey", plan[before_nation : plan.index("[l_orderkey", before_nation)])
     lines = plan[plan.index("hashpartitioning(o_orderkey") :]
     assert "hashpartitioning(o_custkey" in lines
+
+
+def test_quality_report_counts_the_number_of_cases_as_a_key(spark, folder):
+    got = {r.check_name: r.value for r in queries.REGISTRY["key_quality_report"](spark, folder).collect()}
+
+    def number(text):
+        return None if text in (None, "ND") else float(text)
+
+    rows = [(*r[:5], number(r[5])) for r in sql(folder, star.SURVEILLANCE)]
+    keys = ["ano", "semana", "departamento_ocurrencia", "municipio_ocurrencia", "nombre_evento", "conteo"]
+    nulls = {f"nulls_{k}": sum(r[i] is None for r in rows) for i, k in enumerate(keys)}
+    assert got == {"rows": len(rows), "duplicates": len(rows) - len(set(rows)), **nulls} and nulls["nulls_conteo"] > 0
