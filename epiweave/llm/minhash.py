@@ -156,10 +156,13 @@ def _open_blocks(members: DataFrame, clusters: DataFrame, classes: DataFrame) ->
     queries. A large bucket is cut into blocks of targets and of queries, by rows and by the size of their sets, and each pair of blocks is a group.
     """
     now = members.join(clusters, "id", "left").withColumn("cluster", F.coalesce("component", "id")).drop("component")
-    lead = clusters.select(F.col("id").alias("pivot"), F.col("component").alias("lead"))
-    others = now.where("id <> pivot")
-    unmet = others.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.count("*").alias("size"), F.sum("n").alias("weight")).where("low <> high")
-    rows = others.join(unmet.select("key", "size", "weight"), "key").join(lead, "pivot", "left").withColumn("lead", F.coalesce("lead", "pivot"))
+    # a bucket's first id is a member itself, so the cluster that leads comes with the bucket's counts
+    other = F.col("id") != F.col("pivot")
+    unmet = now.groupBy("key").agg(
+        F.max(F.when(~other, F.col("cluster"))).alias("lead"), F.min(F.when(other, F.col("cluster"))).alias("low"),
+        F.max(F.when(other, F.col("cluster"))).alias("high"), F.count_if(other).alias("size"), F.sum(F.when(other, F.col("n"))).alias("weight"),
+    ).where("low <> high")
+    rows = materialize(now.where(other).join(unmet.drop("low", "high"), "key"), "unmet-members")
     asks = F.col("cluster") != F.col("lead")
     queries = rows.where(asks).groupBy("key").agg(F.count("*").alias("asking"), F.sum("n").alias("asking_weight"))
     rows = materialize(rows.join(queries, "key").join(classes.select("id", "sig"), "id"), "unmet")
