@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from epiweave.llm.components import components
 from epiweave.llm.memory import lean
 from epiweave.llm.tables import if_small
-from epiweave.llm.words import NOT_SPACE, LOWER, SAME, constants, distinct, mix, shingles, slices, word_hashes
+from epiweave.llm.words import NOT_SPACE, LOWER, SAME, binary, constants, distinct, mix, shingles, slices, word_hashes
 from epiweave.session import materialize
 
 CACHE_SHINGLES = 1 << 15
@@ -109,6 +109,22 @@ def word_sets(column_batches, column: str, shingle: int, lower: bool = True):
         yield part, *distinct(*shingles(hashes, bounds, shingle))
 
 
+def signed(texts: DataFrame, shingle: int, width: int) -> DataFrame:
+    """(id, n, sig) of texts (id, text) with words: size of the set and one byte of each of ``width`` hashes."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets, bounds in word_sets(batches, "text", shingle):
+            sizes = np.diff(bounds)
+            some = np.flatnonzero(sizes)
+            if len(some):
+                sig = packed(signatures(sets, np.concatenate([bounds[some], bounds[-1:]]), width))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(some)), pa.array(sizes[some], pa.int64()), binary([s.tobytes() for s in sig])], names=["id", "n", "sig"]
+                )
+
+    return texts.select("id", "text").mapInArrow(lean(found), "id long, n long, sig binary")
+
+
 def prune(pairs: DataFrame, width: int, threshold: float, miss: float) -> DataFrame:
     """Pairs (a, b, sig_a, sig_b) that may reach the threshold, as (a, b)."""
 
@@ -304,8 +320,8 @@ def cluster(
 ) -> DataFrame:
     """(id, component) of all classes that are linked with another one.
 
-    ``classes`` has id, n (size of the set), keys (band hashes) and sig (``width`` bytes, those of the bands first). ``fetch``
-    turns ids into (id, text). Links are pairs with 100 * intersection >= percent * union. Inside buckets the
+    ``classes`` has id, n (size of the set), keys (band hashes) and sig (``width`` bytes, those of the bands first). Without
+    sig, only classes that share a bucket are signed, from their texts. ``fetch`` turns ids into (id, text). Links are pairs with 100 * intersection >= percent * union. Inside buckets the
     ``first`` likeliest pairs of each cluster are confirmed before all others: most clusters merge by
     them, and pairs within one cluster need no comparison. Buckets with more pairs come again with four times
     as many, and what is left after ``ROUNDS`` rounds is settled on full sets inside the blocks.
@@ -318,6 +334,8 @@ def cluster(
     texts = materialize(fetch(wanted), "texts")
     if texts.count() > wanted.count():  # equal rows of the input
         texts = materialize(texts.dropDuplicates(["id"]), "texts")
+    if "sig" not in classes.columns:
+        classes = materialize(signed(texts, shingle, width), "signed")
     one = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
     two = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
     stars = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"), "n").distinct()

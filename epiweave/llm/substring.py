@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from epiweave.llm.memory import lean
 from epiweave.llm.mixing import word_count
-from epiweave.llm.minhash import band_keys, cluster, packed, signatures, tune
+from epiweave.llm.minhash import band_keys, cluster, signatures, tune
 from epiweave.llm.tables import if_small
-from epiweave.llm.words import NOT_SPACE, binary, byte_set, constants, distinct, find_words, hash_spans, mix, powers, shingles, slices
+from epiweave.llm.words import NOT_SPACE, byte_set, constants, distinct, find_words, hash_spans, mix, powers, shingles, slices
 from epiweave.session import materialize
 
 SHINGLE, PERCENT, RECALL, MOST_HASHES = 5, 80, 0.99, 36
@@ -92,9 +92,10 @@ def units(docs: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, shingle: int, rows: int, bands: int, least: int) -> DataFrame:
-    """(id, n, keys, sig) of the distinct lines of at least ``least`` words, with where each occurs first in its task."""
+    """(id, n, keys) of the distinct lines of at least ``least`` words. Few of them share a bucket; only those get
+    the longer signatures by which pairs are compared, so no more than the bands' hashes are taken of the others."""
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, "_text"):
             (hashes, bounds), (text, first, last), _ = paragraphs(data, offsets)
             keep = last - first >= least
@@ -107,15 +108,14 @@ def line_classes(docs: DataFrame, shingle: int, rows: int, bands: int, least: in
             inner = np.concatenate([[0], np.cumsum(sizes)])
             at = np.repeat(first - inner[:-1], sizes) + np.arange(inner[-1])
             sets, set_bounds = distinct(*shingles(hashes[at], inner, shingle))
-            sig = signatures(sets, set_bounds, HASHES)
+            keys = band_keys(signatures(sets, set_bounds, rows * bands), rows).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids.view(np.int64)), pa.array(np.diff(set_bounds), pa.int64()), pa.array(list(band_keys(sig[:, : rows * bands], rows).view(np.int64)), pa.list_(pa.int64())), binary([s.tobytes() for s in packed(sig)])],
-                names=["id", "n", "keys", "sig"],
+                [pa.array(ids.view(np.int64)), pa.array(np.diff(set_bounds), pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))], names=["id", "n", "keys"]
             )
 
     plain = docs.where("doc_id is not null").select(F.col("text").alias("_text"))
-    rows_of = plain.mapInArrow(lean(signed), "id long, n long, keys array<long>, sig binary")
-    return rows_of.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys", "sig")])
+    rows_of = plain.mapInArrow(lean(banded), "id long, n long, keys array<long>")
+    return rows_of.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys")])
 
 
 def fetch_lines(docs: DataFrame, found: DataFrame) -> Callable[[DataFrame], DataFrame]:
