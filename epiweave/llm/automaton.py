@@ -14,12 +14,14 @@ repeated document row gets its own result; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from epiweave.llm.memory import Step, map_lean
 from epiweave.llm.words import LETTER_OR_DIGIT, LOWER, binary, combine, find_words, hash_spans, places_left, slices
 
 WINDOW = 10
@@ -174,8 +176,11 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(docs: DataFrame, block: Block, keep_text: bool) -> DataFrame:
-    """One pass over ``_text``; adds to the spans and items of the pass before, if there was one."""
+def _scan(docs: DataFrame, block: Block, keep_text: bool, then: tuple[Step, str] | None = None) -> DataFrame:
+    """One pass over ``_text``; adds to the spans and items of the pass before, if there was one.
+
+    ``then``, a further step and its schema, has the result's batches in the same worker, so that a task needs no second one for it.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(block)
     done = ("n_words", "n_hit", "spans", "items")
     kept = [f for f in docs.schema if f.name not in done and (keep_text or f.name != "_text")]
@@ -208,13 +213,16 @@ def _scan(docs: DataFrame, block: Block, keep_text: bool) -> DataFrame:
                 names=[*(f.name for f in kept), *done],
             )
 
-    return docs.mapInArrow(scan, schema)
+    if then is None:
+        return map_lean(docs, scan, schema)
+    step, schema = then
+    return map_lean(docs, lambda batches: step(scan(batches)), schema)
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = False
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = False, then: tuple[Step, str] | None = None
 ) -> DataFrame:
-    """``docs`` with n_words, n_hit, spans and items; its own columns of these names give way.
+    """``docs`` with n_words, n_hit, spans and items; its own columns of these names give way. With ``then``, what that step makes of them.
 
     ``spans`` are disjoint ranges of word numbers inside occurrences of item windows; ``items`` the
     ids, as sorted strings, of the items that have an occurring window. Items beyond ``block_words``
@@ -224,8 +232,9 @@ def find_leaks(
     found = docs.select(*names, F.col("text").alias("_text"))
     blocks = list(item_blocks(benchmark, block_words))
     for k, (ids, items) in enumerate(blocks):
-        found = _scan(found, Block(ids, items, window), keep_text or k + 1 < len(blocks))
-    return found.withColumnRenamed("_text", "text") if keep_text else found
+        last = k + 1 == len(blocks)
+        found = _scan(found, Block(ids, items, window), keep_text or not last, then if last else None)
+    return found.withColumnRenamed("_text", "text") if keep_text and then is None else found
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -249,26 +258,28 @@ def decontaminate(
     columns = docs.columns
     names = {c: f"c{i}" for i, c in enumerate(columns)}
     plain = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else names[c]) for c in columns])
-    found = find_leaks(plain, benchmark, window, keep_text=True).where("n_hit <= n_words * " + repr(float(max_coverage)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema if f.name not in ("n_words", "n_hit", "spans", "items")) + ", cut boolean"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.drop("text").schema) + ", _text string, cut boolean"
+    most = Fraction(repr(float(max_coverage)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, _ in slices(iter([batch]), "text"):
-                texts, hits = part.column("text").to_pylist(), part.column("n_hit").to_pylist()
+            few = [h * most.denominator <= n * most.numerator for h, n in zip(batch.column("n_hit").to_pylist(), batch.column("n_words").to_pylist())]
+            batch = batch.filter(pa.array(few, pa.bool_()))
+            for part, _, _ in slices(iter([batch]), "_text"):
+                texts, hits = part.column("_text").to_pylist(), part.column("n_hit").to_pylist()
                 spans = part.column("spans").to_pylist()
                 is_cut = [h >= min_hit and h > 0 for h in hits]
                 new = [without_spans(t, [(s["first"], s["last"]) for s in sp]) if c else t for t, sp, c in zip(texts, spans, is_cut)]
                 own = [n for n in part.schema.names if n not in ("n_words", "n_hit", "spans", "items")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(new, pa.string()) if n == "text" else part.column(n) for n in own] + [pa.array(is_cut, pa.bool_())], names=[*own, "cut"]
+                    [pa.array(new, pa.string()) if n == "_text" else part.column(n) for n in own] + [pa.array(is_cut, pa.bool_())], names=[*own, "cut"]
                 )
 
-    done = found.mapInArrow(cut, schema)
+    done = find_leaks(plain, benchmark, window, keep_text=True, then=(cut, schema))
     out = []
     for c in columns:
-        value = F.col("text" if c == "text" else names[c])
+        value = F.col("_text" if c == "text" else names[c])
         if c == "n_chars":
-            value = F.when(F.col("cut"), F.length("text").cast(docs.schema[c].dataType)).otherwise(value)
+            value = F.when(F.col("cut"), F.length("_text").cast(docs.schema[c].dataType)).otherwise(value)
         out.append(value.alias(c))
     return done.select(*out)

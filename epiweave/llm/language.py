@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiweave.llm.labelled import sample_per_class
-from epiweave.llm.memory import lean
+from epiweave.llm.memory import map_lean
 from epiweave.llm.words import ASCII_LETTER, byte_set, slices
 
 RUN = 128
@@ -245,7 +245,7 @@ def identify(docs: DataFrame, network: Network | None, keep: list[str]) -> DataF
                 [part.column(names[c]) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores)], names=[*names.values(), "_lang", "_score"]
             )
 
-    found = plain.mapInArrow(lean(predict), f"{schema}, {out}" if schema else out)
+    found = map_lean(plain, predict, f"{schema}, {out}" if schema else out)
     return found.select(*[F.col(names[c]).alias(c) for c in keep], F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiweave.llm.components import components
-from epiweave.llm.memory import lean
+from epiweave.llm.memory import map_lean
 from epiweave.llm.tables import if_small
 from epiweave.llm.words import NOT_SPACE, LOWER, SAME, binary, constants, distinct, mix, shingles, slices, word_hashes
 from epiweave.session import materialize
@@ -122,7 +122,7 @@ def signed(texts: DataFrame, shingle: int, width: int) -> DataFrame:
                     [part.column("id").take(pa.array(some)), pa.array(sizes[some], pa.int64()), binary([s.tobytes() for s in sig])], names=["id", "n", "sig"]
                 )
 
-    return texts.select("id", "text").mapInArrow(lean(found), "id long, n long, sig binary")
+    return map_lean(texts.select("id", "text"), found, "id long, n long, sig binary")
 
 
 def prune(pairs: DataFrame, width: int, threshold: float, miss: float) -> DataFrame:
@@ -134,7 +134,7 @@ def prune(pairs: DataFrame, width: int, threshold: float, miss: float) -> DataFr
             keep = pa.array(at)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], names=["a", "b"])
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(check, "a long, b long")
+    return map_lean(pairs.select("a", "b", "sig_a", "sig_b"), check, "a long, b long")
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -162,7 +162,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
             row += inner.num_rows
             yield pa.RecordBatch.from_arrays([inner.column("a"), inner.column("b"), pa.array(found, pa.bool_())], names=["a", "b", "linked"])
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(lean(check), "a long, b long, linked boolean")
+    return map_lean(pairs.join(one, "a").join(two, "b"), check, "a long, b long, linked boolean")
 
 
 def _open_blocks(members: DataFrame, clusters: DataFrame, classes: DataFrame) -> DataFrame:
@@ -292,7 +292,7 @@ def block_pairs(blocks: DataFrame, width: int, band_rows: int, percent: int, mis
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), bool))], names=["a", "b", "cut"])
 
-    return _dealt(blocks).mapInArrow(lean(compare), "a long, b long, cut boolean")
+    return map_lean(_dealt(blocks), compare, "a long, b long, cut boolean")
 
 
 def block_links(blocks: DataFrame, texts: DataFrame, shingle: int, width: int, band_rows: int, percent: int, miss: float) -> DataFrame:
@@ -311,8 +311,8 @@ def block_links(blocks: DataFrame, texts: DataFrame, shingle: int, width: int, b
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     wanted = materialize(blocks.select("id").distinct(), "set-ids")
-    sets = materialize(texts.join(if_small(wanted), "id", "left_semi").mapInArrow(lean(sets_of), "id long, set binary"), "sets")
-    return _dealt(blocks.join(sets, "id")).mapInArrow(lean(compare), "a long, b long")
+    sets = materialize(map_lean(texts.join(if_small(wanted), "id", "left_semi"), sets_of, "id long, set binary"), "sets")
+    return map_lean(_dealt(blocks.join(sets, "id")), compare, "a long, b long")
 
 
 def cluster(

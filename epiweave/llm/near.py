@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiweave.llm.memory import lean
+from epiweave.llm.memory import map_lean
 from epiweave.llm.minhash import band_keys, cluster, fetch_documents, packed, signatures, word_sets
 from epiweave.llm.tables import if_small
 from epiweave.llm.words import binary
@@ -52,7 +52,7 @@ def sign(docs: DataFrame, shingle: int, rows: int, bands: int, hashes: int) -> D
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").alias("_text"))
-    return texts.mapInArrow(lean(signed), "doc_id long, mark long, n_shingles long, digest binary, keys array<long>, sig binary")
+    return map_lean(texts, signed, "doc_id long, mark long, n_shingles long, digest binary, keys array<long>, sig binary")
 
 
 def near_duplicates(

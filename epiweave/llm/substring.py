@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiweave.llm.memory import lean
+from epiweave.llm.memory import map_lean
 from epiweave.llm.mixing import word_count
 from epiweave.llm.minhash import band_keys, cluster, signatures, tune
 from epiweave.llm.tables import if_small
@@ -88,7 +88,7 @@ def units(docs: DataFrame) -> DataFrame:
                 )
 
     plain = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").alias("_text"))
-    return plain.mapInArrow(lean(found), "doc_id long, mark long, line boolean, first int, last int, id long")
+    return map_lean(plain, found, "doc_id long, mark long, line boolean, first int, last int, id long")
 
 
 def line_classes(docs: DataFrame, shingle: int, rows: int, bands: int, least: int) -> DataFrame:
@@ -114,7 +114,7 @@ def line_classes(docs: DataFrame, shingle: int, rows: int, bands: int, least: in
             )
 
     plain = docs.where("doc_id is not null").select(F.col("text").alias("_text"))
-    rows_of = plain.mapInArrow(lean(banded), "id long, n long, keys array<long>")
+    rows_of = map_lean(plain, banded, "id long, n long, keys array<long>")
     return rows_of.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys")])
 
 
@@ -139,7 +139,8 @@ def fetch_lines(docs: DataFrame, found: DataFrame) -> Callable[[DataFrame], Data
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
 
         own = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_mark"), F.col("text").alias("_text"))
-        return own.join(if_small(places), ["_doc", "_mark"]).select("_text", "lines").mapInArrow(lean(cut), "id long, text string").dropDuplicates(["id"])
+        own = own.join(if_small(places), ["_doc", "_mark"]).select("_text", "lines")
+        return map_lean(own, cut, "id long, text string").dropDuplicates(["id"])
 
     return fetch
 
@@ -184,7 +185,7 @@ def repeats(
                 names=["doc_id", "mark", "spans", "removed"],
             )
 
-    return materialize(lists.mapInArrow(spans, f"doc_id long, mark long, spans {SPANS}, removed long").where("removed > 0"), "repeats")
+    return materialize(map_lean(lists, spans, f"doc_id long, mark long, spans {SPANS}, removed long").where("removed > 0"), "repeats")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
@@ -227,7 +228,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
                     names=[*own, "cut"],
                 )
 
-    done = joined.mapInArrow(lean(cut), schema).where(~F.col("cut") | (word_count(F.col("_text")) > 0))
+    done = map_lean(joined, cut, schema).where(~F.col("cut") | (word_count(F.col("_text")) > 0))
     out = []
     for c in columns:
         value = F.col("_text" if c == "text" else names[c])
